@@ -199,6 +199,20 @@ def boundary_weeks(start, end) -> Column:
     return (number(end) - number(start)).cast("int")
 
 
+def workday_distance(start, end) -> Column:
+    """Days less two per Monday crossed, plus one from a Sunday, less one to a Saturday.
+
+    The warehouse formula, kept beside ``workdays`` because the two differ at
+    weekends.
+    """
+    start, end = _col(start), _col(end)
+    monday = F.lit("1970-01-05").cast("date")
+    weeks = F.floor(F.datediff(end, monday) / 7) - F.floor(F.datediff(start, monday) / 7)
+    from_sunday = F.when(F.dayofweek(start) == 1, 1).otherwise(0)
+    to_saturday = F.when(F.dayofweek(end) == 7, 1).otherwise(0)
+    return (F.datediff(end, start) - weeks * 2 + from_sunday - to_saturday).cast("int")
+
+
 def boundary_days(start, end) -> Column:
     """Midnights crossed between two timestamps."""
     return F.datediff(_col(end).cast("date"), _col(start).cast("date"))

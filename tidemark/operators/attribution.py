@@ -72,23 +72,32 @@ def trial_conversions(orders: DataFrame, trials: DataFrame, user: str, trial_use
     return winners
 
 
-def valid_downloads(downloads: DataFrame, activations: DataFrame, keys: Sequence[str], user: str,
-                    entitled: str, ended: str, activated: str) -> DataFrame:
-    """Attach activations that fall inside the entitlement, keep the valid one.
+def valid_downloads(downloads: DataFrame, activations: DataFrame, keys: Sequence[str], group: Sequence[str],
+                    user: str, entitled: str, ended: str, activated: str, download_id: str) -> DataFrame:
+    """Attach activations inside the entitlement and flag the valid download.
 
-    Per (user, keys, entitlement) the row with an activation by the same user
-    comes first, then the earliest activation, then the greatest id.
+    ``keys`` tie an activation to a download; within ``group`` (user, product,
+    entitlement) the valid one has an activation by the same user, then the
+    earliest activation, then the greatest id. All rows are kept.
     """
     acts = activations.select(
         *[F.col(k).alias(f"_a_{k}") for k in keys], F.col(user).alias("activation_user"), F.col(activated))
     cond = (F.col(activated) >= F.col(entitled)) & (F.col(activated) <= F.col(ended))
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_a_{k}"))
-    joined = downloads.join(acts, cond, "left").drop(*[f"_a_{k}" for k in keys])
-    joined = joined.withColumn(
+    joined = downloads.join(acts, cond, "left").drop(*[f"_a_{k}" for k in keys]).withColumn(
         "valid_activation", F.coalesce(F.col(user) == F.col("activation_user"), F.lit(False)))
-    return best_ties(joined, [user, *[k for k in keys if k != user], entitled, ended], [
-        F.col("valid_activation").desc(), F.col(activated).asc_nulls_last()])
+    decisive = ["valid_activation", activated, download_id]
+    winners = first_by(joined.select(*group, *decisive), group, [
+        F.col("valid_activation").desc(), F.col(activated).asc_nulls_last(), F.col(download_id).desc()])
+    winners = winners.select(*[F.col(c).alias(f"_w_{c}") for c in (*group, *decisive)], F.lit(True).alias("_won"))
+    same = F.lit(True)
+    for c in (*group, *decisive):
+        same = same & F.col(c).eqNullSafe(F.col(f"_w_{c}"))
+    return (
+        joined.join(winners, same, "left").withColumn("valid_download", F.coalesce("_won", F.lit(False)))
+        .drop("_won", *[f"_w_{c}" for c in (*group, *decisive)])
+    )
 
 
 def undelivered(snapshots: DataFrame, delivered: DataFrame, key: str, partition: Sequence[str],
