@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 
 
 def text_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-                   surrogate: str = "") -> DataFrame:
+                   surrogate: str = "", exact: Sequence[str] = ()) -> DataFrame:
     """Join on text keys where NULL equals NULL (and equals ``surrogate``).
 
     Keys are coalesced before the join, so it stays a hash-partitioned
-    equi-join. Right-hand key columns are dropped.
+    equi-join; ``exact`` keys are compared as they are. Right-hand key columns
+    are dropped.
     """
-    left_keys = left.withColumns({f"_l_{k}": F.coalesce(F.col(k), F.lit(surrogate)) for k in keys})
-    right_keys = right.withColumns({f"_r_{k}": F.coalesce(F.col(k), F.lit(surrogate)) for k in keys}).drop(*keys)
-    on = [F.col(f"_l_{k}") == F.col(f"_r_{k}") for k in keys]
-    joined = left_keys.join(right_keys, on, how)
-    return joined.drop(*[f"_l_{k}" for k in keys], *[f"_r_{k}" for k in keys])
+    def keyed(df: DataFrame, side: str) -> DataFrame:
+        filled = {f"_{side}_{k}": F.coalesce(F.col(k), F.lit(surrogate)) for k in keys}
+        return df.withColumns({**filled, **{f"_{side}_{k}": F.col(k) for k in exact}})
+
+    every = [*exact, *keys]
+    on = [F.col(f"_l_{k}") == F.col(f"_r_{k}") for k in every]
+    joined = keyed(left, "l").join(keyed(right, "r").drop(*every), on, how)
+    return joined.drop(*[f"_{side}_{k}" for side in "lr" for k in every])
 
 
 def normalised(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column,

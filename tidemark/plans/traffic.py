@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,11 +149,7 @@ def weekly_cube(visits: DataFrame, fixed: Sequence[str], dims: dict[str, str],
     keys = ["quarter_index", "fiscal_week", *fixed]
     cells = distinct_cube(visits, keys, dims, counts, prefix)
     ordered = distinct_cube(orders, keys, dims, {"orders": (order_id, F.lit(True))}, prefix)
-    both = joins.text_null_safe(
-        cells.withColumns({k: F.col(k).cast("string") for k in keys[:2]}),
-        ordered.withColumns({k: F.col(k).cast("string") for k in keys[:2]}),
-        [*keys, *dims, "aggregated_by"])
-    both = both.withColumns({k: F.col(k).cast("int") for k in keys[:2]})
+    both = joins.text_null_safe(cells, ordered, [*fixed, *dims, "aggregated_by"], exact=keys[:2])
     cell_keys = ["fiscal_week", *fixed, *dims, "aggregated_by"]
     compared = period.cell_comparison(both, "quarter_index", cell_keys, [*counts, "orders"], as_of)
     fallback = {f"{s}_{m}": F.coalesce(f"{s}_{m}", m) for s in period.QUARTERS_BACK for m in counts}

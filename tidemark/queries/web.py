@@ -240,8 +240,7 @@ def _(t):
     clicks = t.events.filter("event_type = 'click'").select(
         "user_id", F.col("ts").alias("at"), F.col("event_id").alias("click_id"), F.col("value").alias("click_value"))
     found = joins.asof_join(bought, clicks, "user_id", "bought_at", "at", ["click_id", "click_value"])
-    return found.select("event_id", "user_id", F.date_format("matched_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("raw"), "click_id", "click_value", "matched_at").select(
-        "event_id", "user_id", F.col("matched_at").cast("string").alias("matched_at"), "click_id", "click_value")
+    return plain(found, "event_id", "user_id", "matched_at", "click_id", "click_value")
 
 
 @query("last_touch_of_order", "W14 K26", """
