@@ -18,10 +18,13 @@ class Catalog:
         self.spark = prepare(spark)
         self.folder = folder.rstrip("/")
         self.paths = dict(paths or {})
+        self._scans: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        path = self.paths.get(name, f"{self.folder}/{name}.parquet")
-        return self.spark.read.parquet(path)
+        if name not in self._scans:
+            path = self.paths.get(name, f"{self.folder}/{name}.parquet")
+            self._scans[name] = self.spark.read.parquet(path)
+        return self._scans[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
