@@ -13,12 +13,14 @@ from tidemark.operators.conform import Target, conform
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "", "encoding": "UTF-8"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     """Quoted CSV with a header and a known schema; empty fields are NULL.
 
     ``path`` may be a glob on the file name. The schema is given, never inferred.
+    ``multi_line`` allows line breaks inside quotes; such files are not split,
+    so land them in pieces.
     """
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(schema).csv(path)
 
 
 def read_csv_by_header(spark: SparkSession, path: str, spec: dict[str, Target]) -> DataFrame:
@@ -77,20 +79,21 @@ def json_to_columns(df: DataFrame, json: str, known: Sequence[str] = ()) -> Data
         *[c for c in df.columns if c != json], *[F.col("_map")[k].alias(k) for k in keys])
 
 
-def flat_columns(schema: T.StructType, prefix: str = "") -> list[Column]:
-    """Leaf columns of a nested record: objects opened, arrays kept, scalars as text."""
+def flat_columns(schema: T.StructType, path: str = "", name: str = "") -> list[Column]:
+    """Leaf columns of a nested record: objects opened, arrays kept, scalars as text.
+
+    Names join the levels with '_'; dots, colons and dashes become '_' too.
+    """
     columns: list[Column] = []
     for field in schema.fields:
-        path = f"{prefix}`{field.name}`"
+        here = f"{path}`{field.name}`"
+        label = name + field.name.translate(str.maketrans(".:-", "___"))
         if isinstance(field.dataType, T.StructType):
-            columns += flat_columns(field.dataType, f"{path}.")
-            continue
-        name = path.replace("`", "").replace(".", "_").replace(":", "_").replace("-", "_")
-        value = F.col(path)
-        if isinstance(field.dataType, T.ArrayType):
-            columns.append(F.when(F.size(value) > 0, value).alias(name))
+            columns += flat_columns(field.dataType, f"{here}.", f"{label}_")
+        elif isinstance(field.dataType, T.ArrayType):
+            columns.append(F.when(F.size(F.col(here)) > 0, F.col(here)).alias(label))
         else:
-            columns.append(value.cast("string").alias(name))
+            columns.append(F.col(here).cast("string").alias(label))
     return columns
 
 
