@@ -12,6 +12,7 @@ from tidemark.functions.numbers import all_zero, annualised, in_base_currency
 from tidemark.operators import joins
 from tidemark.operators.conform import union_relations
 from tidemark.operators.dimensions import with_keys
+from tidemark.operators.latest import one_per_key
 
 # Channel classes of a touch.
 ORGANIC_CHANNELS = ["DIRECT", "INTERNAL"]
@@ -85,7 +86,8 @@ def mid_funnel(contacts: DataFrame, leads: DataFrame, trials: DataFrame, id_stac
     people = joins.full_outer(contacts, leads, [contact_key])
     with_trials = joins.full_outer(people, trials, [user_key])
     opened = id_stack.withColumn("_id", F.explode(ids)).select(
-        F.regexp_replace("_id", '"', "").alias("_user"), *[c for c in id_stack.columns if c != ids]).dropDuplicates(["_user"])
+        F.regexp_replace("_id", '"', "").alias("_user"), *[c for c in id_stack.columns if c != ids])
+    opened = one_per_key(opened, ["_user"], *[c for c in id_stack.columns if c != ids])
     return with_trials.join(opened, F.col(user_key).cast("string") == F.col("_user"), "left").drop("_user")
 
 

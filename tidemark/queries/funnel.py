@@ -181,7 +181,7 @@ WITH {SQL_MERGES}, src AS (
   SELECT 'Integrated' AS source, o_orderkey AS order_no, o_orderkey + 7 AS po_no, o_custkey, CAST(o_totalprice AS DECIMAL(24,4)) AS amount, o_orderstatus AS status FROM orders WHERE o_orderpriority <> '5-LOW'
   UNION ALL SELECT 'Core', CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END, l_orderkey + 3, l_suppkey, {SQL_NET}, NULL FROM lineitem WHERE l_linenumber = 1
   UNION ALL SELECT 'Unintegrated', NULL, NULL, NULL, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(24,4)), NULL FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY {sql_label('o_orderdate')}),
-touch AS (SELECT l_orderkey, l_suppkey, CASE l_returnflag WHEN 'R' THEN 'Organic Search' WHEN 'A' THEN 'email' ELSE 'Referral' END AS channel FROM lineitem WHERE l_orderkey % 2 = 0
+touch AS (SELECT l_orderkey, l_suppkey, CASE l_returnflag WHEN 'R' THEN 'Organic Search' WHEN 'A' THEN 'email' ELSE 'Referral' END AS channel FROM lineitem WHERE l_quantity > 20
   QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_suppkey DESC, channel DESC) = 1),
 att AS (SELECT src.*, coalesce(a.l_suppkey, b.l_suppkey) AS tactic, coalesce(a.channel, b.channel) AS channel FROM src LEFT JOIN touch a ON order_no = a.l_orderkey LEFT JOIN touch b ON po_no = b.l_orderkey),
 fam AS (SELECT att.*, coalesce(survivor, o_custkey) AS survivor_id FROM att LEFT JOIN (SELECT * FROM merges WHERE status = 'COMPLETED') m ON o_custkey = victim)
@@ -199,7 +199,7 @@ def _(t):
     weekly = t.orders.filter("o_orderpriority = '5-LOW'").groupBy(fiscal.quarter_label(order_day()).alias("q")).agg(
         amount(F.sum(money("o_totalprice")))).select(F.lit("Unintegrated").alias("source"), "amount")
     flag = F.col("l_returnflag")
-    stack = t.lineitem.filter("l_orderkey % 2 = 0").select("l_orderkey", F.col("l_suppkey").alias("tactic"), "l_shipdate",
+    stack = t.lineitem.filter("l_quantity > 20").select("l_orderkey", F.col("l_suppkey").alias("tactic"), "l_shipdate",
         F.when(flag == "R", "Organic Search").when(flag == "A", "email").otherwise("Referral").alias("channel"))
     touches = last_touch(stack, "l_orderkey", "l_shipdate", ["tactic", "channel"])
     staged = funnel.revenue_stage([integrated, core, weekly], touches, "l_orderkey", ("order_no", "po_no"), ["tactic", "channel"],
@@ -232,7 +232,7 @@ rates AS (SELECT code, rate FROM changes QUALIFY lead(since) OVER (PARTITION BY
 oppo AS (SELECT o_orderkey AS opportunity, o_orderstatus AS stage, CASE o_orderkey % 4 WHEN 0 THEN 'Expired' WHEN 1 THEN 'Quoted' WHEN 2 THEN 'Ordered' ELSE 'Parked' END AS quote_status, 'C' || o_custkey % 30 AS currency FROM orders),
 lines AS (SELECT l_orderkey AS opportunity, l_linenumber AS line, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CASE l_linenumber WHEN 1 THEN 'A02' WHEN 2 THEN 'A07' ELSE 'X' END AS term FROM lineitem),
 q AS (SELECT opportunity, CASE WHEN opportunity % 5 <> 0 THEN opportunity END AS quote, line, CAST(amount AS DOUBLE) / coalesce(rate, 1) AS converted, CAST(amount AS DOUBLE) / coalesce(rate, 1) * CASE term WHEN 'A07' THEN 365.0 WHEN 'A02' THEN 12.0 ELSE CAST(1 AS DOUBLE) END AS yearly
-  FROM lines JOIN oppo USING (opportunity) LEFT JOIN rates ON currency = code WHERE opportunity % 3 <> 0),
+  FROM lines JOIN oppo USING (opportunity) LEFT JOIN rates ON currency = code WHERE amount > 30000),
 u AS (SELECT 'QUOTE' AS record_source, q.*, stage, quote_status FROM q LEFT JOIN oppo USING (opportunity)
   UNION ALL SELECT 'OPPORTUNITY', o.opportunity, NULL, l.line, NULL, NULL, stage, quote_status FROM oppo o LEFT JOIN lines l USING (opportunity) WHERE o.opportunity NOT IN (SELECT opportunity FROM q)),
 fin AS (SELECT l_orderkey + 1 AS quote, l_linenumber AS line, CAST({SQL_NET} AS DOUBLE) AS billed FROM lineitem WHERE l_linestatus = 'F')
@@ -248,7 +248,7 @@ def _(t):
     lines = t.lineitem.select(F.col("l_orderkey").alias("opportunity"), n.alias("line"), money("l_extendedprice").alias("amount"),
                               F.when(n == 1, "A02").when(n == 2, "A07").otherwise("X").alias("term"))
     rates = funnel.current_rates(rate_changes(t), "code", "rate", "since")
-    quoted = funnel.converted_lines(lines.filter("opportunity % 3 <> 0").join(currency, "opportunity"), rates, "currency", "amount", "term").select(
+    quoted = funnel.converted_lines(lines.filter("amount > 30000").join(currency, "opportunity"), rates, "currency", "amount", "term").select(
         "opportunity", F.when(F.col("opportunity") % 5 != 0, F.col("opportunity")).alias("quote"), "line", "converted", "yearly")
     finance = t.lineitem.filter("l_linestatus = 'F'").select(
         (F.col("l_orderkey") + 1).alias("quote"), n.alias("line"), net_amount().cast("double").alias("billed"))
@@ -259,21 +259,21 @@ def _(t):
 
 
 @query("mid_funnel", "K29 J11 F21", """
-WITH contacts AS (SELECT CASE WHEN c_custkey % 6 <> 0 THEN c_custkey END AS contact, c_mktsegment, c_custkey % 200 AS user_id FROM customer WHERE c_custkey % 4 <> 1),
+WITH contacts AS (SELECT CASE WHEN c_custkey % 6 <> 0 THEN c_custkey END AS contact, c_mktsegment, c_custkey % 200 AS user_id FROM customer WHERE c_acctbal > 1000),
 leads AS (SELECT o_custkey AS contact, count(*) AS leads FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
 people AS (SELECT coalesce(c.contact, l.contact) AS contact, c_mktsegment, user_id, leads FROM contacts c FULL JOIN leads l ON c.contact = l.contact),
-trials AS (SELECT user_id, count(*) AS trials FROM events WHERE event_type = 'signup' AND user_id % 7 <> 0 GROUP BY 1),
+trials AS (SELECT user_id, count(*) AS trials FROM events WHERE event_type = 'signup' AND value > 60 GROUP BY 1),
 ids AS (SELECT s_suppkey AS stack_id, CAST(x AS VARCHAR) AS uid FROM (SELECT s_suppkey, unnest([s_suppkey, s_suppkey + 100]) AS x FROM supplier)),
-one AS (SELECT uid, min(stack_id) AS stack_id FROM ids WHERE CAST(uid AS BIGINT) < 200 GROUP BY 1)
+one AS (SELECT uid, min(stack_id) AS stack_id FROM ids GROUP BY 1)
 SELECT contact, c_mktsegment, coalesce(p.user_id, t.user_id) AS user_id, leads, trials, stack_id FROM people p FULL JOIN trials t ON p.user_id = t.user_id LEFT JOIN one ON CAST(coalesce(p.user_id, t.user_id) AS VARCHAR) = uid""")
 def _(t):
-    contacts = t.customer.filter("c_custkey % 4 <> 1").select(
+    contacts = t.customer.filter("c_acctbal > 1000").select(
         F.when(F.col("c_custkey") % 6 != 0, F.col("c_custkey")).alias("contact"), "c_mktsegment", (F.col("c_custkey") % 200).alias("user_id"))
     created = t.orders.filter("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("contact")).agg(F.count(F.lit(1)).alias("leads"))
-    tried = t.events.filter("event_type = 'signup' AND user_id % 7 <> 0").groupBy("user_id").agg(F.count(F.lit(1)).alias("trials"))
+    tried = t.events.filter("event_type = 'signup' AND value > 60").groupBy("user_id").agg(F.count(F.lit(1)).alias("trials"))
     quoted = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
     s = F.col("s_suppkey")
-    stack = t.supplier.filter(s < 100).select(s.alias("stack_id"), F.array(quoted(s), quoted(s + 100)).alias("ids"))
+    stack = t.supplier.select(s.alias("stack_id"), F.array(quoted(s), quoted(s + 100)).alias("ids"))
     return funnel.mid_funnel(contacts, created, tried, stack, "contact", "user_id", "ids").select(
         "contact", "c_mktsegment", "user_id", "leads", "trials", "stack_id")
 

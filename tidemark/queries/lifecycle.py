@@ -35,13 +35,13 @@ SQL_SEATS = f"""{SQL_MERGES}, seats AS (SELECT CAST(l_shipdate AS DATE) AS day,
 
 
 def control(t: Catalog):
-    """Accounts of the held-out group, as their survivors."""
-    held = t.customer.filter("c_custkey % 10 = 1 OR c_custkey % 15 = 0").select("c_custkey")
+    """Accounts of the held-out group (a semi-random digit of 1), as their survivors."""
+    held = t.customer.withColumn("semi_random_digit", F.col("c_custkey") % 10).filter("semi_random_digit = 1").select("c_custkey")
     return joins.resolve_survivor(held, "c_custkey", merges(t), current_accounts(t), "victim", "survivor", "account", "control_account")
 
 
 SQL_CONTROL = """control AS (SELECT DISTINCT coalesce(d.account, e.account, c_custkey) AS control_account FROM customer LEFT JOIN current_accounts d ON c_custkey = d.account
-  LEFT JOIN merges ON c_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account WHERE c_custkey % 10 = 1 OR c_custkey % 15 = 0)"""
+  LEFT JOIN merges ON c_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account WHERE c_custkey % 10 = 1)"""
 
 
 @query("seat_rate", "K34 G21 J17 W5 B16", f"""
@@ -161,7 +161,7 @@ def _(t):
         F.lower("n_name").alias("search"), F.col("n_name").alias("country"), F.col("r_name").alias("geo"))
     located = customer.join(listed, F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")) == F.col("search"), "left")
     banded = located.join(picked, (F.col("child") == F.col("c_custkey")) & (F.col("band_parent") == F.col("parent")), "left")
-    flagged = lifecycle.control_flag(banded, "c_custkey", t.customer.filter("c_custkey % 10 = 1").select(F.col("c_custkey").alias("held")), "held")
+    flagged = lifecycle.control_flag(banded, "c_custkey", t.customer.withColumn("semi_random_digit", F.col("c_custkey") % 10).filter("semi_random_digit = 1").select(F.col("c_custkey").alias("held")), "held")
     return flagged.select("c_custkey", "parent", "c_mktsegment", "country", "geo", "band", "test_control")
 
 

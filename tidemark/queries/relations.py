@@ -37,24 +37,24 @@ SQL_PHASES = """phases AS (
 
 
 def merges(t: Catalog):
-    """Account merges: keys ending in 0 were merged into the next key, those in 5 into one not current."""
-    k = F.col("c_custkey")
-    return t.customer.filter(k % 5 == 0).select(
-        k.alias("victim"), F.when(k % 10 == 0, k + 1).otherwise(k + 3).alias("survivor"),
-        F.when(k % 15 == 0, "PENDING").otherwise("COMPLETED").alias("status"))
+    """Account merges: accounts with a low balance were merged into a later one."""
+    k, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    return t.customer.filter("c_acctbal < 2000").select(
+        k.alias("victim"), F.when(segment.isin("BUILDING", "MACHINERY"), k + 1).otherwise(k + 3).alias("survivor"),
+        F.when(segment == "FURNITURE", "PENDING").otherwise("COMPLETED").alias("status"))
 
 
 def current_accounts(t: Catalog):
-    """Accounts still current: all but most merged ones and keys ending in 8."""
+    """Accounts still current: most merged ones are gone, as are the richest."""
     k = F.col("c_custkey")
-    return t.customer.filter(~((k % 5 == 0) & (k % 20 != 0)) & (k % 10 != 8)).select(
-        k.alias("account"), F.when(k % 7 == 0, k - k % 100).otherwise(k).alias("parent"))
+    return t.customer.filter("NOT (c_acctbal < 2000 AND c_mktsegment <> 'HOUSEHOLD') AND c_acctbal < 9500").select(
+        k.alias("account"), F.when(F.col("c_mktsegment") == "AUTOMOBILE", k - k % 100).otherwise(k).alias("parent"))
 
 
-SQL_MERGES = """merges AS (SELECT c_custkey AS victim, CASE WHEN c_custkey % 10 = 0 THEN c_custkey + 1 ELSE c_custkey + 3 END AS survivor,
-  CASE WHEN c_custkey % 15 = 0 THEN 'PENDING' ELSE 'COMPLETED' END AS status FROM customer WHERE c_custkey % 5 = 0),
-current_accounts AS (SELECT c_custkey AS account, CASE WHEN c_custkey % 7 = 0 THEN c_custkey - c_custkey % 100 ELSE c_custkey END AS parent
-  FROM customer WHERE NOT (c_custkey % 5 = 0 AND c_custkey % 20 <> 0) AND c_custkey % 10 <> 8)"""
+SQL_MERGES = """merges AS (SELECT c_custkey AS victim, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_custkey + 1 ELSE c_custkey + 3 END AS survivor,
+  CASE WHEN c_mktsegment = 'FURNITURE' THEN 'PENDING' ELSE 'COMPLETED' END AS status FROM customer WHERE c_acctbal < 2000),
+current_accounts AS (SELECT c_custkey AS account, CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN c_custkey - c_custkey % 100 ELSE c_custkey END AS parent
+  FROM customer WHERE NOT (c_acctbal < 2000 AND c_mktsegment <> 'HOUSEHOLD') AND c_acctbal < 9500)"""
 
 
 # ---- joins -----------------------------------------------------------------
@@ -79,11 +79,11 @@ def _(t):
 
 @query("padded_id_join", "J4", """
 SELECT o_orderkey, c_name FROM (SELECT o_orderkey, lpad(trim(replace(CAST(o_custkey AS VARCHAR) || '.0 ', '.0', '')), 10, '0') AS k FROM orders)
-LEFT JOIN (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS k, c_name FROM customer WHERE c_custkey % 2 = 0) USING (k)""")
+LEFT JOIN (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS k, c_name FROM customer WHERE c_mktsegment <> 'BUILDING') USING (k)""")
 def _(t):
     spelled = F.concat(F.col("o_custkey").cast("string"), F.lit(".0 "))
     return joins.normalised(
-        t.orders.select("o_orderkey", "o_custkey"), t.customer.filter("c_custkey % 2 = 0").select("c_custkey", "c_name"),
+        t.orders.select("o_orderkey", "o_custkey"), t.customer.filter("c_mktsegment <> 'BUILDING'").select("c_custkey", "c_name"),
         text.padded_id(spelled), text.padded_id("c_custkey")).select("o_orderkey", "c_name")
 
 
@@ -168,11 +168,11 @@ def _(t):
 
 @query("hierarchy_parent", "J16", """
 SELECT c.c_custkey, p.c_name AS parent_name, p.c_mktsegment AS parent_segment FROM customer c JOIN customer p ON p.c_custkey = c.c_custkey - c.c_custkey % 10
-WHERE c.c_custkey % 10 <> 0""")
+WHERE p.c_custkey <> c.c_custkey""")
 def _(t):
     parents = t.customer.select(F.col("c_custkey").alias("parent"), F.col("c_name").alias("parent_name"),
                                 F.col("c_mktsegment").alias("parent_segment"))
-    children = t.customer.filter("c_custkey % 10 <> 0").select("c_custkey", (F.col("c_custkey") - F.col("c_custkey") % 10).alias("up"))
+    children = t.customer.select("c_custkey", (F.col("c_custkey") - F.col("c_custkey") % 10).alias("up")).filter("up <> c_custkey")
     return children.join(parents, F.col("up") == F.col("parent")).select("c_custkey", "parent_name", "parent_segment")
 
 
@@ -196,11 +196,11 @@ def _(t):
 
 
 @query("lookup_by_either_key", "J19", """
-WITH brands AS (SELECT p_partkey, p_brand, p_type FROM part WHERE p_partkey % 3 = 0)
+WITH brands AS (SELECT p_partkey, p_brand, p_type FROM part WHERE p_size > 20)
 SELECT l_orderkey, l_linenumber, coalesce(a.p_brand, b.p_brand) AS p_brand, coalesce(a.p_type, b.p_type) AS p_type
 FROM lineitem LEFT JOIN brands a ON l_partkey = a.p_partkey LEFT JOIN brands b ON l_suppkey = b.p_partkey""")
 def _(t):
-    return joins.lookup_twice(t.lineitem, t.part.filter("p_partkey % 3 = 0"), "p_partkey", "l_partkey", "l_suppkey",
+    return joins.lookup_twice(t.lineitem, t.part.filter("p_size > 20"), "p_partkey", "l_partkey", "l_suppkey",
                               ["p_brand", "p_type"]).select("l_orderkey", "l_linenumber", "p_brand", "p_type")
 
 
