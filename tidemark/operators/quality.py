@@ -55,7 +55,7 @@ def between(column: str, low, high) -> Column:
 
 def unique(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     """Key combinations that occur more than once."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times")).filter(F.col("_times") > 1)
     return _result(repeated.agg(F.count(F.lit(1)).alias("failures")), name)
 
 
@@ -78,8 +78,8 @@ def loaded_today(df: DataFrame, name: str, day: str, as_of) -> DataFrame:
 
 def single_value(df: DataFrame, name: str, keys: Sequence[str], column: str) -> DataFrame:
     """Groups with more than one distinct value (minimum differs from maximum)."""
-    groups = df.groupBy(*keys).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    return _result(groups.filter(F.col("lo") != F.col("hi")).agg(F.count(F.lit(1)).alias("failures")), name)
+    groups = df.groupBy(*keys).agg(F.min(column).alias("_low"), F.max(column).alias("_high"))
+    return _result(groups.filter(F.col("_low") != F.col("_high")).agg(F.count(F.lit(1)).alias("failures")), name)
 
 
 def disjoint(left: DataFrame, right: DataFrame, name: str, key: str) -> DataFrame:
