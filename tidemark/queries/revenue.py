@@ -46,7 +46,10 @@ SELECT CAST(date_key AS VARCHAR) AS date_key, fiscal_week, CAST((month(date_key)
   completed_weeks
 FROM calendar SEMI JOIN order_days USING (date_key) ORDER BY date_key""")
 def _(t):
-    return plain(calendar.fiscal_calendar(order_days(t), AS_OF).orderBy("date_key"))
+    bounds = t.orders.agg(F.min(order_day()).alias("first"), F.max(order_day()).alias("last"))
+    every_day = bounds.select(F.explode(F.sequence("first", "last")).alias("date_key"))
+    with_orders = calendar.fiscal_calendar(every_day, AS_OF).join(order_days(t), "date_key", "left_semi")
+    return plain(with_orders.orderBy("date_key"))
 
 
 WEEKLY_BASE = f"""
