@@ -54,8 +54,10 @@ def trial_conversions(orders: DataFrame, trials: DataFrame, user: str, trial_use
     the entitlement start. Per order the best tier wins, then the latest
     activation, then the greatest trial id; ``converted`` marks the winner.
 
-    Trials alike in everything that decides are one row (their greatest id)
-    before the join, so a busy user's pairs stay bounded by days and products,
+    Neither side's repetitions are multiplied: trials alike in everything that
+    decides are one row (their greatest id), and orders alike in all but their
+    id are matched once and joined to their winners afterwards. A busy user's
+    pairs are so bounded by days and products, whatever the number of orders,
     and the join is split by month as well as user.
     """
     candidates = (
@@ -63,13 +65,20 @@ def trial_conversions(orders: DataFrame, trials: DataFrame, user: str, trial_use
         .groupBy(*[c for c in trials.columns if c != trial_id]).agg(F.max(trial_id).alias(trial_id))
         .withColumn("_until", F.date_add(F.col(entitled), window_days))
     )
-    pairs = interval_join(orders, candidates, {user: trial_user}, ordered, activated, "_until", "inner", span)
+    kind = [c for c in orders.columns if c != order_id]
+    decisive = [F.col("match_tier").asc(), F.col(activated).desc(), F.col(trial_id).desc()]
+    found = [trial_product, activated, entitled, trial_id]
+    pairs = interval_join(
+        orders.select(*kind).distinct(), candidates, {user: trial_user}, ordered, activated, "_until", "inner", span)
+    tiered = pairs.withColumn("match_tier", tier).groupBy(*kind, *found).agg(F.min("match_tier").alias("match_tier"))
+    winners = best_ties(tiered, kind, decisive).select(*[F.col(c).alias(f"_k_{c}") for c in kind], *found, "match_tier")
+    same = F.lit(True)
+    for c in kind:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    # an order of several products takes the best of their winners
     keys = [order_id, ordered, user]
-    tiered = pairs.withColumn("match_tier", tier).groupBy(
-        *keys, trial_product, activated, entitled, trial_id).agg(F.min("match_tier").alias("match_tier"))
-    winners = best_ties(tiered, keys, [
-        F.col("match_tier").asc(), F.col(activated).desc(), F.col(trial_id).desc()])
-    return winners
+    matched = orders.distinct().join(winners, same).groupBy(*keys, *found).agg(F.min("match_tier").alias("match_tier"))
+    return best_ties(matched, keys, decisive)
 
 
 def valid_downloads(downloads: DataFrame, activations: DataFrame, keys: Sequence[str], group: Sequence[str],

@@ -78,8 +78,10 @@ def yes_never_no(df: DataFrame, key: str, yes: Column, no: Column) -> DataFrame:
 def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """FULL JOIN with the key coalesced; NULL keys match nothing.
 
-    Rows with a NULL key would all hash to one task, so they bypass the join
-    and are appended.
+    Spark cannot split a hot key in a full join, but it can in an inner and in
+    an anti join: the matches and the two rests are found separately, and the
+    shuffled sides are reused. Rows with a NULL key would all hash to one task,
+    so they bypass the joins.
     """
     def has_key() -> Column:
         cond = F.lit(True)
@@ -87,11 +89,17 @@ def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
             cond = cond & F.col(k).isNotNull()
         return cond
 
-    joined = left.filter(has_key()).join(right.filter(has_key()), list(keys), "full")
-    return (
-        joined.unionByName(left.filter(~has_key()), allowMissingColumns=True)
-        .unionByName(right.filter(~has_key()), allowMissingColumns=True)
-    )
+    names = list(keys)
+    a, b = left.filter(has_key()), right.filter(has_key())
+    parts = [
+        a.join(b.select(*names).distinct(), names, "left_anti"),
+        b.join(a.select(*names).distinct(), names, "left_anti"),
+        left.filter(~has_key()), right.filter(~has_key()),
+    ]
+    joined = a.join(b, names)
+    for part in parts:
+        joined = joined.unionByName(part, allowMissingColumns=True)
+    return joined
 
 
 def _month_buckets(start: Column, end: Column, low: Column, high: Column) -> Column:
@@ -151,13 +159,14 @@ def full_interval_join(facts: DataFrame, intervals: DataFrame, on: dict[str, str
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
-              values: Sequence[str], grain: str = "hour") -> DataFrame:
+              values: Sequence[str], grain: str = "minute") -> DataFrame:
     """Attach to each left row the latest right row at or before its time.
 
     ``values`` are right-hand columns (none named as a left column); ties in
     time go to the greatest values. Work is split by (key, time bucket): inside
     a bucket a window runs over its own rows; between buckets only one row per
     (key, bucket) is carried forward, so a key's history never meets in one task.
+    Choose a ``grain`` in which even the busiest key's bucket fits a task.
     """
     touch = F.struct(F.col(right_time).alias("_at"), *[F.col(v) for v in values])
     touches = right.filter(F.col(key).isNotNull() & F.col(right_time).isNotNull()).select(

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split hot keys also where the join's partitioning would have been reused
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
@@ -32,6 +34,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def sized_settings(input_bytes: int, shuffled_share: float = 0.5, partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a job over ``input_bytes``: partitions that fit a task.
+
+    Shuffles start with as many partitions as the shuffled share needs at
+    ``partition_mb`` each; adaptive execution merges those that turn out small.
+    """
+    size = partition_mb * 1024 * 1024
+    partitions = max(200, int(input_bytes * shuffled_share / size) + 1)
+    return {
+        **SETTINGS,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
+        "spark.sql.files.maxPartitionBytes": str(size),
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings results depend on (zone, adaptive plans)."""
     for key, value in SETTINGS.items():
