@@ -351,6 +351,16 @@ def test_conversion_window_of_ninety_days(spark):
     assert rows(out.select("o", "sub", "match_tier")) == [("o1", "s1", 1), ("o3", "s1", 4)]  # day 90 counts, day 91 does not
 
 
+def test_an_order_of_several_products_takes_its_best_trial(spark):
+    trials = spark.createDataFrame([("u", "AAX", day("2024-01-01"), day("2024-01-02"), "s1"), ("u", "BBX", day("2024-01-01"), day("2024-01-05"), "s2")],
+                                   "tu string, product string, entitled date, activated date, sub string")
+    orders = spark.createDataFrame([("o1", "u", day("2024-01-20"), "AAX"), ("o1", "u", day("2024-01-20"), "ZZZ"), ("o2", "u", day("2024-01-20"), "ZZZ")],
+                                   "o string, u string, d date, p string")
+    tier = F.when(F.col("product") == F.col("p"), 1).otherwise(4)
+    out = trial_conversions(orders, trials, "u", "tu", "o", "d", "activated", "entitled", "sub", "product", tier)
+    assert rows(out.select("o", "sub", "match_tier")) == [("o1", "s1", 1), ("o2", "s2", 4)]
+
+
 # ---- partner funds ---------------------------------------------------------
 
 def test_claim_status_choice(spark):
