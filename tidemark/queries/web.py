@@ -20,8 +20,7 @@ A = f"DATE '{SALES_AS_OF}'"
 
 def hits(t: Catalog):
     """Events as page hits of one visit per user and day."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
+    k, kind = F.col("k"), F.col("event_type")
     page = (
         F.when(kind == "view", F.concat(F.lit("site:en:products:p"), (k % 4).cast("string")))
         .when(kind == "click", F.concat(F.lit("site:en:support:p"), (k % 3).cast("string")))
@@ -29,8 +28,9 @@ def hits(t: Catalog):
         .otherwise(F.when(k % 2 == 0, F.lit("site:cart details")).otherwise(F.lit("site:en:order:support")))
     )
     day = F.col("ts").cast("date")
-    return t.events.select(
-        "event_id", "ts", "user_id", "value", k.alias("k"), day.alias("day"),
+    parsed = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))  # parsed once per row
+    return parsed.select(
+        "event_id", "ts", "user_id", "value", "k", day.alias("day"),
         F.concat_ws("-", "user_id", day).alias("visit_id"), page.alias("page"),
         F.when(kind == "click", "link-click").when(kind == "purchase", "add-to-cart").otherwise(kind).alias("event"),
         F.when(k % 5 == 0, F.lit("Sign In")).otherwise(F.concat(F.lit("link "), k.cast("string"))).alias("link"),
@@ -176,9 +176,9 @@ def sql_coded(position, values):
 
 
 def trial_tables(t: Catalog):
-    k = F.get_json_object("props", "$.k").cast("int") % 6
     day = F.col("ts").cast("date")
-    base = t.events.select("event_id", "user_id", "event_type", "value", day.alias("day"), k.alias("c"), coded_by(k, CODES).alias("product"))
+    parsed = t.events.withColumn("c", F.get_json_object("props", "$.k").cast("int") % 6)
+    base = parsed.select("event_id", "user_id", "event_type", "value", day.alias("day"), "c", coded_by(F.col("c"), CODES).alias("product"))
     base = base.withColumn("subscription_id", F.concat_ws("-", "user_id", "product"))
     downloads = base.filter("event_type = 'signup'").select(
         "user_id", "product", F.col("subscription_id"), F.col("day").alias("entitled"), F.date_add("day", 6).alias("ended"),

@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -63,17 +64,13 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster a
     machine-local path would be lost with the machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is None:
-        if not context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        if not folder and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-        current = context.getCheckpointDir()
-    return current.rstrip("/")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-"))
+    return (folder or context.getCheckpointDir()).rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
