@@ -36,6 +36,9 @@ def fiscal_calendar(dates: DataFrame, as_of: str, quarters_back: int = 12) -> Da
         year_ago.alias("year_ago_quarter_begin"),
         fiscal.quarter_label(year_ago).alias("year_ago_quarter"),
         fiscal.year_label(d).alias("fiscal_year"),
+        fiscal.year_begin(d).alias("year_begin"),
+        F.date_sub(F.add_months(fiscal.year_begin(d), 12), 1).alias("year_end"),
+        fiscal.year_label(F.add_months(d, -12)).alias("last_fiscal_year"),
         fiscal.quarters_from(d, as_of).alias("quarters_from_current"),
         F.when(fiscal.quarters_from(d, as_of) == 0, 1).otherwise(0).alias("is_current_quarter"),
         fiscal.is_restricted(d, as_of).alias("is_restricted"),

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import fiscal, numbers
 from tidemark.functions.text import not_null_label
-from tidemark.operators import joins, latest, period
+from tidemark.operators import latest, period
 from tidemark.operators.aggregates import distinct_cube
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import fiscal, text
+from tidemark.functions import text
 from tidemark.operators import joins, period
 from tidemark.operators.aggregates import distinct_cube
 from tidemark.operators.latest import first_by

@@ -12,7 +12,7 @@ from tidemark.operators.joins import without
 from tidemark.queries.output import plain
 from tidemark.queries.registry import query
 from tidemark.queries.roles import (
-    SALES_AS_OF, SQL_ACCOUNTS, WEB_AS_OF, accounts, order_day, sql_begin, sql_index, sql_label, sql_quarter, sql_year,
+    SALES_AS_OF, SQL_ACCOUNTS, accounts, order_day, sql_begin, sql_index, sql_label, sql_quarter, sql_year,
 )
 from tidemark.sources.sinks import report_columns, sort_id
 

@@ -13,8 +13,8 @@ from tidemark.queries.output import plain
 from tidemark.queries.registry import query
 from tidemark.queries.relations import SQL_MERGES, SQL_PHASES, current_accounts, merges, phases
 from tidemark.queries.roles import (
-    SALES_AS_OF, SQL_ACCOUNTS, SQL_NET, SQL_ORDER_AMOUNTS, accounts, money, net_amount, order_amounts, order_day,
-    sql_begin, sql_calendar, sql_from, sql_index, sql_index_label, sql_label, sql_week,
+    SALES_AS_OF, SQL_ACCOUNTS, SQL_NET, accounts, money, net_amount, order_day, sql_calendar, sql_from,
+    sql_index, sql_index_label, sql_label,
 )
 from tidemark.sources.tables import Catalog
 

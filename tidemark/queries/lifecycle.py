@@ -12,7 +12,8 @@ from tidemark.queries.output import plain
 from tidemark.queries.registry import query
 from tidemark.queries.relations import SQL_MERGES, SQL_PHASES, current_accounts, merges, phases
 from tidemark.queries.roles import (
-    SALES_AS_OF, SQL_ACCOUNTS, SQL_NET, accounts, money, net_amount, order_day, sql_index, sql_label, sql_quarter, sql_week, sql_year,
+    SALES_AS_OF, SQL_ACCOUNTS, SQL_NET, accounts, net_amount, order_day, sql_label, sql_quarter, sql_week,
+    sql_year,
 )
 from tidemark.sources.tables import Catalog
 
@@ -119,6 +120,20 @@ def _(t):
     return plain(lifecycle.snapshot_renewals(rows, ["period", "band"], "snapshot", "EoQ", "renewed", "due", "net"))
 
 
+@query("account_revenue_growth", "K36 W8", f"""
+WITH {SQL_MERGES}, f AS (SELECT coalesce(d.account, e.account, o_custkey) AS account, CAST({sql_year('o_orderdate')} AS BIGINT) AS fiscal_year, CAST(sum({SQL_NET}) AS DOUBLE) AS yearly
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN current_accounts d ON o_custkey = d.account LEFT JOIN merges ON o_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account GROUP BY 1, 2),
+l AS (SELECT *, lag(yearly, 1, 0) OVER (PARTITION BY account ORDER BY fiscal_year) AS earlier FROM f)
+SELECT account, fiscal_year, yearly, CASE WHEN earlier = 0 THEN 0.0 ELSE yearly / earlier * 100 END AS growth FROM l""")
+def _(t):
+    rows = t.lineitem.select("l_orderkey", net_amount().alias("net")).join(
+        t.orders.select("o_orderkey", "o_custkey", fiscal.year(order_day()).alias("fiscal_year")), F.col("l_orderkey") == F.col("o_orderkey"))
+    # one row per account and year before merged accounts are looked up
+    yearly = rows.groupBy("o_custkey", "fiscal_year").agg(F.sum("net").alias("net"))
+    owned = joins.resolve_survivor(yearly, "o_custkey", merges(t), current_accounts(t), "victim", "survivor", "account", "account")
+    return plain(lifecycle.revenue_growth(owned, "account", "fiscal_year", "net"))
+
+
 @query("health_score", "K36 W4", f"""
 WITH s AS (SELECT l_suppkey AS account, CAST(date_trunc('month', l_shipdate) AS DATE) AS evaluated, CAST(l_shipdate AS DATE) AS scored, l_returnflag AS product, l_quantity AS score FROM lineitem),
 n AS (SELECT DISTINCT account, product, evaluated, score, scored FROM (SELECT * FROM s QUALIFY dense_rank() OVER (PARTITION BY account, evaluated ORDER BY scored DESC) = 1))

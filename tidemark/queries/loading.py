@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 from tidemark.functions import fiscal, text
 from tidemark.operators import incremental, period
 from tidemark.operators.conform import Target
-from tidemark.operators.latest import latest_by
 from tidemark.plans import revenue, traffic
 from tidemark.queries.output import plain
 from tidemark.queries.registry import query
-from tidemark.queries.roles import SALES_AS_OF, WEB_AS_OF, money, order_day, sql_from, sql_index, sql_index_label, sql_week
+from tidemark.queries.roles import SALES_AS_OF, order_day, sql_from, sql_index, sql_index_label, sql_week
 from tidemark.session import fresh_folder
 from tidemark.sources import landing, sinks
-from tidemark.sources.tables import Catalog
 from tidemark.streaming import increments
 
 A = f"DATE '{SALES_AS_OF}'"

@@ -21,9 +21,3 @@ def plain(df: DataFrame, *columns: str) -> DataFrame:
             value = value.cast("string")
         shown.append(value.alias(c))
     return df.select(*shown)
-
-
-def sql_plain(body: str, **types: str) -> str:
-    """Wrap a query, casting columns to the same plain types (others as they are)."""
-    casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in types.items())
-    return f"SELECT * REPLACE ({casts}) FROM ({body})" if casts else body

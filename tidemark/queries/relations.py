@@ -8,9 +8,7 @@ from tidemark.functions import fiscal, numbers, text
 from tidemark.operators import aggregates, joins, latest
 from tidemark.queries.output import plain
 from tidemark.queries.registry import query
-from tidemark.queries.roles import (
-    SALES_AS_OF, SQL_ACCOUNTS, SQL_NET, SQL_ORDER_AMOUNTS, accounts, net_amount, order_amounts, order_day, sql_index, sql_label,
-)
+from tidemark.queries.roles import SALES_AS_OF, SQL_ACCOUNTS, SQL_NET, accounts, net_amount, order_day, sql_label
 from tidemark.sources.tables import Catalog
 
 A = f"DATE '{SALES_AS_OF}'"

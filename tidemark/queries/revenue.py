@@ -12,8 +12,8 @@ from tidemark.plans import calendar, revenue
 from tidemark.queries.output import plain
 from tidemark.queries.registry import query
 from tidemark.queries.roles import (
-    SALES_AS_OF, SQL_ACCOUNTS, SQL_NET, SQL_ORDER_AMOUNTS, accounts, net_amount, order_amounts, order_day,
-    sql_begin, sql_calendar, sql_from, sql_index, sql_index_label, sql_label, sql_quarter, sql_week, sql_year,
+    SALES_AS_OF, SQL_ACCOUNTS, SQL_ORDER_AMOUNTS, accounts, order_amounts, order_day, sql_begin, sql_calendar,
+    sql_from, sql_index, sql_index_label, sql_label, sql_week, sql_year,
 )
 from tidemark.sources.tables import Catalog
 
@@ -40,6 +40,8 @@ SELECT CAST(date_key AS VARCHAR) AS date_key, fiscal_week, CAST((month(date_key)
   CAST(CAST({sql_begin('date_key')} - INTERVAL 12 MONTH AS DATE) AS VARCHAR) AS year_ago_quarter_begin,
   {sql_index_label('(qi - 4)')} AS year_ago_quarter,
   'FY' || right(CAST({sql_year('date_key')} AS VARCHAR), 2) AS fiscal_year,
+  CAST(make_date({sql_year('date_key')} - 1, 2, 1) AS VARCHAR) AS year_begin, CAST(make_date({sql_year('date_key')}, 1, 31) AS VARCHAR) AS year_end,
+  'FY' || right(CAST({sql_year('date_key')} - 1 AS VARCHAR), 2) AS last_fiscal_year,
   CAST(qi - {sql_index(A)} AS BIGINT) AS quarters_from_current,
   CAST(qi = {sql_index(A)} AS BIGINT) AS is_current_quarter,
   CAST(qi = {sql_index(A)} OR (qi = {sql_index(A)} - 1 AND month({A}) IN (2, 5, 8, 11)) AS BIGINT) AS is_restricted,

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions import fiscal, text
 from tidemark.operators import attribution, joins
 from tidemark.plans import revenue, traffic
 from tidemark.plans.traffic import TrafficRules
 from tidemark.queries.output import plain
 from tidemark.queries.registry import query
 from tidemark.queries.roles import (
-    SALES_AS_OF, SQL_ACCOUNTS, WEB_AS_OF, accounts, order_day, sql_calendar, sql_from, sql_index, sql_index_label,
+    SALES_AS_OF, SQL_ACCOUNTS, WEB_AS_OF, accounts, order_day, sql_calendar, sql_from, sql_index_label,
 )
 from tidemark.sources.tables import Catalog
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,12 +37,6 @@ def append_available(stream: DataFrame, target: str, checkpoint: str,
     return query
 
 
-def daily_counts(stream: DataFrame, stamp: str, delay: str, *dims: str) -> DataFrame:
-    """Counts and sums per day and dimension, final once a day's delay is over."""
-    return stream.withWatermark(stamp, delay).groupBy(F.window(stamp, "1 day"), *dims).agg(
-        F.count(F.lit(1)).alias("rows"))
-
-
 def current_rows(appended: DataFrame, keys: Sequence[str], newest: str, *tiebreak: str) -> DataFrame:
     """The up-to-date view of an append-only table: its latest row per key."""
     return latest_by(appended, keys, newest, *tiebreak)
