@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import pieces, secrets, sharding, tokens
+from tidemark.llm import near_dups, pages, pieces, quality, secrets, sharding, tokens, vectors
 from tidemark.llm.common import table
 from tidemark.session import fresh_folder
 
@@ -31,6 +31,29 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op2_pu_quality")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels", "doc_id", "quality"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op3_super_minhash")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@register("op5_main_text")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract_pages(table(spark, folder, "pages", "page_id", "url", "html"))
+
+
+@register("op7_vector_links")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.vector_groups(table(spark, folder, "embeddings", "vec_id", "embedding", "label"))
+
+
 @register("op4_wavelet_tokens")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
