@@ -66,7 +66,7 @@ def test_signatures_estimate_the_overlap():
 
 def test_sets_equal_plain_ones(corpus):
     texts = [t for _, t in corpus] + [None, "", " \t\x0b", "One", "one two", "a b c d", "A\nB\rC\x0cD e", "é é É " * 9]
-    sets = [s for _, d, at in near_dups._slices(pa.array(texts)) for s in near_dups.shingle_sets(d, at)]
+    sets = [s for _, d, at in near_dups.slices(pa.array(texts)) for s in near_dups.shingle_sets(d, at)]
     assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
 
 

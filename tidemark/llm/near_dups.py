@@ -23,13 +23,13 @@ PLACE = mix(np.arange(1000, 1000 + GRAM, dtype=np.uint64)) | np.uint64(1)
 SLICE = 1 << 21
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, at: np.ndarray, space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of flat texts, and the n + 1 places where texts' words begin.
 
-    A word is a run of bytes other than space and 0x09 to 0x0D, A-Z in small
-    letters; words never cross the border of a text.
+    A word is a run of bytes not marked in ``space`` (by itself space and 0x09 to
+    0x0D), A-Z in small letters; words never cross the border of a text.
     """
-    solid = ~IS_SPACE[data]
+    solid = ~space[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     borders = at[:-1][at[:-1] < len(data)]
@@ -114,12 +114,12 @@ def super_minhash(sets: list[np.ndarray], size: int) -> np.ndarray:
     return out
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Runs of whole texts of about ``SLICE`` bytes: first text, bytes, places."""
+def slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of whole texts of about ``most`` bytes: first text, bytes, places."""
     data, at = strings(column)
     i, n = 0, len(at) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + SLICE, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
         yield i, data[at[i]: at[j]], at[i: j + 1] - at[i]
         i = j
 
@@ -130,7 +130,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, data, at in _slices(b.column("text")):
+            for i, data, at in slices(b.column("text")):
                 sets = shingle_sets(data, at)
                 signature = super_minhash(sets, bands * rows)
                 with np.errstate(over="ignore"):
@@ -161,7 +161,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             a, b, ok = batch.column("a"), batch.column("b"), []
             ends = b.to_pylist()
-            for i, data, at in _slices(batch.column("ta")):
+            for i, data, at in slices(batch.column("ta")):
                 for k, one in enumerate(shingle_sets(data, at), start=i):
                     if last is None or ends[k] != last:
                         last = ends[k]

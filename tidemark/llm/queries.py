@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import near_dups, pages, pieces, quality, secrets, sharding, tokens, vectors
+from tidemark.llm import latent, near_dups, pages, pieces, quality, secrets, sharding, tokens, vectors
 from tidemark.llm.common import table
 from tidemark.session import fresh_folder
 
@@ -49,6 +49,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_pages(table(spark, folder, "pages", "page_id", "url", "html"))
 
 
+@register("op6_latent_leaks")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return latent.contaminated(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark", "item_id", "text"))
+
+
 @register("op7_vector_links")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.vector_groups(table(spark, folder, "embeddings", "vec_id", "embedding", "label"))
