@@ -121,45 +121,71 @@ class WaveletMatrix:
 
 
 class CachedEncoder:
-    """Encodes texts by the tokenizers library, one call for each new piece of text.
+    """Encodes texts by the tokenizers library, each new piece of text once.
 
     A piece goes from a single space (or line feed) to the next. As byte-level
     BPE never joins across the start of white space, pieces encode alike in and
     out of their text, if white space comes only one character at a time; other
-    texts are encoded whole. The cache is emptied when it holds ``most`` pieces.
+    texts are encoded whole. The cache keeps the first ``most`` pieces, among
+    which the frequent ones come early; later ones last for their batch. A worker
+    process keeps it from task to task (``of``).
+
+    A piece is looked up with a mark for what stands before it: nothing for a
+    space, ``FEED`` for a line feed, ``START`` for the start of the text.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    FEED, START = "\x01", "\x02"
+    held: dict[str, CachedEncoder] = {}
+
+    @classmethod
+    def of(cls, path: str) -> CachedEncoder:
+        if path not in cls.held:
+            cls.held[path] = cls(path)
+        return cls.held[path]
+
+    def __init__(self, path: str, most: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most = most
-        self.first: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {}
+        self.cache: dict[str, bytes | bool] = {}
+        self.young: dict[str, bytes | bool] = {}
         self.feed = self._whole("\n")
+        self.feed_id = int(np.frombuffer(self.feed, "<u4")[0])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, cache: dict, pieces: list[str], prefix: str) -> None:
-        new = [p for p in set(pieces) if p not in cache]
-        if len(cache) + len(new) > self.most:
-            cache.clear()
-            new = list(set(pieces))
-        for p, e in zip(new, self.tokenizer.encode_batch([prefix + p for p in new], add_special_tokens=False)):
-            cache[p] = np.array(e.ids, "<u4").tobytes() if p and not p[0].isspace() and not p[-1].isspace() else None
+    def _learn(self, new: list[str]) -> None:
+        """Encodes many pieces in one call, a line feed between them; no piece holds one, so its id parts them again."""
+        into = self.cache if len(self.cache) + len(new) <= self.most else self.young
+        plain = []
+        for p in new:
+            body = p[1:] if p[:1] in (self.FEED, self.START) else p
+            if body and not body[0].isspace() and not body[-1].isspace() and self.FEED not in body and self.START not in body:
+                plain.append((p, body if body is not p else " " + p))
+            else:
+                into[p] = p == self.START and b""  # False: does not stand alone
+        for i in range(0, len(plain), 4000):
+            part = plain[i: i + 4000]
+            ids = np.array(self.tokenizer.encode("\n".join([x for _, x in part]), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(ids == self.feed_id).tolist()
+            data = ids.tobytes()
+            for (p, _), x, y in zip(part, [-1, *cuts], [*cuts, len(ids)]):
+                into[p] = data[4 * x + 4: 4 * y] if p[0] != self.FEED else self.feed + data[4 * x + 4: 4 * y]
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [[line.split(" ") for line in t.split("\n")] if t else [] for t in texts]
-        self._learn(self.first, [line[0] for lines in split for line in lines], "")
-        self._learn(self.later, [p for lines in split for line in lines for p in line[1:]], " ")
-        first, later, out = self.first.__getitem__, self.later.__getitem__, []
-        for t, lines in zip(texts, split):
+        split = [(self.START + t.replace("\n", " " + self.FEED)).split(" ") if t else [] for t in texts]
+        self.young.clear()
+        self._learn(list(set().union(*split).difference(self.cache)))
+        old, young, out = self.cache.get, self.young.__getitem__, []
+        for t, pieces in zip(texts, split):
             try:
-                out.append(self.feed.join([b"".join([first(line[0]), *map(later, line[1:])]) for line in lines]))
-            except TypeError:  # a piece that does not stand alone is None
+                ids = [old(p) for p in pieces]
+                out.append(b"".join(ids if None not in ids else [young(p) if x is None else x for p, x in zip(pieces, ids)]))
+            except TypeError:  # a piece that does not stand alone is False
                 out.append(self._whole(t))
         return out
 
@@ -167,7 +193,7 @@ class CachedEncoder:
 def _writer(path: str, end_id: int, shard_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        encoder = CachedEncoder(path)
+        encoder = CachedEncoder.of(path)
         end = np.array([end_id], "<u4").tobytes()
         held: list[bytes] = []
         names: list[int | None] = []
@@ -185,7 +211,8 @@ def _writer(path: str, end_id: int, shard_ids: int) -> Callable[[Iterator[pa.Rec
 
         for b in batches:
             texts = b.column("text").to_pylist()
-            for name, ids in zip(b.column("id").to_pylist(), encoder.batch(texts)):
+            encoded = (ids for i in range(0, len(texts), 250) for ids in encoder.batch(texts[i: i + 250]))
+            for name, ids in zip(b.column("id").to_pylist(), encoded):
                 held.append(ids + end)
                 names.append(name)
                 size += len(ids) // 4 + 1
