@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import latent, near_dups, pages, pieces, quality, secrets, sharding, tokens, vectors
+from tidemark.llm import latent, near_dups, pages, pieces, quality, secrets, sharding, suffixes, tokens, vectors
 from tidemark.llm.common import table
 from tidemark.session import fresh_folder
 
@@ -31,6 +31,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@register("op1_suffix_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixes.without_repeats(table(spark, folder, "documents", "doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0), lambda s, x: s + x["end"] - x["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op2_pu_quality")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
