@@ -348,7 +348,8 @@ def test_conversion_window_of_ninety_days(spark):
                                    "o string, u string, d date, p string")
     tier = F.when(F.col("product") == F.col("p"), 1).otherwise(4)
     out = trial_conversions(orders, trials, "u", "tu", "o", "d", "activated", "entitled", "sub", "product", tier)
-    assert rows(out.select("o", "sub", "match_tier")) == [("o1", "s1", 1), ("o3", "s1", 4)]  # day 90 counts, day 91 does not
+    assert rows(out.filter("converted").select("o", "sub", "match_tier")) == [("o1", "s1", 1), ("o3", "s1", 4)]  # day 90 counts, day 91 does not
+    assert rows(out.select("o", "sub", "match_rank", "converted")) == [("o1", "s1", 1, True), ("o1", "s2", 2, False), ("o3", "s1", 1, True)]
 
 
 def test_an_order_of_several_products_takes_its_best_trial(spark):
@@ -358,7 +359,8 @@ def test_an_order_of_several_products_takes_its_best_trial(spark):
                                    "o string, u string, d date, p string")
     tier = F.when(F.col("product") == F.col("p"), 1).otherwise(4)
     out = trial_conversions(orders, trials, "u", "tu", "o", "d", "activated", "entitled", "sub", "product", tier)
-    assert rows(out.select("o", "sub", "match_tier")) == [("o1", "s1", 1), ("o2", "s2", 4)]
+    assert rows(out.filter("converted").select("o", "sub", "match_tier")) == [("o1", "s1", 1), ("o2", "s2", 4)]
+    assert out.count() == 4 and out.filter("NOT converted").count() == 2
 
 
 # ---- partner funds ---------------------------------------------------------

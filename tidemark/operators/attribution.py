@@ -4,33 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import interval_join
-from tidemark.operators.latest import best_ties, first_by, latest_by
+from tidemark.operators.latest import first_by, latest_by
 
 
 def last_touch(stack: DataFrame, purchase: str, touched_at: str, attributes: Sequence[str],
                taxonomy: DataFrame | None = None, taxonomy_key: str | None = None,
-               taxonomy_value: str | None = None, remapped: str | None = None) -> DataFrame:
+               taxonomy_value: str | None = None, remapped: str | None = None, line_items: DataFrame | None = None,
+               line_item: str | None = None, industry: str | None = None) -> DataFrame:
     """The latest touch per purchase, its campaign id remapped by the taxonomy.
 
+    With ``line_items`` the (remapped) id is looked up as ``line_item``, and of
+    several line items of one id the one with an ``industry``, the first by its
+    name, is taken; their columns are added.
+
     Touches are reduced to one row per (purchase, attributes) first, so that
     repeated touches combine before the shuffle.
     """
     touches = stack.filter(F.col(purchase).isNotNull()).groupBy(purchase, *attributes).agg(
         F.max(touched_at).alias("touched_at"))
     latest = latest_by(touches, [purchase], "touched_at", *attributes)
-    if taxonomy is None:
+    if taxonomy is not None:
+        mapping = taxonomy.select(F.col(taxonomy_key).alias("_key"), F.col(taxonomy_value).alias("_value"))
+        mapping = mapping.groupBy("_key").agg(F.min("_value").alias("_value"))
+        latest = (
+            latest.join(mapping, F.col(taxonomy_key) == F.col("_key"), "left")
+            .withColumn(remapped, F.coalesce(F.col("_value"), F.col(remapped)))
+            .drop("_key", "_value")
+        )
+    if line_items is None:
         return latest
-    mapping = taxonomy.select(F.col(taxonomy_key).alias("_key"), F.col(taxonomy_value).alias("_value"))
-    mapping = mapping.groupBy("_key").agg(F.min("_value").alias("_value"))
-    return (
-        latest.join(mapping, F.col(taxonomy_key) == F.col("_key"), "left")
-        .withColumn(remapped, F.coalesce(F.col("_value"), F.col(remapped)))
-        .drop("_key", "_value")
-    )
+    # one line item per id first: the rule looks at nothing else, and no touch is multiplied
+    rest = [c for c in line_items.columns if c not in (line_item, industry)]
+    chosen = first_by(line_items, [line_item], [F.col(industry).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in rest]])
+    text = chosen.withColumn("_item", F.col(line_item).cast("string")).drop(line_item)
+    return latest.join(text, F.col(remapped).cast("string") == F.col("_item"), "left").drop("_item")
 
 
 def match_tier(trial_code: str, order_code: str, trial_name: str, order_class: str,
@@ -46,39 +57,32 @@ def match_tier(trial_code: str, order_code: str, trial_name: str, order_class: s
 
 def trial_conversions(orders: DataFrame, trials: DataFrame, user: str, trial_user: str, order_id: str,
                       ordered: str, activated: str, entitled: str, trial_id: str, trial_product: str,
-                      tier: Column, window_days: int = 90,
-                      span: tuple[str, str] | None = None) -> DataFrame:
-    """Orders within the window of an activated trial, and which trial won.
+                      tier: Column, window_days: int = 90) -> DataFrame:
+    """Every trial that an order may have come from, ranked; ``converted`` marks the winner.
 
     An order may follow a trial from its activation up to ``window_days`` after
-    the entitlement start. Per order the best tier wins, then the latest
-    activation, then the greatest trial id; ``converted`` marks the winner.
-
-    Neither side's repetitions are multiplied: trials alike in everything that
-    decides are one row (their greatest id), and orders alike in all but their
-    id are matched once and joined to their winners afterwards. A busy user's
-    pairs are so bounded by days and products, whatever the number of orders,
-    and the join is split by month as well as user.
+    the entitlement start. Per order the best tier ranks first, then the latest
+    activation, then the greatest trial id; the others stay with their rank.
+
+    Orders alike in all but their id are matched once and joined to their
+    matches afterwards, and the match is split by month as well as user. A rank
+    runs over one order's matches only.
     """
-    candidates = (
-        trials.filter(F.col(activated).isNotNull())
-        .groupBy(*[c for c in trials.columns if c != trial_id]).agg(F.max(trial_id).alias(trial_id))
-        .withColumn("_until", F.date_add(F.col(entitled), window_days))
-    )
+    candidates = trials.filter(F.col(activated).isNotNull()).distinct().withColumn("_until", F.date_add(F.col(entitled), window_days))
     kind = [c for c in orders.columns if c != order_id]
-    decisive = [F.col("match_tier").asc(), F.col(activated).desc(), F.col(trial_id).desc()]
     found = [trial_product, activated, entitled, trial_id]
     pairs = interval_join(
-        orders.select(*kind).distinct(), candidates, {user: trial_user}, ordered, activated, "_until", "inner", span)
+        orders.select(*kind).distinct(), candidates, {user: trial_user}, ordered, activated, "_until", "inner")
     tiered = pairs.withColumn("match_tier", tier).groupBy(*kind, *found).agg(F.min("match_tier").alias("match_tier"))
-    winners = best_ties(tiered, kind, decisive).select(*[F.col(c).alias(f"_k_{c}") for c in kind], *found, "match_tier")
+    tiered = tiered.select(*[F.col(c).alias(f"_k_{c}") for c in kind], *found, "match_tier")
     same = F.lit(True)
     for c in kind:
         same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    # an order of several products takes the best of their winners
+    # an order of several products takes the best tier of a trial
     keys = [order_id, ordered, user]
-    matched = orders.distinct().join(winners, same).groupBy(*keys, *found).agg(F.min("match_tier").alias("match_tier"))
-    return best_ties(matched, keys, decisive)
+    matched = orders.distinct().join(tiered, same).groupBy(*keys, *found).agg(F.min("match_tier").alias("match_tier"))
+    best = Window.partitionBy(*keys).orderBy(F.col("match_tier").asc(), F.col(activated).desc(), F.col(trial_id).desc())
+    return matched.withColumn("match_rank", F.dense_rank().over(best)).withColumn("converted", F.col("match_rank") == 1)
 
 
 def valid_downloads(downloads: DataFrame, activations: DataFrame, keys: Sequence[str], group: Sequence[str],

@@ -102,34 +102,25 @@ def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return joined
 
 
-def _month_buckets(start: Column, end: Column, low: Column, high: Column) -> Column:
-    first, last = F.greatest(start, low), F.least(end, high)
-    return F.explode(
-        F.when(first <= last, F.sequence(F.trunc(first, "MM"), F.trunc(last, "MM"), F.expr("interval 1 month")))
-        .otherwise(F.array())
-    )
-
-
 def interval_join(facts: DataFrame, intervals: DataFrame, on: dict[str, str], when: str,
-                  start: str, end: str, how: str = "left",
-                  span: tuple[str, str] | None = None) -> DataFrame:
+                  start: str, end: str, how: str = "left") -> DataFrame:
     """Attach the intervals whose [start, end] holds the fact's date.
 
-    Besides the key, both sides are joined on the calendar month: each fact
-    has one month, each interval one row per month it covers. A hot key is so
-    spread over its months, and a fact meets only that month's intervals. The
-    result is the plain range join's, with every match of overlapping intervals.
-
-    ``span`` bounds the fact dates; it is aggregated from the facts (one row)
-    when not given. Interval key columns (the values of ``on``) stay in the result.
+    Besides the key, both sides are joined on the calendar month: each fact has
+    one month, and each interval one row for every month it covers in which its
+    key has a fact. A hot key is so spread over its months, a fact meets only
+    that month's intervals, and intervals may be as long as they like, as no
+    range of dates has to be known. The result is the plain range join's, with
+    every match of overlapping intervals. Interval key columns (the values of
+    ``on``) stay in the result.
     """
-    if span is None:
-        low, high = facts.agg(F.min(when), F.max(when)).first()
-    else:
-        low, high = span
-    low, high = F.lit(low).cast("date"), F.lit(high).cast("date")
+    months = facts.filter(F.col(when).isNotNull()).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)], F.trunc(F.col(when), "MM").alias("_month")).distinct()
+    covered = (F.col("_month") >= F.trunc(F.col(start), "MM")) & (F.col("_month") <= F.col(end))
+    for i, right_key in enumerate(on.values()):
+        covered = covered & (F.col(right_key) == F.col(f"_k{i}"))
+    bucketed = intervals.join(months, covered).drop(*[f"_k{i}" for i in range(len(on))])
     bucketed_facts = facts.withColumn("_fact_month", F.trunc(F.col(when), "MM"))
-    bucketed = intervals.withColumn("_month", _month_buckets(F.col(start), F.col(end), low, high))
     cond = (
         (F.col("_fact_month") == F.col("_month"))
         & (F.col(when) >= F.col(start)) & (F.col(when) <= F.col(end))
@@ -140,15 +131,14 @@ def interval_join(facts: DataFrame, intervals: DataFrame, on: dict[str, str], wh
 
 
 def full_interval_join(facts: DataFrame, intervals: DataFrame, on: dict[str, str], dates: Sequence[str],
-                       fact_id: str, interval_id: str, start: str, end: str,
-                       span: tuple[str, str] | None = None) -> DataFrame:
+                       fact_id: str, interval_id: str, start: str, end: str) -> DataFrame:
     """FULL JOIN where any of several fact dates may fall into the interval.
 
     An OR over dates cannot be partitioned; one row per (fact, date) can. The
     pairs found are made distinct, then the unmatched rows of both sides added.
     """
     probes = facts.withColumn("_date", F.explode(F.array_distinct(F.array_compact(F.array(*dates)))))
-    pairs = interval_join(probes, intervals, on, "_date", start, end, "inner", span).drop("_date")
+    pairs = interval_join(probes, intervals, on, "_date", start, end, "inner").drop("_date")
     pairs = pairs.dropDuplicates([fact_id, interval_id])
     lonely_facts = facts.join(pairs.select(fact_id).distinct(), fact_id, "left_anti")
     lonely_intervals = intervals.join(pairs.select(interval_id).distinct(), interval_id, "left_anti")

@@ -43,11 +43,6 @@ def latest_ties(df: DataFrame, keys: Sequence[str], newest: str) -> DataFrame:
     return df.join(top, on, "left_semi")
 
 
-def best_ties(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """All rows tied for the first place per key under ``order``."""
-    return _ranked(df, keys, order, F.dense_rank())
-
-
 def one_per_key(df: DataFrame, keys: Sequence[str], *tiebreak: str) -> DataFrame:
     """Any one row per key, made repeatable by an explicit tiebreak."""
     return first_by(df, keys, [F.col(c).asc_nulls_last() for c in tiebreak])

@@ -92,14 +92,14 @@ def mid_funnel(contacts: DataFrame, leads: DataFrame, trials: DataFrame, id_stac
 
 
 def marketing_funnel(mid: DataFrame, lower: DataFrame, phases: DataFrame, opportunity: str, fact_id: str, dates: Sequence[str],
-                     account: str, span: tuple[str, str] | None = None) -> DataFrame:
+                     account: str) -> DataFrame:
     """Mid FULL lower funnel, then FULL customer phases by any of its dates.
 
     ``phases``: phase_id, parent_id, phase, phase_start, phase_end.
     """
     both = joins.full_outer(mid, lower, [opportunity])
     return joins.full_interval_join(
-        both, phases, {account: "parent_id"}, dates, fact_id, "phase_id", "phase_start", "phase_end", span)
+        both, phases, {account: "parent_id"}, dates, fact_id, "phase_id", "phase_start", "phase_end")
 
 
 def contribution(deals: DataFrame, dims: Sequence[str], amount: str, offers: str, contribution_type: str, deal_type: str,

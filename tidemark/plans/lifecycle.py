@@ -25,12 +25,15 @@ def seat_rate(assignments: DataFrame, usage: DataFrame, keys: Sequence[str], sea
     """Purchased, assigned and used seats on every ``every``-th day of a seat.
 
     Assigned seats are capped at purchased ones, users at assigned seats. Days
-    are numbered per seat over all its days with a record.
+    are numbered per seat over all its days with a record, also those without a
+    purchased seat, which are left out afterwards.
     """
-    numbered = latest.day_ordinal(
-        assignments.filter(F.col(purchased) != 0).groupBy(day, *keys).agg(
-            F.sum(purchased).alias("seats_purchased"), F.sum(assigned).alias("_assigned")),
-        seat_keys, day, "day_bucket").filter(F.col("day_bucket") % every == 0)
+    bought = F.col(purchased) != 0
+    daily = assignments.groupBy(day, *keys).agg(
+        F.sum(F.when(bought, F.col(purchased))).alias("seats_purchased"), F.sum(F.when(bought, F.col(assigned))).alias("_assigned"),
+        F.max(F.when(bought, 1).otherwise(0)).alias("_bought"))
+    numbered = latest.day_ordinal(daily, seat_keys, day, "day_bucket").filter(
+        (F.col("day_bucket") % every == 0) & (F.col("_bought") == 1)).drop("_bought")
     users = usage.groupBy(day, *keys).agg(F.count_distinct(user).alias("_users"))
     seats_assigned = F.coalesce(numbers.capped("_assigned", F.col("seats_purchased")), F.lit(0))
     return (
@@ -107,3 +110,8 @@ def latest_bands(bands: DataFrame, parent: str, child: str, year: str, quarter:
 def rolling_window(df: DataFrame, day: str, as_of: str, months: int) -> DataFrame:
     d = F.col(day)
     return df.filter((d >= fiscal.rolling_month_start(as_of, months)) & (d < fiscal.as_date(as_of)))
+
+
+def renewal_window_start(as_of: str, months: int = 15):
+    """First day of the fiscal quarter that holds the month ``months`` back."""
+    return fiscal.quarter_begin(fiscal.rolling_month_start(as_of, months))

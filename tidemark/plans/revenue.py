@@ -80,11 +80,12 @@ def order_count_cube(orders: DataFrame, order_id: str, day: str, dims: dict[str,
 
 
 def source_measures(sales: DataFrame, keys: Sequence[str], amount: str, source: str, kind: str, phase: str,
-                    new_part: str, expansion_part: str) -> DataFrame:
+                    new_part: str, expansion_part: str, net_new_part: str) -> DataFrame:
     """Total, new-business and new-customer revenue, ruled by source, and the rest.
 
-    Integrated sources count new orders in full; the core source names its new
-    and expansion parts itself. Renewal and expansion follow by difference.
+    Integrated sources count new orders in full; the core source names its new,
+    expansion and net-new parts itself: new business is new and expansion, new
+    customers are new and net-new. Renewal and expansion follow by difference.
     """
     integrated, unintegrated, core = (F.col(source) == s for s in ("Integrated", "Unintegrated", "Core"))
     is_new = F.upper(F.col(kind)) == "NEW"
@@ -95,7 +96,7 @@ def source_measures(sales: DataFrame, keys: Sequence[str], amount: str, source:
     )
     new_customer = (
         F.when(integrated & F.col(phase).isNotNull() & is_new, F.col(amount))
-        .when(core, F.coalesce(F.col(new_part), zero))
+        .when(core, F.coalesce(F.col(new_part), zero) + F.coalesce(F.col(net_new_part), zero))
     )
     summed = sales.groupBy(*keys).agg(
         F.sum(amount).alias("total"), F.sum(new_business).alias("new_business"),

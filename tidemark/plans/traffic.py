@@ -25,7 +25,7 @@ class TrafficRules:
         "%:support:account%", "%:support:download-install%", "%:support:system-requirements%",
     )
     product_page: str = "%:PRODUCTS:%"
-    not_product_pages: tuple[str, ...] = ("%:MANAGE%", "%TRIAL%", "%:404", "%ERROR%", "%OXYGEN%")
+    not_product_pages: tuple[str, ...] = ("%:MANAGE%", "%TRIAL%", "%:404", "%ERROR%")
     interactions: tuple[str, ...] = (
         "form-submit", "add-to-cart", "live-chat-click", "file-download", "pdf-click", "social-share",
         "search-results", "cloud-trial", "trial-download-start-intent", "video-play",
@@ -63,11 +63,15 @@ def exclusion_flags(hits: DataFrame, rules: TrafficRules, day: str, page: str, r
     })
 
 
-def hit_flags(hits: DataFrame, rules: TrafficRules, page: str, event: str, link: str) -> DataFrame:
-    """Prospect, product-page and bounce flags of single hits."""
+def hit_flags(hits: DataFrame, rules: TrafficRules, page: str, event: str, link: str, attempt: str) -> DataFrame:
+    """Prospect, product-page and bounce flags of single hits.
+
+    A hit is an interaction, and no bounce, if its event is one, if its link is
+    the empty text (not NULL), or if it is an attempt to submit a form.
+    """
     prospect = ~text.like_any(link, rules.navigation_links, ignore_case=True) & (F.col(event) == "link-click")
     product = F.upper(F.col(page)).like(rules.product_page) & ~text.like_any(F.upper(F.col(page)), rules.not_product_pages)
-    acted = F.lower(F.col(event)).isin(list(rules.interactions))
+    acted = F.lower(F.col(event)).isin(list(rules.interactions)) | (F.col(link) == "") | (F.col(attempt) == 1)
     return hits.withColumns({
         "is_prospect": F.coalesce(prospect, F.lit(False)).cast("int"),
         "is_product_page": F.coalesce(product, F.lit(False)).cast("int"),

@@ -292,9 +292,8 @@ def _(t):
         F.count(F.lit(1)).alias("lines"), F.min(shipped).alias("first_date"), F.max(shipped).alias("last_date"))
     both = joins.full_outer(mid, low, ["opportunity"]).withColumn("account", F.coalesce("mid_account", F.lit(0)))
     late = phases(t).filter("phase = '5-LOW'").withColumn("phase_id", F.concat_ws("|", "parent_id", "phase_start"))
-    span = t.lineitem.agg(F.min(shipped), F.max(shipped)).first()
     fact = joins.full_interval_join(both, late, {"account": "parent_id"}, ["first_date", "last_date"], "opportunity", "phase_id",
-                                    "phase_start", "phase_end", span)
+                                    "phase_start", "phase_end")
     return plain(fact, "opportunity", "lead_type", "lines", "parent_id", "phase_start")
 
 
@@ -364,7 +363,7 @@ def _(t):
     recent = phases(t).filter(F.col("phase_start").between(first, last)).withColumn("phase_id", F.concat_ws("|", "parent_id", "phase_start"))
     sales = t.orders.filter(order_day().between(first, last)).select(
         F.col("o_orderkey"), "o_custkey", order_day().alias("d"), money("o_totalprice").alias("price"))
-    matched = joins.interval_join(sales, recent, {"o_custkey": "parent_id"}, "d", "phase_start", "phase_end", "inner", ("2000-02-01", SALES_AS_OF))
+    matched = joins.interval_join(sales, recent, {"o_custkey": "parent_id"}, "d", "phase_start", "phase_end", "inner")
     totals = matched.groupBy("phase_id").agg(F.count("d").alias("orders"), F.sum("price").alias("revenue"))
     fact = recent.join(totals, "phase_id", "left").groupBy(fiscal.quarter_label("phase_start").alias("fiscal_quarter"), "phase").agg(
         F.count_distinct("parent_id").alias("customers"), F.sum(F.coalesce("orders", F.lit(0))).alias("orders"), F.sum("revenue").alias("revenue"))

@@ -25,12 +25,13 @@ def seats(t: Catalog):
     lines = t.lineitem.select(
         "l_orderkey", F.col("l_shipdate").cast("date").alias("day"), F.col("l_suppkey").alias("tenant"),
         F.concat(F.lit("1_"), F.col("l_linenumber").cast("string")).alias("pool"), "l_quantity", "l_partkey", "l_linestatus",
+        F.when(F.col("l_orderkey") % 11 == 0, 0).otherwise(F.col("l_quantity")).alias("bought"),
         F.when(F.col("l_returnflag") == "R", F.col("l_quantity") + 10).otherwise(F.col("l_quantity") - 5).alias("assigned"))
     owned = lines.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     return joins.resolve_survivor(owned, "o_custkey", merges(t), current_accounts(t), "victim", "survivor", "account", "account")
 
 
-SQL_SEATS = f"""{SQL_MERGES}, seats AS (SELECT CAST(l_shipdate AS DATE) AS day, l_suppkey AS tenant, '1_' || l_linenumber AS pool, l_quantity, l_partkey, l_linestatus,
+SQL_SEATS = f"""{SQL_MERGES}, seats AS (SELECT CAST(l_shipdate AS DATE) AS day, l_suppkey AS tenant, '1_' || l_linenumber AS pool, l_quantity, CASE WHEN l_orderkey % 11 = 0 THEN 0 ELSE l_quantity END AS bought, l_partkey, l_linestatus,
   CASE WHEN l_returnflag = 'R' THEN l_quantity + 10 ELSE l_quantity - 5 END AS assigned, coalesce(d.account, e.account, o_custkey) AS account
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN current_accounts d ON o_custkey = d.account LEFT JOIN merges ON o_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account)"""
 
@@ -46,8 +47,8 @@ SQL_CONTROL = """control AS (SELECT DISTINCT coalesce(d.account, e.account, c_cu
 
 
 @query("seat_rate", "K34 G21 J17 W5 B16", f"""
-WITH {SQL_SEATS}, {SQL_CONTROL}, g AS (SELECT day, tenant, pool, account, sum(l_quantity) AS seats_purchased, sum(assigned) AS assigned FROM seats WHERE l_quantity <> 0 GROUP BY ALL),
-n AS (SELECT *, dense_rank() OVER (PARTITION BY tenant, pool ORDER BY day) AS day_bucket FROM g),
+WITH {SQL_SEATS}, {SQL_CONTROL}, numbered AS (SELECT *, dense_rank() OVER (PARTITION BY tenant, pool ORDER BY day) AS day_bucket FROM seats),
+n AS (SELECT day, tenant, pool, account, day_bucket, sum(bought) AS seats_purchased, sum(assigned) AS assigned FROM numbered WHERE bought <> 0 GROUP BY ALL),
 u AS (SELECT day, tenant, pool, account, count(DISTINCT l_partkey) AS users FROM seats WHERE l_linestatus = 'F' GROUP BY ALL)
 SELECT CAST(day AS VARCHAR) AS day, tenant, pool, account, seats_purchased, least(assigned, seats_purchased) AS seats_assigned, least(CAST(coalesce(users, 0) AS DOUBLE), least(assigned, seats_purchased)) AS seats_used, day_bucket,
   CASE WHEN control_account IS NOT NULL THEN 'Control' ELSE 'Test' END AS test_control
@@ -55,7 +56,7 @@ FROM n LEFT JOIN u USING (day, tenant, pool, account) LEFT JOIN control ON accou
 def _(t):
     rows = seats(t)
     rated = lifecycle.seat_rate(rows, rows.filter("l_linestatus = 'F'"), ["tenant", "pool", "account"], ["tenant", "pool"], "day",
-                                "l_quantity", "assigned", "l_partkey")
+                                "bought", "assigned", "l_partkey")
     return plain(lifecycle.control_flag(rated, "account", control(t), "control_account"),
                  "day", "tenant", "pool", "account", "seats_purchased", "seats_assigned", "seats_used", "day_bucket", "test_control")
 
@@ -65,7 +66,7 @@ CUBE = ["product", "account", "phase", "seat_type"]
 
 @query("active_users", "K35 G8 G11 B15", f"""
 WITH {SQL_MERGES}, {SQL_CONTROL}, {SQL_PHASES}, usage AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_custkey AS account, o_orderpriority AS product, nullif(o_orderstatus, 'P') AS seat_type, o_orderkey % 997 AS user_id FROM orders
-  WHERE o_orderdate >= date_trunc('month', {A} - INTERVAL 4 MONTH) AND o_orderdate < {A}),
+  WHERE o_orderdate >= date_trunc('month', {A} - INTERVAL 16 MONTH) AND o_orderdate < {A}),
 used AS (SELECT * FROM usage WHERE (account, product) IN (SELECT (o_custkey, o_orderpriority) FROM orders WHERE o_orderstatus <> 'O')),
 r AS (SELECT u.*, strftime(day, '%Y-%m') AS month, phase, CASE WHEN control_account IS NOT NULL THEN 'Control' ELSE 'Test' END AS test_control FROM used u LEFT JOIN phases ON account = parent_id AND day BETWEEN phase_start AND phase_end AND phase <> '5-LOW' LEFT JOIN control ON account = control_account),
 c AS (SELECT month, test_control, product, account, phase, seat_type, count(DISTINCT user_id) AS active_users FROM r GROUP BY month, test_control, CUBE (product, account, phase, seat_type))
@@ -74,10 +75,9 @@ SELECT DISTINCT *, CASE WHEN product IS NOT NULL AND account IS NOT NULL AND pha
 def _(t):
     usage = lifecycle.rolling_window(t.orders.select(
         order_day().alias("day"), F.col("o_custkey").alias("account"), F.col("o_orderpriority").alias("product"),
-        F.nullif("o_orderstatus", F.lit("P")).alias("seat_type"), (F.col("o_orderkey") % 997).alias("user_id")), "day", SALES_AS_OF, 4)
+        F.nullif("o_orderstatus", F.lit("P")).alias("seat_type"), (F.col("o_orderkey") % 997).alias("user_id")), "day", SALES_AS_OF, 16)
     seated = t.orders.filter("o_orderstatus <> 'O'").select(F.col("o_custkey").alias("account"), F.col("o_orderpriority").alias("product"))
-    in_phase = joins.interval_join(usage, phases(t).filter("phase <> '5-LOW'"), {"account": "parent_id"}, "day", "phase_start", "phase_end",
-                                   span=("2001-03-01", SALES_AS_OF))
+    in_phase = joins.interval_join(usage, phases(t).filter("phase <> '5-LOW'"), {"account": "parent_id"}, "day", "phase_start", "phase_end")
     flagged = lifecycle.control_flag(in_phase, "account", control(t), "control_account").withColumn("month", F.date_format("day", "yyyy-MM"))
     return plain(lifecycle.active_users(flagged, seated, ["account", "product"], "user_id", ["month", "test_control"], CUBE))
 
@@ -97,12 +97,12 @@ def finance(t: Catalog):
 WITH {SQL_MERGES}, {SQL_CONTROL}, f AS (SELECT DISTINCT {sql_label('o_orderdate')} AS period, coalesce(d.account, e.account, o_custkey) AS account, CASE WHEN l_returnflag = 'N' THEN {SQL_NET} END AS renewed, CASE WHEN l_returnflag <> 'A' THEN {SQL_NET} END AS due,
   CASE WHEN l_returnflag = 'N' THEN l_quantity END AS seats_renewed, l_quantity AS seats_due, CASE WHEN l_linenumber < 4 THEN {SQL_NET} END AS adjusted
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN current_accounts d ON o_custkey = d.account LEFT JOIN merges ON o_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account
-  WHERE o_orderdate >= {A} - INTERVAL 15 MONTH AND o_orderdate < {A})
+  WHERE o_orderdate >= (SELECT m - to_months(CAST((month(m) + 10) % 3 AS INT)) FROM (SELECT date_trunc('month', {A} - INTERVAL 15 MONTH) AS m)) AND o_orderdate < {A})
 SELECT period, account, CASE WHEN control_account IS NOT NULL THEN 'Control' ELSE 'Test' END AS test_control, CAST(sum(renewed) AS DOUBLE) AS renewed, CAST(sum(due) AS DOUBLE) AS due, sum(seats_renewed) AS seats_renewed, sum(seats_due) AS seats_due, CAST(sum(adjusted) AS DOUBLE) AS adjusted,
   round(CAST(sum(renewed) AS DOUBLE) / nullif(CAST(sum(due) AS DOUBLE), 0), 4) AS rate, round(sum(seats_renewed) / nullif(sum(seats_due), 0), 4) AS seat_rate, round(CAST(sum(adjusted) AS DOUBLE) / nullif(CAST(sum(due) AS DOUBLE), 0), 4) AS adjusted_rate
 FROM f LEFT JOIN control ON account = control_account GROUP BY 1, 2, 3 HAVING rate > 0""")
 def _(t):
-    rows = finance(t).filter(F.col("day").between(F.add_months(fiscal.as_date(SALES_AS_OF), -15), F.date_sub(fiscal.as_date(SALES_AS_OF), 1)))
+    rows = finance(t).filter(F.col("day").between(lifecycle.renewal_window_start(SALES_AS_OF), F.date_sub(fiscal.as_date(SALES_AS_OF), 1)))
     rated = lifecycle.renewal_rate(rows, ["period", "account"], {
         "rate": ("renewed", "due"), "seat_rate": ("seats_renewed", "seats_due"), "adjusted_rate": ("adjusted", "due")}, "rate")
     return plain(lifecycle.control_flag(rated, "account", control(t), "control_account"),
@@ -243,12 +243,13 @@ def _(t):
 PROFILE_MEASURES = {
     "USER": {"impressions": ["size"], "reactions": ["words"], "followers": []},
     "ASSISTANT": {"impressions": ["size", "words"], "reactions": ["words"], "followers": ["turn"]},
+    "SYSTEM": {"impressions": ["words"], "reactions": [], "followers": []},
 }
 
 
 @query("social_profiles", "K39", f"""
-WITH r AS (SELECT upper(role) AS network, 'P' || conv_id AS profile_id, DATE '2024-01-01' + CAST(turn AS INT) AS day, length(text) AS size, CASE WHEN turn % 3 <> 0 THEN len(string_split(text, ' ')) END AS words, turn FROM conversations WHERE role IN ('user', 'assistant'))
-SELECT network, profile_id, CAST(day AS VARCHAR) AS day, CAST(sum(CASE network WHEN 'USER' THEN size ELSE size + coalesce(words, 0) END) AS BIGINT) AS impressions, CAST(sum(coalesce(words, 0)) AS BIGINT) AS reactions, CAST(sum(CASE network WHEN 'USER' THEN 0 ELSE turn END) AS BIGINT) AS followers, {sql_label('day')} AS fiscal_quarter FROM r GROUP BY network, profile_id, day""")
+WITH r AS (SELECT upper(role) AS network, 'P' || conv_id AS profile_id, DATE '2024-01-01' + CAST(turn AS INT) AS day, length(text) AS size, CASE WHEN turn % 3 <> 0 THEN len(string_split(text, ' ')) END AS words, turn FROM conversations)
+SELECT network, profile_id, CAST(day AS VARCHAR) AS day, CAST(sum(CASE network WHEN 'USER' THEN size WHEN 'SYSTEM' THEN coalesce(words, 0) ELSE size + coalesce(words, 0) END) AS BIGINT) AS impressions, CAST(sum(CASE network WHEN 'SYSTEM' THEN 0 ELSE coalesce(words, 0) END) AS BIGINT) AS reactions, CAST(sum(CASE network WHEN 'ASSISTANT' THEN turn ELSE 0 END) AS BIGINT) AS followers, {sql_label('day')} AS fiscal_quarter FROM r GROUP BY network, profile_id, day""")
 def _(t):
     rows = t.conversations.select(
         F.upper("role").alias("role"), F.concat(F.lit("P"), F.col("conv_id").cast("string")).alias("profile_id"),

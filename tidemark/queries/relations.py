@@ -104,8 +104,7 @@ LEFT JOIN phases ON o_custkey = parent_id AND CAST(l_shipdate AS DATE) BETWEEN p
 def _(t):
     shipped = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("shipped")).join(
         t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    span = t.lineitem.agg(F.min(F.col("l_shipdate").cast("date")), F.max(F.col("l_shipdate").cast("date"))).first()
-    return plain(joins.interval_join(shipped, phases(t), {"o_custkey": "parent_id"}, "shipped", "phase_start", "phase_end", span=span),
+    return plain(joins.interval_join(shipped, phases(t), {"o_custkey": "parent_id"}, "shipped", "phase_start", "phase_end"),
                  "l_orderkey", "l_linenumber", "parent_id", "phase", "phase_start")
 
 
@@ -121,10 +120,9 @@ def _(t):
     facts = t.orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", order_day().alias("ordered")).join(
         ships, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
     late = phases(t).filter("phase = '1-URGENT'").withColumn("phase_id", F.concat_ws("|", "parent_id", "phase_start"))
-    span = t.lineitem.agg(F.lit("1995-01-01"), F.max(F.col("l_shipdate").cast("date"))).first()
     return plain(joins.full_interval_join(
         facts, late, {"o_custkey": "parent_id"}, ["ordered", "first_ship", "last_ship"], "o_orderkey", "phase_id",
-        "phase_start", "phase_end", span=span), "o_orderkey", "parent_id", "phase", "phase_start")
+        "phase_start", "phase_end"), "o_orderkey", "parent_id", "phase", "phase_start")
 
 
 @query("event_in_entitlement", "J10", """

@@ -189,7 +189,7 @@ WITH {SQL_ORDER_AMOUNTS}, sourced AS (SELECT day, net,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'Integrated' WHEN '2-HIGH' THEN 'Integrated' WHEN '3-MEDIUM' THEN 'Core' ELSE 'Unintegrated' END AS source,
     CASE o_orderstatus WHEN 'O' THEN 'New' WHEN 'P' THEN 'Renewal' END AS kind,
     CASE WHEN o_custkey % 3 <> 0 THEN 'Phase' END AS phase,
-    CASE WHEN lines > 2 THEN net END AS new_part, CASE WHEN lines <= 2 THEN net END AS expansion_part FROM order_amounts)
+    CASE WHEN lines > 2 THEN net END AS new_part, CASE WHEN lines <= 2 THEN net END AS expansion_part, CASE WHEN lines = 1 THEN net END AS net_new_part FROM order_amounts)
 SELECT {sql_label('day')} AS fiscal_quarter, source, CAST(sum(net) AS DOUBLE) AS total,
   CAST(sum(nb) AS DOUBLE) AS new_business, CAST(sum(nc) AS DOUBLE) AS new_customer,
   CAST(coalesce(sum(net), 0) - coalesce(sum(nb), 0) AS DOUBLE) AS renewal,
@@ -197,7 +197,7 @@ SELECT {sql_label('day')} AS fiscal_quarter, source, CAST(sum(net) AS DOUBLE) AS
 FROM (SELECT *, CASE WHEN source <> 'Core' AND upper(kind) = 'NEW' THEN net
         WHEN source = 'Core' THEN coalesce(new_part, 0) + coalesce(expansion_part, 0) END AS nb,
       CASE WHEN source = 'Integrated' AND phase IS NOT NULL AND upper(kind) = 'NEW' THEN net
-        WHEN source = 'Core' THEN coalesce(new_part, 0) END AS nc FROM sourced)
+        WHEN source = 'Core' THEN coalesce(new_part, 0) + coalesce(net_new_part, 0) END AS nc FROM sourced)
 GROUP BY 1, 2""")
 def _(t):
     source = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Integrated").when(
@@ -207,9 +207,10 @@ def _(t):
         F.when(F.col("o_orderstatus") == "O", "New").when(F.col("o_orderstatus") == "P", "Renewal").alias("kind"),
         F.when(F.col("o_custkey") % 3 != 0, "Phase").alias("phase"),
         F.when(F.col("lines") > 2, F.col("net")).alias("new_part"),
-        F.when(F.col("lines") <= 2, F.col("net")).alias("expansion_part"))
+        F.when(F.col("lines") <= 2, F.col("net")).alias("expansion_part"),
+        F.when(F.col("lines") == 1, F.col("net")).alias("net_new_part"))
     return plain(revenue.source_measures(
-        sales, ["fiscal_quarter", "source"], "net", "source", "kind", "phase", "new_part", "expansion_part"))
+        sales, ["fiscal_quarter", "source"], "net", "source", "kind", "phase", "new_part", "expansion_part", "net_new_part"))
 
 
 @query("yearly_revenue_ratio", "W8 G15", f"""

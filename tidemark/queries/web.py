@@ -10,7 +10,7 @@ from tidemark.plans.traffic import TrafficRules
 from tidemark.queries.output import plain
 from tidemark.queries.registry import query
 from tidemark.queries.roles import (
-    SALES_AS_OF, SQL_ACCOUNTS, WEB_AS_OF, accounts, order_day, sql_calendar, sql_from, sql_index_label,
+    SALES_AS_OF, SQL_ACCOUNTS, accounts, order_day, sql_calendar, sql_from, sql_index_label,
 )
 from tidemark.sources.tables import Catalog
 
@@ -32,7 +32,8 @@ def hits(t: Catalog):
         "event_id", "ts", "user_id", "value", "k", day.alias("day"),
         F.concat_ws("-", "user_id", day).alias("visit_id"), page.alias("page"),
         F.when(kind == "click", "link-click").when(kind == "purchase", "add-to-cart").otherwise(kind).alias("event"),
-        F.when(k % 5 == 0, F.lit("Sign In")).otherwise(F.concat(F.lit("link "), k.cast("string"))).alias("link"),
+        F.when(k % 5 == 0, F.lit("Sign In")).when(k % 17 == 0, F.lit("")).otherwise(F.concat(F.lit("link "), k.cast("string"))).alias("link"),
+        F.when(k % 19 == 0, 1).when(k % 3 == 0, 0).alias("form_attempt"),
         F.when(k % 7 == 0, F.lit("moe")).otherwise(F.lit("web")).alias("origin"),
         F.when(k % 11 == 0, F.lit("Renew")).alias("renewal"),
         F.when(k % 13 == 0, F.lit("DE:1")).alias("platform"),
@@ -48,7 +49,7 @@ SQL_HITS = """hits AS (SELECT event_id, ts, user_id, value, k, CAST(ts AS DATE)
   CASE event_type WHEN 'view' THEN 'site:en:products:p' || k % 4 WHEN 'click' THEN 'site:en:support:p' || k % 3 WHEN 'error' THEN 'site:en:404'
     WHEN 'signup' THEN 'site:en:trial' ELSE CASE WHEN k % 2 = 0 THEN 'site:cart details' ELSE 'site:en:order:support' END END AS page,
   CASE event_type WHEN 'click' THEN 'link-click' WHEN 'purchase' THEN 'add-to-cart' ELSE event_type END AS event,
-  CASE WHEN k % 5 = 0 THEN 'Sign In' ELSE 'link ' || k END AS link, CASE WHEN k % 7 = 0 THEN 'moe' ELSE 'web' END AS origin,
+  CASE WHEN k % 5 = 0 THEN 'Sign In' WHEN k % 17 = 0 THEN '' ELSE 'link ' || k END AS link, CASE WHEN k % 19 = 0 THEN 1 WHEN k % 3 = 0 THEN 0 END AS form_attempt, CASE WHEN k % 7 = 0 THEN 'moe' ELSE 'web' END AS origin,
   CASE WHEN k % 11 = 0 THEN 'Renew' END AS renewal, CASE WHEN k % 13 = 0 THEN 'DE:1' END AS platform,
   CASE WHEN k % 3 = 0 THEN 'https://help' ELSE 'https://home' END AS referrer, CAST(event_type = 'purchase' AS INT) AS cart_add,
   CAST(event_type IN ('view', 'click') AS INT) AS page_view, 'S' || user_id % 6 AS site, 'N' || user_id % 25 AS country_code,
@@ -113,7 +114,7 @@ def _(t):
 
 @query("visit_fact", "K24 G14", f"""
 WITH {SQL_FLAGS}, h AS (SELECT *, CAST(lower(link) NOT LIKE '%sign in%' AND event = 'link-click' AS BIGINT) AS is_prospect,
-  CAST(upper(page) LIKE '%:PRODUCTS:%' AS BIGINT) AS is_product_page, CASE WHEN event IN ('link-click', 'add-to-cart') THEN 0 ELSE 1 END AS bounce_page
+  CAST(upper(page) LIKE '%:PRODUCTS:%' AS BIGINT) AS is_product_page, CASE WHEN event IN ('link-click', 'add-to-cart') OR length(link) = 0 OR coalesce(form_attempt, 0) > 0 THEN 0 ELSE 1 END AS bounce_page
   FROM flagged WHERE NOT is_retired AND NOT is_renewal),
 d AS (SELECT visit_id, family, country_code, max(is_prospect) AS is_prospect, max(is_product_page) AS is_product_page, max(CAST(cart_add AS BIGINT)) AS cart_add FROM h GROUP BY 1, 2, 3),
 v AS (SELECT visit_id, CAST(min(bounce_page) AS BIGINT) AS bounce_page, count(DISTINCT page) AS pages_distinct, CAST(sum(page_view) AS BIGINT) AS page_views_sum FROM h GROUP BY 1)
@@ -122,7 +123,7 @@ SELECT d.*, v.bounce_page, v.pages_distinct, v.page_views_sum, CASE WHEN pages_d
   CAST(pages_distinct = 1 AND bounce_page = 1 AS BIGINT) AS is_bounce FROM d JOIN v USING (visit_id)""")
 def _(t):
     kept = flagged(t).filter("NOT is_retired AND NOT is_renewal")
-    ready = traffic.hit_flags(kept, RULES, "page", "event", "link")
+    ready = traffic.hit_flags(kept, RULES, "page", "event", "link", "form_attempt")
     return plain(traffic.visit_fact(ready, "visit_id", ["family", "country_code"], "page", "page_view",
                                     ["is_prospect", "is_product_page", "cart_add"]))
 
@@ -215,9 +216,9 @@ def _(t):
 WITH {SQL_TRIALS}, bought AS (SELECT event_id AS order_id, user_id, day AS ordered, product AS ordered_product, {sql_coded('c', CLASSES)} AS ordered_class FROM web WHERE event_type = 'purchase'),
 tiers AS (SELECT order_id, b.user_id, ordered, t.product, activated, entitled, subscription_id, min(CASE WHEN t.product = ordered_product THEN 1 WHEN left(t.product, 3) = left(ordered_product, 3) THEN 2
     WHEN upper(product_name) LIKE '%ALPHA%' AND upper(ordered_class) LIKE '%ALPHA%' THEN 2 WHEN upper(ordered_class) LIKE '%COLLECTION%' THEN 3 ELSE 4 END) AS match_tier
-  FROM bought b JOIN trials t ON b.user_id = t.user_id AND ordered >= activated AND ordered <= entitled + 12 GROUP BY ALL)
-SELECT order_id, user_id, CAST(ordered AS VARCHAR) AS ordered, product, CAST(activated AS VARCHAR) AS activated, CAST(entitled AS VARCHAR) AS entitled, subscription_id, CAST(match_tier AS BIGINT) AS match_tier FROM tiers
-QUALIFY dense_rank() OVER (PARTITION BY order_id, ordered, user_id ORDER BY match_tier, activated DESC, subscription_id DESC) = 1""")
+  FROM bought b JOIN trials t ON b.user_id = t.user_id AND ordered >= activated AND ordered <= entitled + 90 GROUP BY ALL),
+ranked AS (SELECT *, dense_rank() OVER (PARTITION BY order_id, ordered, user_id ORDER BY match_tier, activated DESC, subscription_id DESC) AS match_rank FROM tiers)
+SELECT order_id, user_id, CAST(ordered AS VARCHAR) AS ordered, product, CAST(activated AS VARCHAR) AS activated, CAST(entitled AS VARCHAR) AS entitled, subscription_id, CAST(match_tier AS BIGINT) AS match_tier, CAST(match_rank AS BIGINT) AS match_rank, match_rank = 1 AS converted FROM ranked""")
 def _(t):
     base, found = trials(t)
     candidates = found.select(F.col("user_id").alias("trial_user"), "product", "product_name", "subscription_id", "entitled", "activated")
@@ -227,8 +228,8 @@ def _(t):
     tier = attribution.match_tier("product", "ordered_product", "product_name", "ordered_class", ["ALPHA"])
     won = attribution.trial_conversions(
         bought, candidates, "user_id", "trial_user", "order_id", "ordered", "activated", "entitled", "subscription_id", "product",
-        tier, window_days=12, span=("2024-01-01", WEB_AS_OF))
-    return plain(won, "order_id", "user_id", "ordered", "product", "activated", "entitled", "subscription_id", "match_tier")
+        tier)
+    return plain(won, "order_id", "user_id", "ordered", "product", "activated", "entitled", "subscription_id", "match_tier", "match_rank", "converted")
 
 
 @query("last_click_before_purchase", "W14", """
