@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fiscal, keys, numbers, text
 from tidemark.operators import aggregates, conform, incremental, joins, latest, period, quality
-from tidemark.operators.attribution import trial_conversions
+from tidemark.operators.attribution import last_touch, trial_conversions
 from tidemark.operators.conform import Target
 from tidemark.operators.matching import match_countries
 from tidemark.operators.smoothing import smoothed_rate
-from tidemark.plans import calendar, partner_funds
+from tidemark.plans import calendar, lifecycle, partner_funds, revenue, traffic
+from tidemark.sources import landing
 
 
 def rows(df):
@@ -339,6 +340,85 @@ def test_smoothing_equals_brute_force(spark):
             assert got[(g, i)] == pytest.approx(total / weight, rel=1e-9)
 
 
+# ---- rules that only show on the odd row -----------------------------------
+
+def test_interval_join_far_outside_any_range(spark):
+    facts = spark.createDataFrame([(1, "k", day("1901-05-05")), (2, "k", day("2024-01-31")), (3, "k", day("2099-12-31")), (4, "k", None), (5, None, day("2024-01-31"))], "id int, k string, d date")
+    spans = spark.createDataFrame([("k", "open", day("2024-01-31"), day("9999-12-31")), ("k", "old", day("0001-01-01"), day("1999-01-01")), ("k", "none", day("2030-01-01"), None)], "pk string, name string, s date, e date")
+    got = joins.interval_join(facts, spans, {"k": "pk"}, "d", "s", "e")
+    assert sorted((r.id, r.name or "-") for r in got.collect()) == [(1, "old"), (2, "open"), (3, "open"), (4, "-"), (5, "-")]
+
+
+def test_seat_days_are_numbered_before_days_without_seats_go(spark):
+    rows_ = [("2024-01-01", 5), ("2024-01-02", 0), ("2024-01-03", 5), ("2024-01-04", 5)]
+    seats = spark.createDataFrame([(day(d), "t", n, n) for d, n in rows_], "d date, t string, bought int, assigned int")
+    used = spark.createDataFrame([(day("2024-01-04"), "t", 1)], "d date, t string, u int")
+    out = lifecycle.seat_rate(seats, used, ["t"], ["t"], "d", "bought", "assigned", "u", every=2)
+    assert [(str(r.d), r.day_bucket, r.seats_used) for r in out.collect()] == [("2024-01-04", 4, 1.0)]
+
+
+def test_renewals_start_with_a_whole_quarter(spark):
+    assert spark.range(1).select(lifecycle.renewal_window_start("2001-07-15")).first()[0] == day("2000-02-01")
+
+
+def test_net_new_counts_as_new_customers(spark):
+    sales = spark.createDataFrame([("Core", None, None, 10.0, 1.0, 2.0, 4.0)], "source string, kind string, phase string, amount double, new double, expansion double, net_new double")
+    out = revenue.source_measures(sales, ["source"], "amount", "source", "kind", "phase", "new", "expansion", "net_new").first()
+    assert (float(out.new_business), float(out.new_customer)) == (3.0, 5.0)
+
+
+def test_form_attempts_and_empty_links_are_interactions(spark):
+    hits = spark.createDataFrame([(1, "view", "x", None), (2, "view", "", None), (3, "view", None, 1), (4, "view", None, 0), (5, "pdf-click", "x", None)], "id int, e string, l string, a int")
+    out = traffic.hit_flags(hits.withColumn("p", F.lit("page")), traffic.TrafficRules(), "p", "e", "l", "a")
+    assert [r.bounce_page for r in out.orderBy("id").collect()] == [1, 0, 0, 1, 0]
+
+
+def test_a_parents_active_contract_steps_in_for_an_untyped_one(spark):
+    accounts = spark.createDataFrame([("a", "p", "1", "A", "x"), ("b", "p", "2", "B", "x"), ("c", "q", "3", "C", "x")], "account_id string, parent_account_id string, customer_csn string, partner_name string, account_country string")
+    contracts = spark.createDataFrame([
+        ("a", False, 1, 1, 1, None, "Tier 9", "Active"), ("b", False, 1, 1, 1, "VAR", "Tier 2", "Expired"),
+        ("p", False, 1, 1, 1, "VAR one", "Tier 1", "Active"), ("p", False, 2, 1, 1, "VAD", "Tier 3", "Expired"), ("q", False, 1, 1, 1, "VAR", "Tier 1", "Expired")],
+        "contract_account string, is_deleted boolean, modified_at int, start_date int, end_date int, contract_type string, partner_tier string, status string")
+    tiers = spark.createDataFrame([("x", "A")], "country string, gtm_tier string")
+    out = partner_funds.partner_accounts(accounts, contracts, tiers)
+    assert rows(out.select("customer_csn", "tier", "partner_type")) == [("1", "Tier 1", "VAR"), ("2", "Tier 2", "VAR"), ("3", None, None)]
+
+
+def test_a_line_item_with_an_industry_is_taken(spark):
+    stack = spark.createDataFrame([("p", 1, "k", "7")], "p string, t int, key string, id string")
+    taxonomy = spark.createDataFrame([("k", "8")], "key string, v string")
+    items = spark.createDataFrame([("8", None, "first"), ("8", "Media", "second"), ("7", "Other", "third")], "item string, industry string, name string")
+    out = last_touch(stack, "p", "t", ["key", "id"], taxonomy, "key", "v", "id", items, "item", "industry")
+    assert [(r.id, r.industry, r.name) for r in out.collect()] == [("8", "Media", "second")]
+
+
+def test_seen_files_stay_unopened_and_untouched_partitions_unchanged(spark, tmp_path):
+    landed = str(tmp_path / "landed")
+    spark.range(3).coalesce(1).write.parquet(landed)
+    loaded = landing.with_file(spark.read.parquet(landed)).cache()
+    loaded.count()
+    spark.range(3, 5).coalesce(1).write.mode("append").parquet(landed)
+    new = landing.unseen_files(spark, landed, loaded, "id bigint", pattern="*.parquet")
+    assert sorted(r.id for r in new.collect()) == [3, 4] and len(new.inputFiles()) == 1
+    again = landing.unseen_files(spark, landed, loaded.unionByName(new), "id bigint", pattern="*.parquet")
+    assert again.count() == 0
+    table = str(tmp_path / "table")
+    spark.createDataFrame([(1, "a", 1, "x"), (2, "b", 1, "x")], "k int, d string, t int, v string").write.partitionBy("d").parquet(table)
+    before = sorted(p.name for p in (tmp_path / "table" / "d=a").iterdir())
+    batch = spark.createDataFrame([(2, "b", 2, "y"), (3, "b", 2, "z")], "k int, d string, t int, v string")
+    for _ in range(2):
+        incremental.upsert_partitions(table, batch, ["k", "d"], "d", "t")
+        assert rows(spark.read.parquet(table).select("k", "d", "v")) == [(1, "a", "x"), (2, "b", "y"), (3, "b", "z")]
+    assert sorted(p.name for p in (tmp_path / "table" / "d=a").iterdir()) == before
+
+
+def test_a_map_is_no_record(spark):
+    df = spark.createDataFrame([(f'{{"k{i}": 1}}',) for i in range(9)], "j string")
+    assert len(landing.object_keys(df, "j", 9)) == 9
+    with pytest.raises(ValueError):
+        landing.object_keys(df, "j", 8)
+
+
 # ---- trials ----------------------------------------------------------------
 
 def test_conversion_window_of_ninety_days(spark):

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import fiscal
 from tidemark.operators.latest import latest_by
+from tidemark.session import stored
+from tidemark.sources.sinks import replace_partitions
 
 
 def after_high_water(new: DataFrame, target: DataFrame, stamp: str, default: str = "1900-01-01") -> DataFrame:
@@ -32,6 +34,23 @@ def upsert(target: DataFrame, new: DataFrame, keys: Sequence[str], newest: str,
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+def upsert_partitions(path: str, new: DataFrame, keys: Sequence[str], partition: str, newest: str, *tiebreak: str) -> None:
+    """Upsert into a stored table, rewriting only the partitions that the batch touches.
+
+    ``partition`` is one of the keys, the folder column of the table. The scan
+    reads the touched partitions alone; the merged rows are written to the
+    shared folder before the partitions are replaced, as a table can not be
+    read while it is overwritten. Run again with the same batch it changes nothing.
+    """
+    spark = new.sparkSession
+    batch = stored(latest_by(new, keys, newest, *tiebreak))
+    target = spark.read.parquet(path)
+    touched = batch.select(partition).distinct()
+    kept = target.join(touched, partition, "left_semi").join(batch.select(*keys), list(keys), "left_anti")
+    merged = stored(kept.unionByName(batch, allowMissingColumns=True))
+    replace_partitions(merged, path, [partition])
+
+
 def replace_where(target: DataFrame, new: DataFrame, condition: Column) -> DataFrame:
     """Delete the rows a reload covers (a day, a source code), then insert it."""
     return target.filter(~F.coalesce(condition, F.lit(False))).unionByName(new, allowMissingColumns=True)
@@ -52,7 +71,7 @@ def backfill(target: DataFrame, source: DataFrame, target_key: Column, source_ke
 
 def within_retention(df: DataFrame, day: str, as_of, quarters: int) -> DataFrame:
     """Drop rows older than ``quarters`` fiscal quarters before the current one."""
-    return df.filter(fiscal.quarters_from(F.col(day), as_of) >= -quarters)
+    return df.filter(F.col(day) >= fiscal.window_start(as_of, quarters))
 
 
 def since_days(df: DataFrame, day: str, as_of, days: int = 40) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 
 def text_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
                    surrogate: str = "", exact: Sequence[str] = ()) -> DataFrame:
@@ -79,10 +81,13 @@ def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     """FULL JOIN with the key coalesced; NULL keys match nothing.
 
     Spark cannot split a hot key in a full join, but it can in an inner and in
-    an anti join: the matches and the two rests are found separately, and the
-    shuffled sides are reused. Rows with a NULL key would all hash to one task,
-    so they bypass the joins.
+    an anti join: the matches and the two rests are found separately. Each side
+    is written once to the shared folder for that, so its own plan runs once and
+    the rests read its keys alone. Rows with a NULL key would all hash to one
+    task, so they bypass the joins.
     """
+    left, right = stored(left), stored(right)
+
     def has_key() -> Column:
         cond = F.lit(True)
         for k in keys:

@@ -62,6 +62,20 @@ def quote_state(status: str) -> Column:
     return F.coalesce(text.coded(status, states), F.col(status))
 
 
+def pipeline_state(stage: str) -> Column:
+    # What an opportunity's stage means for the pipeline.
+    lost = ["Close/Lost", "Closed", "Closed / Lost", "Closed /Lost", "Closed/Lost", "Rejected", "--None--"]
+    open_stages = ["Stage 1", "Stage 2", "Stage 3", "Stage 4", "1-Prospecting", "2-Qualifying", "3-Solution Building", "4-Proposal/Negotiation"]
+    won = ["Stage 5", "5-Closed/Won", "Won", "Closed-Won"]
+    states = {**dict.fromkeys(lost, "Not Active"), **dict.fromkeys(open_stages, "Open"), **dict.fromkeys(won, "Closed")}
+    return F.coalesce(text.coded(stage, states), F.col(stage))
+
+
+def with_customers(fact: DataFrame, phases: DataFrame, account: str) -> DataFrame:
+    """The fact FULL customers with their phase, on the account; both keep what has no match."""
+    return joins.full_outer(fact, phases, [account])
+
+
 def lower_funnel(opportunities: DataFrame, quote_lines: DataFrame, opportunity_lines: DataFrame, finance: DataFrame,
                  opportunity: str, quote: str, line: str) -> DataFrame:
     """Quotes with lines, and opportunities without a quote, against finance.

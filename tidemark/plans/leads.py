@@ -101,6 +101,16 @@ def country_chain(leads: DataFrame, countries: DataFrame, spelled: str, fallback
         {"country": F.col("_country"), "mapped_geo": F.col("_geo")}).drop("_k1", "_k2", "_code", "_country", "_geo")
 
 
+def lead_geo(leads: DataFrame, countries: DataFrame, lead_text: str, owner_text: str, owner_country: str, account_geo: str) -> DataFrame:
+    """Geo of the lead's country, else the lead's own, its owner's, its owner's country's, its account's.
+
+    ``leads`` come from ``country_chain``; ``countries`` as there. Adds ``geo``.
+    """
+    owners = countries.select(F.lower("search_code").alias("_code"), F.col("geo").alias("_owner_geo")).dropDuplicates(["_code"])
+    return leads.join(owners, F.lower(owner_country) == F.col("_code"), "left").withColumn(
+        "geo", F.coalesce("mapped_geo", sales_geo(lead_text), sales_geo(owner_text), "_owner_geo", account_geo)).drop("_code", "_owner_geo")
+
+
 def first_touch_days(touched: str, received: str, first: str) -> Column:
     """Workdays from receipt to first touch; 9999 untouched, NULL when odd."""
     r, f = F.col(received), F.col(first)

@@ -342,12 +342,10 @@ def _(t):
 @query("quarter_labels", "K2 K3 K4 K5", f"""
 WITH f AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, {sql_quarter('o_orderdate')} || 'Q' || CASE WHEN o_orderkey % 2 = 0 THEN ' ' ELSE '' END
    || 'FY' || right(CAST({sql_year('o_orderdate')} AS VARCHAR), 2) || ' MDF' AS fund FROM orders),
-q AS (SELECT *, '20' || substr(replace(fund, ' ', ''), 5, 2) || 'Q' || left(fund, 1) AS year_quarter FROM f)
+q AS (SELECT *, month(d) // 3 + 1 - CAST(strftime(d, '%m%d') IN ('0301', '0302') AS INT) AS gq, '20' || substr(replace(fund, ' ', ''), 5, 2) || 'Q' || left(fund, 1) AS year_quarter FROM f)
 SELECT o_orderkey, fund, year_quarter,
   left(year_quarter, 4) || CASE right(year_quarter, 2) WHEN 'Q1' THEN '-02-01' WHEN 'Q2' THEN '-05-01' WHEN 'Q3' THEN '-08-01' WHEN 'Q4' THEN '-11-01' END AS first_day,
-  CASE WHEN month(d) = 3 AND day(d) IN (1, 2) THEN (year(d) + 1) || 'Q2' WHEN month(d) BETWEEN 3 AND 5 THEN (year(d) + 1) || 'Q3'
-    WHEN month(d) BETWEEN 6 AND 8 THEN (year(d) + 1) || 'Q4' WHEN month(d) BETWEEN 9 AND 11 THEN (year(d) + 2) || 'Q1'
-    WHEN month(d) = 12 THEN (year(d) + 2) || 'Q2' ELSE (year(d) + 1) || 'Q2' END AS gate,
+  (year(d) + 1 + gq // 4) || 'Q' || (gq % 4 + 1) AS gate,
   CASE WHEN {sql_index('d')} = {sql_index(SALES_DATE)} THEN '1. Current Qtr' WHEN {sql_index('d')} = {sql_index(SALES_DATE)} - 1 THEN '2. Previous Qtr'
     WHEN {sql_index('d')} = {sql_index(SALES_DATE)} - 2 THEN '3. Two Qtrs Ago' WHEN {sql_index('d')} < {sql_index(SALES_DATE)} THEN '4. Older' ELSE '5. Future' END AS bucket
 FROM q""")

@@ -47,13 +47,21 @@ SQL_LEADS = f"""lead_rows AS (SELECT *, CASE WHEN lead_id % 4 <> 0 THEN first_sh
   FROM (SELECT o_orderkey AS lead_id, o_custkey, CAST(o_orderdate AS DATE) AS received, CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'P' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'Converted' ELSE 'Outreach' END ELSE 'New' END AS status,
     CASE WHEN o_orderkey % 7 <> 0 THEN {SQL_REASONS}[o_orderkey % 6 + 1] END AS reason, o_orderkey % 50 = 0 AS deleted, o_orderpriority FROM orders)
   LEFT JOIN (SELECT l_orderkey, min(CAST(l_shipdate AS DATE)) AS first_ship, max(CAST(l_shipdate AS DATE)) AS last_ship FROM lineitem GROUP BY 1) ON lead_id = l_orderkey),
-lead_flags AS (SELECT *, CASE WHEN (lower(status) IN ('closed', 'close') AND coalesce(lower(reason), '') IN ('error upload', 'error to upload')) OR deleted THEN 'N' ELSE 'Y' END AS valid_flag,
-  CASE WHEN lower(status) IN ('outreach', 'qualifying', 'converted', 'qualified') THEN 'Y' WHEN lower(status) = 'new' THEN 'N'
-    WHEN lower(status) IN ('closed', 'close') AND lower(reason) NOT LIKE '%clean%' AND lower(reason) NOT IN ('retired campaign', 'error upload', 'error to upload', 'aged lead', 'aged leads', 'aging lead', 'expired', 'completed') THEN 'Y'
-    WHEN last_activity IS NOT NULL AND last_activity - received >= 0 THEN 'Y' ELSE 'N' END AS touched_flag,
-  CASE WHEN lower(status) IN ('closed', 'close') THEN 'Closed' WHEN lower(status) = 'converted' THEN 'Converted' ELSE 'Open' END AS state,
-  CASE WHEN lower(status) = 'converted' THEN 'Y' WHEN lower(status) IN ('closed', 'close') AND lower(reason) NOT IN ('retired campaign', 'error upload', 'error to upload', 'lead cleanup', 'clean audit', 'inactive user') AND lower(reason) NOT LIKE '%clean%' THEN 'Y' ELSE 'N' END AS completed_flag,
-  CASE WHEN lower(status) IN ('closed', 'close') AND lower(reason) IN ('retired campaign', 'error upload', 'error to upload', 'lead cleanup', 'clean audit') AND lower(reason) LIKE '%clean%' THEN 'Y' ELSE 'N' END AS retired_flag FROM lead_rows)"""
+statuses(word, class) AS (VALUES ('outreach', 'worked'), ('qualifying', 'worked'), ('qualified', 'worked'), ('converted', 'won'), ('new', 'new'), ('closed', 'closed'), ('close', 'closed')),
+reasons(word, kind) AS (VALUES ('error upload', 'upload'), ('error to upload', 'upload'), ('retired campaign', 'retired'), ('lead cleanup', 'cleaning'), ('clean audit', 'cleaning'), ('inactive user', 'inactive'),
+  ('aged lead', 'aged'), ('aged leads', 'aged'), ('aging lead', 'aged'), ('expired', 'aged'), ('completed', 'aged')),
+judged AS (SELECT l.*, class, coalesce(kind, 'other') AS kind, contains(lower(reason), 'clean') AS cleaned FROM lead_rows l LEFT JOIN statuses s ON lower(status) = s.word LEFT JOIN reasons r ON lower(reason) = r.word),
+votes AS (SELECT lead_id, 9 AS place, unnest(['valid', 'touched', 'state', 'completed', 'retired']) AS flag, unnest(['Y', 'N', 'Open', 'N', 'N']) AS vote FROM judged
+  UNION ALL SELECT lead_id, 1, unnest(['touched', 'state', 'completed']), unnest(['Y', 'Converted', 'Y']) FROM judged WHERE class = 'won'
+  UNION ALL SELECT lead_id, 1, 'touched', CASE class WHEN 'new' THEN 'N' ELSE 'Y' END FROM judged WHERE class IN ('new', 'worked')
+  UNION ALL SELECT lead_id, 1, 'state', 'Closed' FROM judged WHERE class = 'closed'
+  UNION ALL SELECT lead_id, 2, 'touched', 'Y' FROM judged WHERE class = 'closed' AND NOT cleaned AND kind NOT IN ('upload', 'retired', 'aged')
+  UNION ALL SELECT lead_id, 3, 'touched', 'Y' FROM judged WHERE last_activity >= received
+  UNION ALL SELECT lead_id, 2, 'completed', 'Y' FROM judged WHERE class = 'closed' AND NOT cleaned AND kind NOT IN ('upload', 'retired', 'cleaning', 'inactive')
+  UNION ALL SELECT lead_id, 2, 'retired', 'Y' FROM judged WHERE class = 'closed' AND kind = 'cleaning'
+  UNION ALL SELECT lead_id, 1, 'valid', 'N' FROM judged WHERE deleted OR class = 'closed' AND kind = 'upload'),
+lead_flags AS (SELECT * FROM lead_rows JOIN (SELECT lead_id, arg_min(vote, place) FILTER (flag = 'valid') AS valid_flag, arg_min(vote, place) FILTER (flag = 'touched') AS touched_flag, arg_min(vote, place) FILTER (flag = 'state') AS state,
+  arg_min(vote, place) FILTER (flag = 'completed') AS completed_flag, arg_min(vote, place) FILTER (flag = 'retired') AS retired_flag FROM votes GROUP BY 1) USING (lead_id))"""
 
 
 def sql_workdays(a, b):
@@ -70,12 +78,12 @@ def _(t):
 
 
 @query("lead_response_days", "F24 F25 K16", f"""
-WITH {SQL_LEADS}, d AS (SELECT lead_id, CASE WHEN touched_flag = 'Y' AND (received IS NULL OR first_touch IS NULL OR received > first_touch) THEN NULL WHEN received = first_touch THEN 0 WHEN touched_flag = 'N' THEN 9999
-    WHEN received IS NULL OR first_touch IS NULL THEN NULL ELSE {sql_workdays('received', 'first_touch')} END AS touch_days,
-  CASE WHEN state NOT IN ('Converted', 'Closed') THEN 9999 WHEN done IS NULL OR received > done THEN NULL ELSE {sql_workdays('received', 'done')} END AS done_days FROM lead_flags)
-SELECT lead_id, CAST(touch_days AS BIGINT) AS touch_days, CAST(done_days AS BIGINT) AS done_days,
-  CASE WHEN touch_days IS NULL THEN 'N/A' WHEN touch_days <= 2 THEN '< 2 days' WHEN touch_days <= 5 THEN '2 to 5 days' WHEN touch_days <> 9999 THEN '> 5 days' ELSE 'UNTOUCHED' END AS touch_band,
-  CASE WHEN done_days IS NULL THEN 'N/A' WHEN done_days >= 0 AND done_days < 10 THEN '< 10 days' WHEN done_days >= 10 AND done_days <= 20 THEN '10 to 20 days' WHEN done_days > 20 AND done_days <> 9999 THEN '> 20 days' ELSE 'NOT COMPLETE' END AS done_band FROM d""")
+WITH {SQL_LEADS}, bands(kind, low, high, band) AS (VALUES ('touch', -99999, 2, '< 2 days'), ('touch', 3, 5, '2 to 5 days'), ('touch', 6, 9998, '> 5 days'), ('touch', 9999, 9999, 'UNTOUCHED'), ('touch', 10000, 99999, '> 5 days'),
+  ('done', -99999, -1, 'NOT COMPLETE'), ('done', 0, 9, '< 10 days'), ('done', 10, 20, '10 to 20 days'), ('done', 21, 9998, '> 20 days'), ('done', 9999, 9999, 'NOT COMPLETE'), ('done', 10000, 99999, '> 20 days')),
+d AS (SELECT lead_id, if(received = first_touch, 0, if(touched_flag = 'N', 9999, if(first_touch > received, {sql_workdays('received', 'first_touch')}, NULL))) AS touch_days,
+  if(state = 'Open', 9999, if(done >= received, {sql_workdays('received', 'done')}, NULL)) AS done_days FROM lead_flags)
+SELECT lead_id, CAST(touch_days AS BIGINT) AS touch_days, CAST(done_days AS BIGINT) AS done_days, coalesce(x.band, 'N/A') AS touch_band, coalesce(y.band, 'N/A') AS done_band
+FROM d LEFT JOIN bands x ON x.kind = 'touch' AND touch_days BETWEEN x.low AND x.high LEFT JOIN bands y ON y.kind = 'done' AND done_days BETWEEN y.low AND y.high""")
 def _(t):
     timed = flagged_leads(t).withColumns({
         "touch_days": leads.first_touch_days("touched_flag", "received", "first_touch"),
@@ -87,12 +95,13 @@ def _(t):
 @query("lead_owner_class", "B10", """
 WITH o AS (SELECT o_orderkey, CASE o_orderkey % 9 WHEN 0 THEN 'Lead Partner Reassignment Queue' WHEN 1 THEN 'Opty Admin Queue' ELSE 'Someone' END AS queue,
   CASE o_orderkey % 5 WHEN 0 THEN 'Associate' WHEN 1 THEN 'ISV' END AS pt, CASE o_orderkey % 4 WHEN 0 THEN 'Tele-Vendor' END AS vt, CASE o_orderkey % 6 WHEN 0 THEN 'Distributor' WHEN 1 THEN 'Reseller' END AS ty, CASE WHEN o_orderkey % 7 = 0 THEN 'Northwind Inc' ELSE 'Other' END AS nm,
-  CASE o_custkey % 5 WHEN 0 THEN 'Associate' WHEN 1 THEN 'ISV' WHEN 2 THEN 'Distributor' END AS p_pt, CASE o_custkey % 2 WHEN 0 THEN 'Tele-Vendor' END AS p_vt, CASE o_custkey % 6 WHEN 1 THEN 'Master Reseller' END AS p_ty, CASE WHEN o_custkey % 3 = 0 THEN 'Partner' WHEN o_custkey % 11 = 0 THEN 'NORTHWIND' END AS p_nm FROM orders)
-SELECT o_orderkey, CASE WHEN lower(queue) = 'lead partner reassignment queue' THEN 'Partner/reseller' WHEN lower(pt) = 'associate' AND lower(vt) = 'tele-vendor' THEN 'Tele Vendor'
-  WHEN lower(ty) = 'distributor' OR lower(pt) = 'distributor' THEN 'Distributor' WHEN lower(nm) LIKE '%northwind%' THEN 'Northwind' WHEN lower(ty) IN ('reseller', 'master reseller') OR lower(pt) IN ('reseller', 'master reseller') THEN 'Partner/reseller' WHEN lower(pt) = 'isv' THEN 'Partner/ISV'
-  WHEN lower(p_pt) = 'associate' AND lower(p_vt) = 'tele-vendor' THEN 'Tele Vendor' WHEN lower(p_ty) = 'distributor' OR lower(p_pt) = 'distributor' THEN 'Distributor' WHEN lower(p_nm) LIKE '%northwind%' THEN 'Northwind'
-  WHEN lower(p_ty) IN ('reseller', 'master reseller') OR lower(p_pt) IN ('reseller', 'master reseller') THEN 'Partner/reseller' WHEN lower(p_pt) = 'isv' THEN 'Partner/ISV' WHEN p_nm IS NOT NULL THEN 'Partner/reseller'
-  WHEN lower(queue) = 'opty admin queue' THEN 'Partner/reseller' ELSE 'Northwind' END AS owner_class FROM o""")
+  CASE o_custkey % 5 WHEN 0 THEN 'Associate' WHEN 1 THEN 'ISV' WHEN 2 THEN 'Distributor' END AS p_pt, CASE o_custkey % 2 WHEN 0 THEN 'Tele-Vendor' END AS p_vt, CASE o_custkey % 6 WHEN 1 THEN 'Master Reseller' END AS p_ty, CASE WHEN o_custkey % 3 = 0 THEN 'Partner' WHEN o_custkey % 11 = 0 THEN 'NORTHWIND' END AS p_nm FROM orders),
+rules(place, field, pattern, owner) AS (VALUES (1, 'queue', 'lead partner reassignment queue', 'Partner/reseller'), (13, 'queue', 'opty admin queue', 'Partner/reseller'),
+  (2, 'pair', 'associate/tele-vendor', 'Tele Vendor'), (3, 'kind', 'distributor', 'Distributor'), (4, 'name', '%northwind%', 'Northwind'), (5, 'kind', 'reseller', 'Partner/reseller'), (5, 'kind', 'master reseller', 'Partner/reseller'), (6, 'partner', 'isv', 'Partner/ISV'),
+  (7, 'up pair', 'associate/tele-vendor', 'Tele Vendor'), (8, 'up kind', 'distributor', 'Distributor'), (9, 'up name', '%northwind%', 'Northwind'), (10, 'up kind', 'reseller', 'Partner/reseller'), (10, 'up kind', 'master reseller', 'Partner/reseller'), (11, 'up partner', 'isv', 'Partner/ISV'), (12, 'up name', '%', 'Partner/reseller')),
+said AS (SELECT o_orderkey, unnest(['queue', 'pair', 'kind', 'kind', 'name', 'partner', 'up pair', 'up kind', 'up kind', 'up name', 'up partner']) AS field,
+  lower(unnest([queue, pt || '/' || vt, ty, pt, nm, pt, p_pt || '/' || p_vt, p_ty, p_pt, p_nm, p_pt])) AS value FROM o)
+SELECT o_orderkey, coalesce(arg_min(owner, place), 'Northwind') AS owner_class FROM said LEFT JOIN rules ON said.field = rules.field AND value LIKE pattern GROUP BY 1""")
 def _(t):
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     rows = t.orders.select(
@@ -107,11 +116,14 @@ def _(t):
 
 @query("lead_geography", "K17 J3", f"""
 WITH {SQL_ACCOUNTS}, l AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'us' WHEN 1 THEN lower(country) WHEN 2 THEN 'nowhere' WHEN 3 THEN country END AS spelled, CASE WHEN o_orderkey % 3 <> 0 THEN upper(country) END AS account_country,
-  CASE o_orderkey % 4 WHEN 0 THEN 'Americas' WHEN 1 THEN 'emea' WHEN 2 THEN 'mars' END AS lead_geo_text, geo AS account_geo FROM orders JOIN accounts ON o_custkey = c_custkey),
+  CASE o_orderkey % 4 WHEN 0 THEN 'Americas' WHEN 1 THEN 'emea' WHEN 2 THEN 'mars' END AS lead_geo_text,
+  CASE o_orderkey % 11 WHEN 0 THEN 'apac' WHEN 1 THEN 'venus' END AS owner_geo_text, CASE o_orderkey % 13 WHEN 2 THEN lower(country) WHEN 3 THEN 'atlantis' END AS owner_country, geo AS account_geo FROM orders JOIN accounts ON o_custkey = c_custkey),
 c AS (SELECT n_name AS country, r_name AS geo FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT 'United States', 'AMER'),
 f AS (SELECT *, CASE WHEN spelled = 'us' THEN 'United States' WHEN lower(spelled) IN (SELECT lower(country) FROM c) THEN spelled WHEN lower(account_country) IN (SELECT lower(country) FROM c) THEN account_country END AS lead_country FROM l)
-SELECT o_orderkey, lead_country, c.country, c.geo AS mapped_geo, coalesce(c.geo, CASE WHEN upper(lead_geo_text) = 'AMERICAS' THEN 'AMER' WHEN upper(lead_geo_text) IN ('EMEA', 'AMER', 'APAC', 'JAPAN') THEN upper(lead_geo_text) END, account_geo) AS geo
-FROM f LEFT JOIN c ON lower(f.lead_country) = lower(c.country)""")
+SELECT o_orderkey, lead_country, c.country, c.geo AS mapped_geo, coalesce(c.geo, g.geo, og.geo, oc.geo, account_geo) AS geo
+FROM f LEFT JOIN c ON lower(f.lead_country) = lower(c.country) LEFT JOIN c oc ON lower(owner_country) = lower(oc.country)
+LEFT JOIN (VALUES ('americas', 'AMER'), ('amer', 'AMER'), ('emea', 'EMEA'), ('apac', 'APAC'), ('japan', 'JAPAN')) g(word, geo) ON lower(lead_geo_text) = g.word
+LEFT JOIN (VALUES ('americas', 'AMER'), ('amer', 'AMER'), ('emea', 'EMEA'), ('apac', 'APAC'), ('japan', 'JAPAN')) og(word, geo) ON lower(owner_geo_text) = og.word""")
 def _(t):
     k = F.col("o_orderkey")
     known = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -120,10 +132,12 @@ def _(t):
     rows = t.orders.select(k, "o_custkey").join(accounts(t), F.col("o_custkey") == F.col("c_custkey")).select(
         k, F.when(k % 5 == 0, "us").when(k % 5 == 1, F.lower("country")).when(k % 5 == 2, "nowhere").when(k % 5 == 3, F.col("country")).alias("spelled"),
         F.when(k % 3 != 0, F.upper("country")).alias("account_country"),
-        F.when(k % 4 == 0, "Americas").when(k % 4 == 1, "emea").when(k % 4 == 2, "mars").alias("lead_geo_text"), F.col("geo").alias("account_geo"))
+        F.when(k % 4 == 0, "Americas").when(k % 4 == 1, "emea").when(k % 4 == 2, "mars").alias("lead_geo_text"),
+        F.when(k % 11 == 0, "apac").when(k % 11 == 1, "venus").alias("owner_geo_text"),
+        F.when(k % 13 == 2, F.lower("country")).when(k % 13 == 3, "atlantis").alias("owner_country"), F.col("geo").alias("account_geo"))
     found = leads.country_chain(rows, listed, "spelled", "account_country", {"us": "United States"})
-    return found.select("o_orderkey", "lead_country", "country", "mapped_geo",
-                        F.coalesce("mapped_geo", leads.sales_geo("lead_geo_text"), "account_geo").alias("geo"))
+    placed = leads.lead_geo(found, listed, "lead_geo_text", "owner_geo_text", "owner_country", "account_geo")
+    return placed.select("o_orderkey", "lead_country", "country", "mapped_geo", "geo")
 
 
 @query("leads_created", "K19 U2 J2", f"""
@@ -227,21 +241,26 @@ def rate_changes(t: Catalog):
 
 
 @query("lower_funnel", "K28 J11 F26 U3", f"""
-WITH changes AS (SELECT 'C' || s_nationkey AS code, 1 + s_suppkey % 9 AS rate, min(TIMESTAMP '2000-01-01' + s_suppkey * INTERVAL 1 DAY) AS since FROM supplier GROUP BY 1, 2),
+WITH {SQL_PHASES}, changes AS (SELECT 'C' || s_nationkey AS code, 1 + s_suppkey % 9 AS rate, min(TIMESTAMP '2000-01-01' + s_suppkey * INTERVAL 1 DAY) AS since FROM supplier GROUP BY 1, 2),
 rates AS (SELECT code, rate FROM changes QUALIFY lead(since) OVER (PARTITION BY code ORDER BY since, rate) IS NULL),
-oppo AS (SELECT o_orderkey AS opportunity, o_orderstatus AS stage, CASE o_orderkey % 4 WHEN 0 THEN 'Expired' WHEN 1 THEN 'Quoted' WHEN 2 THEN 'Ordered' ELSE 'Parked' END AS quote_status, 'C' || o_custkey % 30 AS currency FROM orders),
+oppo AS (SELECT o_orderkey AS opportunity, CASE WHEN o_custkey % 8 <> 0 THEN o_custkey END AS account, CASE o_orderstatus WHEN 'O' THEN 'Stage 3' WHEN 'F' THEN 'Closed/Lost' WHEN 'P' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'Won' ELSE 'Dormant' END END AS stage, CASE o_orderkey % 4 WHEN 0 THEN 'Expired' WHEN 1 THEN 'Quoted' WHEN 2 THEN 'Ordered' ELSE 'Parked' END AS quote_status, 'C' || o_custkey % 30 AS currency FROM orders),
 lines AS (SELECT l_orderkey AS opportunity, l_linenumber AS line, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, CASE l_linenumber WHEN 1 THEN 'A02' WHEN 2 THEN 'A07' ELSE 'X' END AS term FROM lineitem),
 q AS (SELECT opportunity, CASE WHEN opportunity % 5 <> 0 THEN opportunity END AS quote, line, CAST(amount AS DOUBLE) / coalesce(rate, 1) AS converted, CAST(amount AS DOUBLE) / coalesce(rate, 1) * CASE term WHEN 'A07' THEN 365.0 WHEN 'A02' THEN 12.0 ELSE CAST(1 AS DOUBLE) END AS yearly
   FROM lines JOIN oppo USING (opportunity) LEFT JOIN rates ON currency = code WHERE amount > 30000),
-u AS (SELECT 'QUOTE' AS record_source, q.*, stage, quote_status FROM q LEFT JOIN oppo USING (opportunity)
-  UNION ALL SELECT 'OPPORTUNITY', o.opportunity, NULL, l.line, NULL, NULL, stage, quote_status FROM oppo o LEFT JOIN lines l USING (opportunity) WHERE o.opportunity NOT IN (SELECT opportunity FROM q)),
-fin AS (SELECT l_orderkey + 1 AS quote, l_linenumber AS line, CAST({SQL_NET} AS DOUBLE) AS billed FROM lineitem WHERE l_linestatus = 'F')
-SELECT record_source, opportunity, coalesce(u.quote, fin.quote) AS quote, CAST(coalesce(u.line, fin.line) AS BIGINT) AS line, converted, yearly, stage, CASE quote_status WHEN 'Expired' THEN 'Not Active' WHEN 'Quoted' THEN 'Open' WHEN 'Ordered' THEN 'Closed' ELSE quote_status END AS quote_state, billed
-FROM u FULL JOIN fin ON u.quote = fin.quote AND u.line = fin.line""")
+u AS (SELECT 'QUOTE' AS record_source, q.*, stage, quote_status, account FROM q LEFT JOIN oppo USING (opportunity)
+  UNION ALL SELECT 'OPPORTUNITY', o.opportunity, NULL, l.line, NULL, NULL, stage, quote_status, account FROM oppo o LEFT JOIN lines l USING (opportunity) WHERE o.opportunity NOT IN (SELECT opportunity FROM q)),
+fin AS (SELECT l_orderkey + 1 AS quote, l_linenumber AS line, CAST({SQL_NET} AS DOUBLE) AS billed, CASE WHEN l_suppkey % 2 = 0 THEN l_suppkey END AS account FROM lineitem WHERE l_linestatus = 'F'),
+meaning(word, state) AS (VALUES ('Expired', 'Not Active'), ('Quoted', 'Open'), ('Ordered', 'Closed'), ('Stage 3', 'Open'), ('Closed/Lost', 'Not Active'), ('Won', 'Closed')),
+fact AS (SELECT record_source, opportunity, coalesce(u.quote, fin.quote) AS quote, CAST(coalesce(u.line, fin.line) AS BIGINT) AS line, converted, yearly, stage, coalesce(p.state, stage) AS pipeline, coalesce(q.state, quote_status) AS quote_state, billed,
+  coalesce(fin.account, u.account) AS account FROM u FULL JOIN fin ON u.quote = fin.quote AND u.line = fin.line LEFT JOIN meaning p ON stage = p.word LEFT JOIN meaning q ON quote_status = q.word),
+now AS (SELECT parent_id, phase FROM phases WHERE phase_end = DATE '9999-12-31')
+SELECT fact.* EXCLUDE (account), coalesce(account, parent_id) AS account, phase FROM fact FULL JOIN now ON account = parent_id""")
 def _(t):
     k = F.col("o_orderkey")
     opportunities = t.orders.select(
-        k.alias("opportunity"), F.col("o_orderstatus").alias("stage"),
+        k.alias("opportunity"), F.when(F.col("o_custkey") % 8 != 0, F.col("o_custkey")).alias("account"),
+        F.when(F.col("o_orderstatus") == "O", "Stage 3").when(F.col("o_orderstatus") == "F", "Closed/Lost")
+        .when(F.col("o_orderstatus") == "P", F.when(k % 2 == 0, "Won").otherwise("Dormant")).alias("stage"),
         F.when(k % 4 == 0, "Expired").when(k % 4 == 1, "Quoted").when(k % 4 == 2, "Ordered").otherwise("Parked").alias("quote_status"))
     currency = t.orders.select(k.alias("opportunity"), F.concat(F.lit("C"), (F.col("o_custkey") % 30).cast("string")).alias("currency"))
     n = F.col("l_linenumber")
@@ -251,11 +270,15 @@ def _(t):
     quoted = funnel.converted_lines(lines.filter("amount > 30000").join(currency, "opportunity"), rates, "currency", "amount", "term").select(
         "opportunity", F.when(F.col("opportunity") % 5 != 0, F.col("opportunity")).alias("quote"), "line", "converted", "yearly")
     finance = t.lineitem.filter("l_linestatus = 'F'").select(
-        (F.col("l_orderkey") + 1).alias("quote"), n.alias("line"), net_amount().cast("double").alias("billed"))
+        (F.col("l_orderkey") + 1).alias("quote"), n.alias("line"), net_amount().cast("double").alias("billed"),
+        F.when(F.col("l_suppkey") % 2 == 0, F.col("l_suppkey")).alias("billed_account"))
     own_lines = lines.select("opportunity", F.lit(None).cast("bigint").alias("quote"), "line")
-    fact = funnel.lower_funnel(opportunities, quoted, own_lines, finance, "opportunity", "quote", "line")
-    return plain(fact.withColumn("quote_state", funnel.quote_state("quote_status")),
-                 "record_source", "opportunity", "quote", "line", "converted", "yearly", "stage", "quote_state", "billed")
+    fact = funnel.lower_funnel(opportunities, quoted, own_lines, finance, "opportunity", "quote", "line").withColumns({
+        "quote_state": funnel.quote_state("quote_status"), "pipeline": funnel.pipeline_state("stage"),
+        "account": F.coalesce("billed_account", "account")}).drop("billed_account")
+    now = phases(t).filter("phase_end = '9999-12-31'").select(F.col("parent_id").alias("account"), "phase")
+    return plain(funnel.with_customers(fact, now, "account"), "record_source", "opportunity", "quote", "line", "converted", "yearly", "stage",
+                 "pipeline", "quote_state", "billed", "account", "phase")
 
 
 @query("mid_funnel", "K29 J11 F21", """

@@ -32,8 +32,8 @@ def seats(t: Catalog):
 
 
 SQL_SEATS = f"""{SQL_MERGES}, seats AS (SELECT CAST(l_shipdate AS DATE) AS day, l_suppkey AS tenant, '1_' || l_linenumber AS pool, l_quantity, CASE WHEN l_orderkey % 11 = 0 THEN 0 ELSE l_quantity END AS bought, l_partkey, l_linestatus,
-  CASE WHEN l_returnflag = 'R' THEN l_quantity + 10 ELSE l_quantity - 5 END AS assigned, coalesce(d.account, e.account, o_custkey) AS account
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN current_accounts d ON o_custkey = d.account LEFT JOIN merges ON o_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account)"""
+  CASE WHEN l_returnflag = 'R' THEN l_quantity + 10 ELSE l_quantity - 5 END AS assigned, coalesce(new_id, o_custkey) AS account
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN moved ON o_custkey = old_id)"""
 
 
 def control(t: Catalog):
@@ -42,8 +42,7 @@ def control(t: Catalog):
     return joins.resolve_survivor(held, "c_custkey", merges(t), current_accounts(t), "victim", "survivor", "account", "control_account")
 
 
-SQL_CONTROL = """control AS (SELECT DISTINCT coalesce(d.account, e.account, c_custkey) AS control_account FROM customer LEFT JOIN current_accounts d ON c_custkey = d.account
-  LEFT JOIN merges ON c_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account WHERE c_custkey % 10 = 1)"""
+SQL_CONTROL = """control AS (SELECT DISTINCT coalesce(new_id, c_custkey) AS control_account FROM customer LEFT JOIN moved ON c_custkey = old_id WHERE c_custkey % 10 = 1)"""
 
 
 @query("seat_rate", "K34 G21 J17 W5 B16", f"""
@@ -94,9 +93,9 @@ def finance(t: Catalog):
 
 
 @query("renewal_rate", "K36 G15 G7 J17", f"""
-WITH {SQL_MERGES}, {SQL_CONTROL}, f AS (SELECT DISTINCT {sql_label('o_orderdate')} AS period, coalesce(d.account, e.account, o_custkey) AS account, CASE WHEN l_returnflag = 'N' THEN {SQL_NET} END AS renewed, CASE WHEN l_returnflag <> 'A' THEN {SQL_NET} END AS due,
+WITH {SQL_MERGES}, {SQL_CONTROL}, f AS (SELECT DISTINCT {sql_label('o_orderdate')} AS period, coalesce(new_id, o_custkey) AS account, CASE WHEN l_returnflag = 'N' THEN {SQL_NET} END AS renewed, CASE WHEN l_returnflag <> 'A' THEN {SQL_NET} END AS due,
   CASE WHEN l_returnflag = 'N' THEN l_quantity END AS seats_renewed, l_quantity AS seats_due, CASE WHEN l_linenumber < 4 THEN {SQL_NET} END AS adjusted
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN current_accounts d ON o_custkey = d.account LEFT JOIN merges ON o_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN moved ON o_custkey = old_id
   WHERE o_orderdate >= (SELECT m - to_months(CAST((month(m) + 10) % 3 AS INT)) FROM (SELECT date_trunc('month', {A} - INTERVAL 15 MONTH) AS m)) AND o_orderdate < {A})
 SELECT period, account, CASE WHEN control_account IS NOT NULL THEN 'Control' ELSE 'Test' END AS test_control, CAST(sum(renewed) AS DOUBLE) AS renewed, CAST(sum(due) AS DOUBLE) AS due, sum(seats_renewed) AS seats_renewed, sum(seats_due) AS seats_due, CAST(sum(adjusted) AS DOUBLE) AS adjusted,
   round(CAST(sum(renewed) AS DOUBLE) / nullif(CAST(sum(due) AS DOUBLE), 0), 4) AS rate, round(sum(seats_renewed) / nullif(sum(seats_due), 0), 4) AS seat_rate, round(CAST(sum(adjusted) AS DOUBLE) / nullif(CAST(sum(due) AS DOUBLE), 0), 4) AS adjusted_rate
@@ -121,8 +120,8 @@ def _(t):
 
 
 @query("account_revenue_growth", "K36 W8", f"""
-WITH {SQL_MERGES}, f AS (SELECT coalesce(d.account, e.account, o_custkey) AS account, CAST({sql_year('o_orderdate')} AS BIGINT) AS fiscal_year, CAST(sum({SQL_NET}) AS DOUBLE) AS yearly
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN current_accounts d ON o_custkey = d.account LEFT JOIN merges ON o_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account GROUP BY 1, 2),
+WITH {SQL_MERGES}, f AS (SELECT coalesce(new_id, o_custkey) AS account, CAST({sql_year('o_orderdate')} AS BIGINT) AS fiscal_year, CAST(sum({SQL_NET}) AS DOUBLE) AS yearly
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN moved ON o_custkey = old_id GROUP BY 1, 2),
 l AS (SELECT *, lag(yearly, 1, 0) OVER (PARTITION BY account ORDER BY fiscal_year) AS earlier FROM f)
 SELECT account, fiscal_year, yearly, CASE WHEN earlier = 0 THEN 0.0 ELSE yearly / earlier * 100 END AS growth FROM l""")
 def _(t):

@@ -58,7 +58,7 @@ def _(t):
     target = landing.with_file(t.spark.read.parquet(folder))
     loaded = t.spark.read.parquet(sinks.replace_table(target, fresh_folder(t.spark, "target")))
     t.orders.filter("o_orderstatus = 'P'").select("o_orderkey").write.mode("append").parquet(folder)
-    return landing.unseen_files(landing.with_file(t.spark.read.parquet(folder)), loaded).select("o_orderkey")
+    return landing.unseen_files(t.spark, folder, loaded, "o_orderkey bigint", pattern="*.parquet").select("o_orderkey")
 
 
 @query("json_new_keys", "A6 F22 I10", """
@@ -158,9 +158,11 @@ SELECT user_id, CAST(day AS VARCHAR) AS day, event_id, state, value FROM batch U
 def _(t):
     day = F.col("ts").cast("date")
     target = t.events.filter("event_type <> 'error'").groupBy("user_id", day.alias("day")).agg(
-        F.max("event_id").alias("event_id"), F.max("ts").alias("ts")).withColumn("state", F.lit("old"))
+        F.max("event_id").alias("event_id"), F.max("ts").alias("ts")).withColumns({"state": F.lit("old"), "value": F.lit(None).cast("double")})
     batch = t.events.filter("event_type = 'error'").select("user_id", day.alias("day"), "event_id", "ts", F.lit("new").alias("state"), "value")
-    return plain(incremental.upsert(target, batch, ["user_id", "day"], "ts", "event_id"), "user_id", "day", "event_id", "state", "value")
+    path = sinks.replace_table(target, fresh_folder(t.spark, "upserted"), ["day"])
+    incremental.upsert_partitions(path, batch, ["user_id", "day"], "day", "ts", "event_id")
+    return plain(t.spark.read.parquet(path), "user_id", "day", "event_id", "state", "value")
 
 
 @query("backfilled_attributes", "I4 I5", """

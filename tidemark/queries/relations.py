@@ -52,7 +52,8 @@ def current_accounts(t: Catalog):
 SQL_MERGES = """merges AS (SELECT c_custkey AS victim, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_custkey + 1 ELSE c_custkey + 3 END AS survivor,
   CASE WHEN c_mktsegment = 'FURNITURE' THEN 'PENDING' ELSE 'COMPLETED' END AS status FROM customer WHERE c_acctbal < 2000),
 current_accounts AS (SELECT c_custkey AS account, CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN c_custkey - c_custkey % 100 ELSE c_custkey END AS parent
-  FROM customer WHERE NOT (c_acctbal < 2000 AND c_mktsegment <> 'HOUSEHOLD') AND c_acctbal < 9500)"""
+  FROM customer WHERE NOT (c_acctbal < 2000 AND c_mktsegment <> 'HOUSEHOLD') AND c_acctbal < 9500),
+moved AS (SELECT DISTINCT victim AS old_id, survivor AS new_id FROM merges WHERE survivor IN (SELECT account FROM current_accounts) AND victim NOT IN (SELECT account FROM current_accounts))"""
 
 
 # ---- joins -----------------------------------------------------------------
@@ -174,8 +175,7 @@ def _(t):
 
 @query("survivor_resolution", "J17", f"""
 WITH {SQL_MERGES}
-SELECT o_orderkey, coalesce(d.account, e.account, o_custkey) AS account FROM orders LEFT JOIN current_accounts d ON o_custkey = d.account
-LEFT JOIN merges ON o_custkey = victim LEFT JOIN current_accounts e ON survivor = e.account""")
+SELECT o_orderkey, coalesce(new_id, o_custkey) AS account FROM orders LEFT JOIN moved ON o_custkey = old_id""")
 def _(t):
     return joins.resolve_survivor(t.orders, "o_custkey", merges(t), current_accounts(t), "victim", "survivor", "account", "account"
                                   ).select("o_orderkey", "account")

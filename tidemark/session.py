@@ -79,10 +79,13 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to reliable storage and go on from there.
+    """Write ``df`` once as Parquet to the shared folder and go on from there.
 
     For a result several branches read: executors may be lost without the
-    branches recomputing the whole lineage.
+    branches recomputing the whole lineage, and each branch reads only its
+    columns and pushes its filters into the scan.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = fresh_folder(spark, "stored")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

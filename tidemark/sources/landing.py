@@ -43,9 +43,25 @@ def with_file(df: DataFrame) -> DataFrame:
     })
 
 
-def unseen_files(landed: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Rows of files whose name the target does not hold yet."""
-    return landed.join(loaded.select("file_name").distinct(), "file_name", "left_anti")
+def unseen_paths(spark: SparkSession, folder: str, loaded: DataFrame, pattern: str = "*") -> list[str]:
+    """Paths of the files in ``folder`` whose name the target does not hold yet.
+
+    Files are listed, not read; the target is asked for its file names alone.
+    The list is as long as what has newly landed.
+    """
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
+    named = listing.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+    new = named.join(loaded.select("file_name").distinct(), "file_name", "left_anti")
+    return sorted(row.path for row in new.collect())
+
+
+def unseen_files(spark: SparkSession, folder: str, loaded: DataFrame, schema: T.StructType | str, fmt: str = "parquet",
+                 pattern: str = "*") -> DataFrame:
+    """Rows of files whose name the target does not hold yet; seen files stay unopened."""
+    paths = unseen_paths(spark, folder, loaded, pattern)
+    if not paths:
+        return with_file(spark.read.schema(schema).format(fmt).load(folder)).limit(0)
+    return with_file(spark.read.schema(schema).format(fmt).load(paths))
 
 
 def newest_file(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -62,18 +78,22 @@ def newest_file(spark: SparkSession, folder: str, pattern: str = "*") -> DataFra
     )
 
 
-def object_keys(df: DataFrame, json: str) -> list[str]:
+def object_keys(df: DataFrame, json: str, most: int = 2000) -> list[str]:
     """Every top-level key of a JSON object column, sorted.
 
-    Keys are made distinct by the executors; the list is as long as the schema.
+    Keys are made distinct by the executors; an object with more than ``most``
+    is a map with keys of its users' making, not a record, and is refused.
     """
     keys = df.select(F.explode(F.expr(f"json_object_keys({json})")).alias("k")).distinct()
-    return sorted(row.k for row in keys.collect())
+    found = sorted(row.k for row in keys.limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"{json} has over {most} keys; read it as a map")
+    return found
 
 
-def json_to_columns(df: DataFrame, json: str, known: Sequence[str] = ()) -> DataFrame:
+def json_to_columns(df: DataFrame, json: str, known: Sequence[str] = (), most: int = 2000) -> DataFrame:
     """One text column per key of a JSON object; keys not ``known`` are appended."""
-    keys = [*known, *[k for k in object_keys(df, json) if k not in known]]
+    keys = [*known, *[k for k in object_keys(df, json, most) if k not in known]]
     parsed = df.withColumn("_map", F.from_json(json, T.MapType(T.StringType(), T.StringType())))
     return parsed.select(
         *[c for c in df.columns if c != json], *[F.col("_map")[k].alias(k) for k in keys])
