@@ -395,8 +395,8 @@ def test_a_line_item_with_an_industry_is_taken(spark):
 def test_seen_files_stay_unopened_and_untouched_partitions_unchanged(spark, tmp_path):
     landed = str(tmp_path / "landed")
     spark.range(3).coalesce(1).write.parquet(landed)
-    loaded = landing.with_file(spark.read.parquet(landed)).cache()
-    loaded.count()
+    landing.with_file(spark.read.parquet(landed)).write.parquet(str(tmp_path / "loaded"))
+    loaded = spark.read.parquet(str(tmp_path / "loaded"))
     spark.range(3, 5).coalesce(1).write.mode("append").parquet(landed)
     new = landing.unseen_files(spark, landed, loaded, "id bigint", pattern="*.parquet")
     assert sorted(r.id for r in new.collect()) == [3, 4] and len(new.inputFiles()) == 1
