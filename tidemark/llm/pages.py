@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -133,10 +134,10 @@ def main_text(page: str | None, short: int = 10, dense: float = 0.3, linked: flo
     words; if fewer than a third of that are, it is bad. The others are
     undecided: short ones, headings, and those in between.
 
-    Second pass. An undecided block takes the label of the nearest decided block
-    on the same side of the article's border, good if two are equally near;
-    without any, it is good in an article and bad elsewhere. If the page marks
-    an article, only its blocks are kept.
+    Second pass. An undecided block takes the label of the nearest decided block,
+    good if two are equally near; without any, it is good in an article and bad
+    elsewhere. Blocks set apart decide nothing about others. If the page marks
+    an article, only its blocks decide and are kept.
     """
     blocks = blocks_of(page or "")
     marked = any(b.inside and not b.apart for b in blocks)
@@ -149,27 +150,19 @@ def main_text(page: str | None, short: int = 10, dense: float = 0.3, linked: flo
             b.label = "good"
         elif len(words) >= short and not b.heading and stops < dense / 3:
             b.label = "bad"
-    decided = [k for k, b in enumerate(blocks) if b.label and (not marked or b.inside)]
+    decided = [k for k, b in enumerate(blocks) if b.label and not b.apart and (not marked or b.inside)]
     kept = []
     for k, b in enumerate(blocks):
         label = b.label
         if not label:
-            near = min((abs(j - k) for j in decided), default=None) if len(decided) < 3 else _nearest(decided, k)
-            labels = {blocks[j].label for j in (k - near, k + near) if 0 <= j < len(blocks) and blocks[j].label} if near is not None else set()
-            label = "good" if "good" in labels or (not labels and b.inside) or (b.inside and labels == {"bad"} and not any(blocks[j].label == "good" for j in decided)) else "bad"
+            at = bisect(decided, k)
+            around = [(abs(j - k), blocks[j].label != "good") for j in decided[max(0, at - 1): at + 1]]
+            label = "bad" if (min(around)[1] if around else not b.inside) else "good"
         if label == "good":
             kept.append(b.text)
     return "\n".join(kept)
 
 
-def _nearest(places: list[int], k: int) -> int:
-    """Distance from ``k`` to the nearest of the sorted places."""
-    from bisect import bisect
-
-    at = bisect(places, k)
-    return min(abs(places[j] - k) for j in (at - 1, at) if 0 <= j < len(places))
-
-
 def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """One row per page: the kept columns, text and n_chars (code points).
 

@@ -119,8 +119,10 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, decay: f
             return a.T @ (sa - 1) / len(a) + b.T @ sb / len(b) + 1e-2 * w
         return _descend(gradient, a.shape[1], 200, 0.02)
 
-    scored = [(p[1 - k::2] @ w, u[1 - k::2] @ w) for k in (0, 1) for w in [separate(p[k::2], u[k::2])] if len(p[1 - k::2]) and len(u[1 - k::2]) and len(p[k::2]) and len(u[k::2])]
-    prior = float(np.mean([class_prior(*s) for s in scored])) if scored else 0.5
+    prior = 0.5
+    if min(len(p), len(u)) > 1:
+        halves = [(k, separate(p[k::2], u[k::2])) for k in (0, 1)]
+        prior = float(np.mean([class_prior(p[1 - k::2] @ w, u[1 - k::2] @ w) for k, w in halves]))
     w = _descend(_risk_gradient(p, u, prior, decay), p.shape[1], steps, 0.02)
     return PuModel(w[:-1], float(w[-1]), mean, scale, prior)
 
