@@ -54,7 +54,7 @@ class PuModel:
         self.weights, self.bias, self.mean, self.scale, self.prior = weights, bias, mean, scale, prior
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        margin = np.clip(((x - self.mean) / self.scale).astype(np.float64) @ self.weights + self.bias, -30, 30)
+        margin = np.clip(((x - self.mean) / self.scale).astype(np.float64).clip(-6, 6) @ self.weights + self.bias, -30, 30)
         return 1 / (1 + np.exp(-margin))
 
 

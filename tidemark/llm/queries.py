@@ -47,7 +47,19 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-@register("op3_super_minhash")
+NEAR_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+e AS (SELECT doc_id, len(g) AS n, hash(unnest(g)) AS x FROM s),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE 100 * c >= 85 * (na + nb - c)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(node, least) AS (SELECT doc_id, doc_id FROM s UNION SELECT b, least FROM reach JOIN ways ON node = a WHERE least < b),
+found AS (SELECT node, min(least) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, len(g) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN found ON doc_id = node"""
+
+
+@register("op3_super_minhash", NEAR_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
 
@@ -62,7 +74,16 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return latent.contaminated(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark", "item_id", "text"))
 
 
-@register("op7_vector_links")
+VECTOR_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(node, least) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT b, least FROM reach JOIN links ON node = a WHERE least < b),
+found AS (SELECT node, min(least) AS component_id FROM reach GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN found ON vec_id = node"""
+
+
+@register("op7_vector_links", VECTOR_SQL)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.vector_groups(table(spark, folder, "embeddings", "vec_id", "embedding", "label"))
 
