@@ -322,6 +322,19 @@ def test_countries(spark):
     assert got["zzzz"] == (None, None) and got["St. "] == (None, None) and None not in got
 
 
+def test_countries_by_other_names(spark):
+    rows_ = [("CI", "CIV", "Côte d'Ivoire", "Republic of Côte d'Ivoire", None, "384"), ("VN", "VNM", "Viet Nam", "Socialist Republic of Viet Nam", "Vietnam", "704"), ("VE", "VEN", "Venezuela, Bolivarian Republic of", None, "Venezuela", "862")]
+    c = spark.createDataFrame(rows_, "a2 string, a3 string, name string, official string, common string, n string")
+    subs = spark.createDataFrame([("VE", "VE-J", "Guárico;Guarico State", "State"), ("VE", "VE-A", "Distrito Capital", "District"), ("CI", "CI-AB", "Abidjan", None)], "c string, k string, name string, kind string")
+    asked = ["Cote d'Ivoire", "Vietnam", "guarico", "Guarico State", "0704", "704x", "Venezuela", "Abidjan", "District"]
+    t = spark.createDataFrame([(a,) for a in asked], "t string")
+    out = match_countries(t, "t", c, "a2", "a3", "name", "official", subs, "c", ("k", "name", "kind"), "common", "n")
+    got = {r.t: (r.matched_code, r.score) for r in out.collect()}
+    assert got["Cote d'Ivoire"] == ("CI", 93) and got["Vietnam"] == ("VN", 95)  # without accents; a common name, and one edit from the name
+    assert got["guarico"] == ("VE", 49) and got["Guarico State"] == ("VE", 49) and got["District"] == ("VE", 49)
+    assert got["0704"][0] is None and got["704x"][0] is None and got["Abidjan"] == ("CI", 49) and got["Venezuela"] == ("VE", 143)
+
+
 def test_smoothing_equals_brute_force(spark):
     rnd = random.Random(7)
     bins = [(g, b, rnd.randrange(5), rnd.randrange(6)) for g, n in (("a", 60), ("b", 3), ("c", 1)) for b in range(n)]

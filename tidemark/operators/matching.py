@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,19 @@ def cleaned(text: Column, replace: bool = True) -> Column:
     return result
 
 
+def _plain_letters() -> tuple[str, str]:
+    """Small accented Latin letters, and the letters that they are without accents."""
+    both = [(c, unicodedata.normalize("NFD", c)[0]) for c in map(chr, range(0xC0, 0x250)) if c == c.lower()]
+    kept = [(c, p) for c, p in both if p != c and p.isascii()]
+    return "".join(c for c, _ in kept), "".join(p for _, p in kept)
+
+
+def without_accents(text: Column) -> Column:
+    """Small letters without accents."""
+    accented, letters = _plain_letters()
+    return F.translate(F.lower(text), accented, letters)
+
+
 def _pairs(text: Column) -> Column:
     """The text's distinct two-letter pieces; a single letter is its own piece."""
     positions = F.sequence(F.lit(1), F.greatest(F.length(text) - 1, F.lit(1)))
@@ -55,18 +70,22 @@ def _letters(text: Column) -> Column:
 
 def match_countries(texts: DataFrame, column: str, countries: DataFrame, code: str, code3: str, name: str,
                     official: str, subdivisions: DataFrame | None = None, sub_code: str | None = None,
-                    sub_name: str | None = None) -> DataFrame:
+                    sub_names: tuple[str, ...] = (), common: str | None = None, numeric: str | None = None) -> DataFrame:
     """Best country per distinct text, with its score; NULL where nothing fits.
 
     Text of two or three letters is looked up as a code only (score NULL).
-    Otherwise points add up per country: equal to a code or name 50, equal to a
-    subdivision 49, contained in a name 48, least edit distance under a quarter
-    of the text's length 45. The highest sum wins, then the smallest code.
-
-    Nothing is crossed. Text that is contained in a name, or nearer to it than
-    a quarter of its length in edits, shares a two-letter piece with it (each
-    edit destroys at most two pieces), so candidates come from an equi-join on
-    pieces and the result is the full comparison's.
+    Otherwise points add up per country: equal to a code, a number or one of its
+    names 50, equal to one of the ';'-separated entries of any field of a
+    subdivision 49, contained in the name or the official name 48, least edit
+    distance under a quarter of the text's length 45. Names and subdivisions are
+    compared without accents for the second and third. The highest sum wins,
+    then the smallest code.
+
+    Nothing is crossed. Each edit destroys at most two of the text's two-letter
+    pieces, so a text nearer to a name than a quarter of its length, or contained
+    in one, lacks at most so many of its pieces there. Of one more piece than
+    that at least one is shared: candidates come from an equi-join on so many
+    pieces, and pairs that lack too many of all are dropped before any distance.
     """
     asked = texts.select(column).filter(F.col(column).isNotNull()).distinct().withColumn(
         "_q", cleaned(F.col(column)))
@@ -75,33 +94,36 @@ def match_countries(texts: DataFrame, column: str, countries: DataFrame, code: s
     by_code = asked.filter(F.length(column).isin(2, 3)).join(codes, F.upper(F.col(column)) == F.col("_as")).select(
         column, "_code", F.lit(None).cast("bigint").alias("score"))
 
+    fields = [c for c in (code, code3, name, official, common, numeric) if c is not None]
+    exact = countries.select(F.col(code).alias("_code"), F.explode(F.array_distinct(F.array_compact(
+        F.array(*[F.lower(F.col(c).cast("string")) for c in fields])))).alias("_as"))
+    equal = answerable.join(exact, F.col("_q") == F.col("_as")).select(column, "_code", F.lit(EXACT_POINTS).alias("_points"))
+
     listed = countries.select(
-        F.col(code).alias("_code"), F.lower(F.col(name)).alias("_name"), F.lower(F.col(official)).alias("_official"),
-        cleaned(F.col(name), replace=False).alias("_clean"),
-        F.array(*[F.lower(F.col(c)) for c in (code, code3, name, official)]).alias("_exact"),
-    )
-    pieces = F.array_distinct(F.concat(
-        *[f(F.coalesce(F.col(c), F.lit(""))) for f in (_pairs, _letters) for c in ("_name", "_official", "_clean")]))
-    by_piece = listed.withColumn("_piece", F.explode(F.array_union(pieces, F.array_compact("_exact"))))
-    # a text meets a country by a shared piece, or by the whole of a code
-    wanted = answerable.withColumn("_piece", F.explode(F.array_union(_pairs(F.col("_q")), F.array("_q"))))
-    candidates = wanted.join(by_piece, "_piece").drop("_piece").dropDuplicates([column, "_code"])
-
-    distance = F.levenshtein(F.col("_clean"), F.col("_q"))
+        F.col(code).alias("_code"), without_accents(F.col(name)).alias("_name"), without_accents(F.col(official)).alias("_official"),
+        cleaned(F.col(name), replace=False).alias("_clean"))
+    held = F.array_distinct(F.concat(*[
+        f(F.coalesce(F.col(c), F.lit(""))) for f in (_pairs, _letters) for c in ("_name", "_official", "_clean")]))
+    by_piece = listed.withColumn("_held", held).withColumn("_piece", F.explode("_held"))
+    edits = F.ceil(F.length("_q") * DISTANCE_RATIO) - 1
+    wanted = answerable.withColumn("_all", _pairs(F.col("_q"))).withColumn("_lost", (edits * 2).cast("int"))
+    probes = wanted.withColumn("_piece", F.explode(F.slice("_all", 1, F.col("_lost") + 1)))
+    met = probes.join(by_piece, "_piece").filter(
+        F.size(F.array_except("_all", "_held")) <= F.col("_lost")).drop("_piece", "_held", "_all", "_lost")
+    candidates = met.dropDuplicates([column, "_code"])
+
     scored = candidates.withColumns({
-        "_points": (
-            F.when(F.array_contains("_exact", F.col("_q")), EXACT_POINTS).otherwise(0)
-            + F.when(F.contains("_name", "_q") | F.coalesce(F.contains("_official", "_q"), F.lit(False)),
-                     PARTIAL_POINTS).otherwise(0)
-        ),
-        "_ratio": distance / F.length("_q"),
+        "_within": F.contains("_name", "_q") | F.coalesce(F.contains("_official", "_q"), F.lit(False)),
+        "_ratio": F.levenshtein(F.col("_clean"), F.col("_q")) / F.length("_q"),
     })
     nearest = first_by(
         scored.filter(F.col("_ratio") < DISTANCE_RATIO), [column], [F.col("_ratio").asc(), F.col("_code").asc()])
-    votes = scored.filter(F.col("_points") > 0).select(column, "_code", "_points").unionByName(
+    votes = equal.unionByName(
+        scored.filter("_within").select(column, "_code", F.lit(PARTIAL_POINTS).alias("_points"))).unionByName(
         nearest.select(column, "_code", F.lit(DISTANCE_POINTS).alias("_points")))
     if subdivisions is not None:
-        named = subdivisions.select(F.col(sub_code).alias("_code"), F.lower(F.col(sub_name)).alias("_sub")).distinct()
+        entries = F.split(without_accents(F.concat_ws(";", *[F.col(c).cast("string") for c in sub_names])), ";")
+        named = subdivisions.select(F.col(sub_code).alias("_code"), F.explode(F.array_distinct(entries)).alias("_sub"))
         votes = votes.unionByName(
             answerable.join(named, F.col("_q") == F.col("_sub")).select(
                 column, "_code", F.lit(SUBDIVISION_POINTS).alias("_points")))

@@ -155,7 +155,7 @@ def country_texts(t: Catalog):
 
 def towns(t: Catalog):
     return t.nation.join(country_list(t).select("alpha_2", F.col("n_nationkey").alias("nk")), F.col("n_nationkey") == F.col("nk")).select(
-        "alpha_2", F.concat(F.lit("town "), F.col("n_nationkey").cast("string")).alias("town"))
+        "alpha_2", F.concat(F.lit("Tówn "), F.col("n_nationkey").cast("string"), F.lit(";Plätze")).alias("town"), F.lit("Town").alias("kind"))
 
 
 SQL_WORDS = "|".join(w.lower() for w in STOP_WORDS)
@@ -182,7 +182,7 @@ total AS (SELECT text, alpha_2, sum(points) AS score FROM (SELECT text, alpha_2,
 best AS (SELECT * FROM total QUALIFY row_number() OVER (PARTITION BY text ORDER BY score DESC, alpha_2) = 1 UNION ALL SELECT text, alpha_2, NULL FROM texts JOIN listed ON upper(text) IN (alpha_2, alpha_3) WHERE length(text) IN (2, 3))
 SELECT text, alpha_2 AS matched_code, CAST(score AS BIGINT) AS score FROM texts LEFT JOIN best USING (text)""")
 def _(t):
-    return plain(match_countries(country_texts(t), "text", country_list(t), "alpha_2", "alpha_3", "name", "official", towns(t), "alpha_2", "town"))
+    return plain(match_countries(country_texts(t), "text", country_list(t), "alpha_2", "alpha_3", "name", "official", towns(t), "alpha_2", ("town", "kind")))
 
 
 @query("smoothed_conversion", "K42", """
