@@ -154,20 +154,21 @@ def full_interval_join(facts: DataFrame, intervals: DataFrame, on: dict[str, str
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
-              values: Sequence[str], grain: str = "hour") -> DataFrame:
+              values: Sequence[str]) -> DataFrame:
     """Attach to each left row the latest right row at or before its time.
 
     ``values`` are right-hand columns (none named as a left column); ties in
-    time go to the greatest values. Work is split by (key, time bucket): inside
-    a bucket a window runs over its own rows; between buckets only one row per
-    (key, bucket) is carried forward, so a key's history never meets in one task.
-    Choose a ``grain`` in which even the busiest key's bucket fits a task.
+    time go to the greatest values. Rows are sorted by key and time into pieces of
+    about equal size, wherever the busy keys and hours are: inside a piece a
+    window runs over a key's rows; between pieces only one row per key and piece
+    is carried forward, so a key's history never meets in one task.
     """
     touch = F.struct(F.col(right_time).alias("_at"), *[F.col(v) for v in values])
     touches = right.filter(F.col(key).isNotNull() & F.col(right_time).isNotNull()).select(
         F.col(key), F.col(right_time).alias("_t"), touch.alias("_touch"), F.lit(0).alias("_side"))
     probes = left.withColumns({"_t": F.col(left_time), "_side": F.lit(1)})
-    rows = probes.unionByName(touches, allowMissingColumns=True).withColumn("_bucket", F.date_trunc(grain, "_t"))
+    rows = probes.unionByName(touches, allowMissingColumns=True)
+    rows = stored(rows.repartitionByRange(key, "_t", "_side").withColumn("_bucket", F.spark_partition_id()))
 
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = (

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 
 def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -43,6 +45,24 @@ def latest_ties(df: DataFrame, keys: Sequence[str], newest: str) -> DataFrame:
     return df.join(top, on, "left_semi")
 
 
+def place_in_group(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Number the rows of each group 0, 1, 2 … by ``order`` (unique in the group).
+
+    Rows are sorted into pieces of about equal size; a row's place is its place
+    in the piece and the group's rows in the pieces before, so a large group is
+    numbered by many tasks. Groups with a NULL column drop out.
+    """
+    pieces = stored(df.repartitionByRange(*groups, *order).withColumn("_piece", F.spark_partition_id()))
+    inside = Window.partitionBy("_piece", *groups).orderBy(*order)
+    before = Window.partitionBy(*groups).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = pieces.groupBy("_piece", *groups).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    return (
+        pieces.withColumn("_inside", F.row_number().over(inside) - 1).join(counts, ["_piece", *groups])
+        .withColumn(name, F.col("_inside") + F.col("_before")).drop("_piece", "_inside", "_before")
+    )
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str], *tiebreak: str) -> DataFrame:
     """Any one row per key, made repeatable by an explicit tiebreak."""
     return first_by(df, keys, [F.col(c).asc_nulls_last() for c in tiebreak])

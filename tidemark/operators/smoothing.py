@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.latest import place_in_group
+
 
 def smoothed_rate(bins: DataFrame, groups: Sequence[str], bin_column: str, hits: str, total: str,
                   sigma: float = 10.0, truncate: float = 4.0,
@@ -18,11 +20,10 @@ def smoothed_rate(bins: DataFrame, groups: Sequence[str], bin_column: str, hits:
     equi-join on their position: linear in the bins, never group by group.
     """
     radius = int(truncate * sigma + 0.5)
-    order = Window.partitionBy(*groups).orderBy(bin_column)
     sizes = bins.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
     quotient = F.col(hits).cast("double") / F.nullif(F.col(total).cast("double"), F.lit(0.0))
     placed = (
-        bins.withColumns({"_at": F.row_number().over(order) - 1, rate: F.coalesce(quotient, F.lit(0.0))})
+        place_in_group(bins, groups, [bin_column], "_at").withColumn(rate, F.coalesce(quotient, F.lit(0.0)))
         .join(sizes, list(groups))
     )
     offset = F.col("_offset")
