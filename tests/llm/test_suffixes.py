@@ -81,7 +81,7 @@ def odd_rows(corpus):
     return rows + [(3010 + k, corpus[0][1]) for k in range(5)] + [corpus[3]] * 3
 
 
-@pytest.mark.parametrize("crowd, shard_bytes", [(2000, 4 << 20), (3, 3000)])
+@pytest.mark.parametrize("crowd, shard_bytes", [(200, 4 << 20), (3, 3000)])
 def test_repeats(docs_of, corpus, crowd, shard_bytes):
     rows = odd_rows(corpus)
     got = suffixes.without_repeats(docs_of(rows), crowd=crowd, shard_bytes=shard_bytes)

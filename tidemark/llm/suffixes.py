@@ -415,7 +415,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches_of(rows(), schema)
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, shard_bytes: int = 4 << 20, crowd: int = 2000) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, shard_bytes: int = 4 << 20, crowd: int = 200) -> DataFrame:
     """One row per document: ``id_col``, n_bytes, spans (start, end; what repeats) and kept (the other bytes).
 
     A byte repeats if a stretch of ``length`` bytes covers it that begins at
@@ -427,8 +427,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     2. Runs with equal bytes (by 128 bits of hash) are one class. A class of
        several runs repeats as a whole; it stays in the sort as one text, so
        copies are sorted once, however many they are.
-    3. Classes that share their anchor with another class go to shards of about
-       ``shard_bytes`` by anchor, and each shard is suffix-sorted by induction with
+    3. Classes that share their anchor with another class go to shards of
+       ``shard_bytes`` at most on average, two a task at least, by anchor, and each shard is suffix-sorted by induction with
        common prefixes; a start repeats if it shares ``length`` bytes with a
        neighbour in that order. An anchor with over ``crowd`` classes, as a line
        has that stands in very many texts, would fill a shard by itself: its
@@ -453,7 +453,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .groupBy("row").agg(F.collect_list("r").alias("runs"))
     payloads = written(named.select("row", "text").join(wanted, "row").select("text", "runs").mapInArrow(_payloads(length), "key long, body long, n long, crowd long, bytes binary"), "run-bytes")
     total = payloads.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
-    shards = max(1, -(-total // shard_bytes))
+    shards = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
     by_sort = payloads.filter(F.col("crowd") <= crowd).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))) \
         .groupBy("shard").applyInArrow(_sort_shard(length), RANGES)
     windows = payloads.filter(F.col("crowd") > crowd).select("key", "body", "n", "bytes").mapInArrow(_window_hashes(length), "key long, body long, n long, w int, h1 long, h2 long")
