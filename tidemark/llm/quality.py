@@ -47,6 +47,12 @@ def features(text: str | None) -> np.ndarray:
     return out
 
 
+def standardised(x: np.ndarray, mean: np.ndarray, scale: np.ndarray, short: float = 30.0) -> np.ndarray:
+    """Features by their mean and deviation; those of a text with few bytes count little, as they say little."""
+    size = np.expm1(10.0 * x[:, KINDS * KINDS].astype(np.float64))
+    return ((x - mean) / scale).clip(-6, 6) * (size / (size + short))[:, None]
+
+
 class PuModel:
     """A linear model on standardised features; scores are probabilities of the positive class."""
 
@@ -54,7 +60,7 @@ class PuModel:
         self.weights, self.bias, self.mean, self.scale, self.prior = weights, bias, mean, scale, prior
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        margin = np.clip(((x - self.mean) / self.scale).astype(np.float64).clip(-6, 6) @ self.weights + self.bias, -30, 30)
+        margin = np.clip(standardised(x, self.mean, self.scale) @ self.weights + self.bias, -30, 30)
         return 1 / (1 + np.exp(-margin))
 
 
@@ -68,6 +74,11 @@ def _descend(gradient, width: int, steps: int, rate: float) -> np.ndarray:
     return w
 
 
+def _chance(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Probability of the positive class."""
+    return 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30, dtype=np.float32)))
+
+
 def _risk_gradient(p: np.ndarray, u: np.ndarray, prior: float, decay: float):
     """Gradient of the non-negative unbiased risk with logistic loss.
 
@@ -75,8 +86,8 @@ def _risk_gradient(p: np.ndarray, u: np.ndarray, prior: float, decay: float):
     Where the second part is below zero the step goes against it.
     """
     def gradient(w: np.ndarray) -> np.ndarray:
-        sp, su = 1 / (1 + np.exp(-np.clip(p @ w, -30, 30))), 1 / (1 + np.exp(-np.clip(u @ w, -30, 30)))
-        negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
+        sp, su = _chance(p, w), _chance(u, w)
+        negative = -np.log1p(-np.minimum(su, 1 - 1e-6)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-6)).mean()
         part = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
         g = prior * (p.T @ (sp - 1)) / len(p) + part if negative >= 0 else -part
         g = g + decay * w
@@ -109,13 +120,14 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, decay: f
     """
     if not len(positive) or not len(unlabelled):
         return PuModel(np.zeros(WIDTH), 0.0, np.zeros(WIDTH), np.ones(WIDTH), 0.5)
-    both = np.concatenate((positive, unlabelled))
-    mean, scale = both.mean(0), np.maximum(both.std(0), 1e-3)
-    p, u = (np.hstack(((x - mean) / scale, np.ones((len(x), 1)))).clip(-6, 6) for x in (positive, unlabelled))
+    n = len(positive) + len(unlabelled)
+    mean = (positive.sum(0, dtype=np.float64) + unlabelled.sum(0, dtype=np.float64)) / n
+    scale = np.maximum(np.sqrt(sum(((x - mean) ** 2).sum(0) for x in (positive, unlabelled)) / n), 1e-3)
+    p, u = (np.hstack((standardised(x, mean, scale), np.ones((len(x), 1)))).astype(np.float32) for x in (positive, unlabelled))
 
     def separate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         def gradient(w: np.ndarray) -> np.ndarray:
-            sa, sb = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30))), 1 / (1 + np.exp(-np.clip(b @ w, -30, 30)))
+            sa, sb = _chance(a, w), _chance(b, w)
             return a.T @ (sa - 1) / len(a) + b.T @ sb / len(b) + 1e-2 * w
         return _descend(gradient, a.shape[1], 200, 0.02)
 
@@ -155,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 15_000) -> PuModel:
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id") \
         .mapInArrow(vectors, "doc_id long, trusted boolean, x binary").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.x)))
-    of = lambda which: np.array([np.frombuffer(r.x, np.float32) for r in rows if r.trusted == which]).reshape(-1, WIDTH).astype(np.float64)
+    of = lambda which: np.array([np.frombuffer(r.x, np.float32) for r in rows if r.trusted == which]).reshape(-1, WIDTH)
     return fit(of(True), of(False))
 
 
