@@ -397,6 +397,14 @@ def test_a_parents_active_contract_steps_in_for_an_untyped_one(spark):
     assert rows(out.select("customer_csn", "tier", "partner_type")) == [("1", "Tier 1", "VAR"), ("2", "Tier 2", "VAR"), ("3", None, None)]
 
 
+def test_a_supplied_calendar_counts_weeks_its_own_way(spark):
+    days_ = spark.createDataFrame([(day("2024-02-01"), "Q1", 7), (day("2024-02-02"), "Q1", 8)], "date_key date, q string, w int")
+    facts = spark.createDataFrame([(1, day("2024-02-01")), (2, day("2024-02-03"))], "id int, d date")
+    assert rows(calendar.by_day(facts, "d", days_, ["q", "w"]).select("id", "q", "w")) == [(1, "Q1", 7), (2, None, None)]
+    weekly = spark.createDataFrame([("Q1", 8, 5), ("Q1", 9, 6)], "q string, w int, n int")
+    assert rows(calendar.by_week(weekly, days_, "q", "w").select("n", "week_start")) == [(5, day("2024-02-02")), (6, None)]
+
+
 def test_a_line_item_with_an_industry_is_taken(spark):
     stack = spark.createDataFrame([("p", 1, "k", "7")], "p string, t int, key string, id string")
     taxonomy = spark.createDataFrame([("k", "8")], "key string, v string")

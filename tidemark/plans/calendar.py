@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +58,20 @@ def date_hierarchy(dates: DataFrame) -> DataFrame:
         F.date_format(d, "MMM").alias("month_name"), F.date_format(d, "E").alias("day_name"),
         F.date_format(d, "MMM d, yyyy").alias("display_date"),
     ).distinct()
+
+
+def by_day(facts: DataFrame, day: str, supplied: DataFrame, columns: Sequence[str], date_key: str = "date_key") -> DataFrame:
+    """Attach columns of a calendar that the finance department supplies; days it lacks get NULLs.
+
+    A supplied calendar may count weeks as it likes; nothing is derived from the date here.
+    """
+    days_ = supplied.select(F.col(date_key).alias("_day"), *columns).dropDuplicates(["_day"])
+    return facts.join(days_, F.col(day) == F.col("_day"), "left").drop("_day")
+
+
+def by_week(weekly: DataFrame, supplied: DataFrame, quarter: str, week: str, date_key: str = "date_key") -> DataFrame:
+    """Attach the first and last day of each (quarter, week) of a supplied calendar."""
+    weeks = supplied.groupBy(F.col(quarter).alias("_quarter"), F.col(week).alias("_week")).agg(
+        F.min(date_key).alias("week_start"), F.max(date_key).alias("week_end"))
+    same = (F.col(quarter) == F.col("_quarter")) & (F.col(week) == F.col("_week"))
+    return weekly.join(weeks, same, "left").drop("_quarter", "_week")

@@ -69,6 +69,15 @@ def with_customer(fact: DataFrame, customers: DataFrame, key: str, name: str) ->
     return fact.join(customers.select(key, name).distinct(), key, "left")
 
 
+def with_brand_lookups(branded: DataFrame, activations: DataFrame, countries: DataFrame, profile: str) -> DataFrame:
+    """Activation and budget owner of the brand tag, country of the profile; NULL where unknown.
+
+    ``activations``: brand_tag, brand_activation, budget_owner; ``countries``: the profile column and country.
+    """
+    by_tag = activations.dropDuplicates(["brand_tag"])
+    return branded.join(by_tag, "brand_tag", "left").join(countries.dropDuplicates([profile]), profile, "left")
+
+
 def brand_posts(posts: DataFrame, tags: str, rules: Sequence[tuple[str, str]], other: str = "NON_BRAND_TAGS") -> DataFrame:
     """Posts with a brand tag; engagement is NULL when any part is."""
     tagged = posts.withColumn("brand_tag", keyword_class(tags, rules, other)).filter(F.col("brand_tag") != other)

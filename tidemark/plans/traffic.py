@@ -8,11 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import text
+from tidemark.functions import fiscal, text
 from tidemark.operators import joins, period
 from tidemark.operators.aggregates import distinct_cube
 from tidemark.operators.latest import first_by
-from tidemark.plans.revenue import labelled
+from tidemark.plans.revenue import in_calendar, labelled, with_fiscal_week
 
 
 @dataclass(frozen=True)
@@ -161,6 +161,23 @@ def weekly_cube(visits: DataFrame, fixed: Sequence[str], dims: dict[str, str],
     return labelled(compared.withColumns({**fallback, **zero}))
 
 
+def trial_comparison(rows: DataFrame, dims: Sequence[str], counts: dict[str, tuple[str, Column]], day: str, as_of: str,
+                     quarters_back: int = 6) -> DataFrame:
+    """Distinct trial steps per quarter beside the previous and the year-ago quarter.
+
+    ``counts`` maps a name to (id column, condition). The current quarter compares
+    with the weeks of the earlier ones that it has completed itself.
+    """
+    recent = with_fiscal_week(in_calendar(rows, day, as_of, quarters_back), day)
+    last_week = period.weeks_in_quarter(fiscal.quarter_index(fiscal.as_date(as_of)), as_of)
+    to_date = F.col("fiscal_week") <= last_week
+    cells = recent.groupBy("quarter_index", *dims).agg(
+        *[F.count_distinct(F.when(cond, F.col(i))).alias(n) for n, (i, cond) in counts.items()],
+        *[F.count_distinct(F.when(cond & to_date, F.col(i))).alias(f"{n}_to_date") for n, (i, cond) in counts.items()])
+    return labelled(period.cell_comparison(
+        cells, "quarter_index", dims, list(counts), as_of, to_date=[f"{n}_to_date" for n in counts]))
+
+
 def weeks_after(stored: DataFrame, new: DataFrame) -> DataFrame:
     """New weeks beyond the newest stored one (quarter, then week)."""
     position = F.col("quarter_index") * 100 + F.col("fiscal_week")

@@ -232,11 +232,19 @@ def _(t):
 
 @query("brand_posts", "K39 B8", f"""
 WITH {SQL_POSTS}, b AS (SELECT *, CASE WHEN tags ILIKE '%license%' THEN 'License brand' WHEN tags ILIKE '%reserved%' THEN 'Rights brand' WHEN tags ILIKE '%email%' THEN 'Mail brand' WHEN tags ILIKE '%thenti%' THEN 'Thenti' ELSE 'NON_BRAND_TAGS' END AS brand_tag FROM post_fact)
-SELECT network, profile_id, CAST(created AS VARCHAR) AS created, brand_tag, CASE WHEN network = 'YOUTUBE' THEN CAST(video_views * 15.45 AS DOUBLE) ELSE CAST(impressions AS DOUBLE) END AS impressions, reactions + shares + comments + dislikes + saves AS engagements FROM b WHERE brand_tag <> 'NON_BRAND_TAGS'""")
+SELECT network, profile_id, brand_activation, budget_owner, country, CAST(created AS VARCHAR) AS created, brand_tag, CASE WHEN network = 'YOUTUBE' THEN CAST(video_views * 15.45 AS DOUBLE) ELSE CAST(impressions AS DOUBLE) END AS impressions, reactions + shares + comments + dislikes + saves AS engagements FROM b LEFT JOIN (SELECT ['License brand', 'Mail brand', 'Thenti', 'x', 'y'][r_regionkey + 1] AS tag, 'Activation ' || r_regionkey AS brand_activation, r_name AS budget_owner FROM region) ON brand_tag = tag
+  LEFT JOIN (SELECT 'P' || c_custkey AS pid, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 4 <> 0) ON profile_id = pid WHERE brand_tag <> 'NON_BRAND_TAGS'""")
 def _(t):
     rules = [("%license%", "License brand"), ("%reserved%", "Rights brand"), ("%email%", "Mail brand"), ("%thenti%", "Thenti")]
     branded = social.brand_posts(post_fact(t), "tags", rules)
-    return plain(branded.withColumn("impressions", F.round("impressions", 2)), "network", "profile_id", "created", "brand_tag", "impressions", "engagements")
+    names = F.array(*[F.lit(x) for x in ("License brand", "Mail brand", "Thenti", "x", "y")])
+    activations = t.region.select(F.get(names, F.col("r_regionkey").cast("int")).alias("brand_tag"),
+                                  F.concat(F.lit("Activation "), F.col("r_regionkey").cast("string")).alias("brand_activation"), F.col("r_name").alias("budget_owner"))
+    countries = t.customer.filter("c_custkey % 4 <> 0").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("profile_id"), F.col("n_name").alias("country"))
+    known = social.with_brand_lookups(branded, activations, countries, "profile_id")
+    return plain(known.withColumn("impressions", F.round("impressions", 2)), "network", "profile_id", "brand_activation", "budget_owner", "country",
+                 "created", "brand_tag", "impressions", "engagements")
 
 
 PROFILE_MEASURES = {

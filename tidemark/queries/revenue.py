@@ -8,7 +8,7 @@ from tidemark.functions import fiscal
 from tidemark.operators import period
 from tidemark.operators.aggregates import labeled_cube, with_total
 from tidemark.operators.joins import densify
-from tidemark.plans import calendar, revenue
+from tidemark.plans import calendar, revenue, traffic
 from tidemark.queries.output import plain
 from tidemark.queries.registry import query
 from tidemark.queries.roles import (
@@ -259,3 +259,36 @@ def _(t):
     joined = grid.join(by_region, ["geo", "qi"], "left")
     return plain(joined.select("geo", fiscal.label_of_index("qi").alias("fiscal_quarter"),
                                F.coalesce("orders", F.lit(0)).alias("orders")))
+
+
+@query("supplied_calendar", "J21 K1", f"""
+WITH supplied AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date_key, {sql_label('o_orderdate')} AS fiscal_quarter,
+  (CAST(o_orderdate AS DATE) - {sql_begin('o_orderdate')} + dayofweek({sql_begin('o_orderdate')})) // 7 + 1 AS sunday_week FROM orders WHERE o_orderkey % 9 <> 0),
+sums AS (SELECT fiscal_quarter, sunday_week, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM orders LEFT JOIN supplied ON CAST(o_orderdate AS DATE) = date_key GROUP BY 1, 2)
+SELECT s.fiscal_quarter, s.sunday_week, orders, revenue, CAST(min(date_key) AS VARCHAR) AS week_start, CAST(max(date_key) AS VARCHAR) AS week_end
+FROM sums s LEFT JOIN supplied c ON s.fiscal_quarter = c.fiscal_quarter AND s.sunday_week = c.sunday_week GROUP BY ALL""")
+def _(t):
+    day = order_day()
+    begin = fiscal.quarter_begin(day)
+    # a calendar whose weeks start on Sundays, and which lacks some days
+    supplied = t.orders.filter("o_orderkey % 9 <> 0").select(
+        day.alias("date_key"), fiscal.quarter_label(day).alias("fiscal_quarter"),
+        (F.floor((F.datediff(day, begin) + F.dayofweek(begin) - 1) / 7) + 1).alias("sunday_week")).distinct()
+    facts = calendar.by_day(t.orders.select(day.alias("day"), F.col("o_totalprice").cast("decimal(18,2)").alias("price")), "day", supplied, ["fiscal_quarter", "sunday_week"])
+    weekly = facts.groupBy("fiscal_quarter", "sunday_week").agg(F.count(F.lit(1)).alias("orders"), F.sum("price").alias("revenue"))
+    return plain(calendar.by_week(weekly, supplied, "fiscal_quarter", "sunday_week"), "fiscal_quarter", "sunday_week", "orders", "revenue", "week_start", "week_end")
+
+
+@query("trial_comparison", "K14 K7 G8", f"""
+WITH {SQL_ACCOUNTS}, {sql_calendar(AS_OF, '1995-01-01')},
+v AS (SELECT qi, fiscal_week, geo, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS loaded, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS used FROM orders JOIN accounts ON o_custkey = c_custkey JOIN calendar ON date_key = CAST(o_orderdate AS DATE) WHERE {sql_from('date_key', AS_OF)} >= -6),
+whole AS (SELECT qi, geo, count(DISTINCT loaded) AS downloads, count(DISTINCT used) AS activations FROM v GROUP BY 1, 2),
+part AS (SELECT qi, geo, nullif(count(DISTINCT loaded), 0) AS downloads, nullif(count(DISTINCT used), 0) AS activations FROM v WHERE fiscal_week <= (SELECT max(fiscal_week) FROM calendar WHERE qi = {sql_index(A)}) GROUP BY 1, 2),
+earlier AS (SELECT *, false AS current FROM whole UNION ALL SELECT *, true FROM part)
+SELECT {sql_index_label('w.qi')} AS fiscal_quarter, w.geo, w.downloads, w.activations, p.downloads AS qoq_downloads, p.activations AS qoq_activations, y.downloads AS yoy_downloads, y.activations AS yoy_activations
+FROM whole w LEFT JOIN earlier p ON p.qi = w.qi - 1 AND p.geo = w.geo AND p.current = (w.qi = {sql_index(A)}) LEFT JOIN earlier y ON y.qi = w.qi - 4 AND y.geo = w.geo AND y.current = (w.qi = {sql_index(A)})""")
+def _(t):
+    steps = t.orders.select("o_custkey", "o_orderstatus", order_day().alias("day")).join(accounts(t).select("c_custkey", "geo"), F.col("o_custkey") == F.col("c_custkey"))
+    status = F.col("o_orderstatus")
+    fact = traffic.trial_comparison(steps, ["geo"], {"downloads": ("o_custkey", status != "P"), "activations": ("o_custkey", status == "F")}, "day", AS_OF)
+    return plain(fact, "fiscal_quarter", "geo", "downloads", "activations", "qoq_downloads", "qoq_activations", "yoy_downloads", "yoy_activations")
