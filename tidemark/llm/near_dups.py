@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mix, prepare, strings, written
@@ -175,6 +175,47 @@ def _linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return full.select("a", "b", "ta", "tb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _across(rest: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked: all that are, and few others.
+
+    Each set's shingles are put in one order, the rarest first. Two sets that
+    share m shingles have the first of these at most m places from the end in
+    both; as ``percent`` asks for a certain m, a pair must meet in a shingle among
+    the first of both. The edits of a copy are its rarest shingles, so copies with
+    too many edits meet nobody there.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, data, at in slices(b.column("text")):
+                sets = shingle_sets(data, at)
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, len(sets)) for c in ("rep", "n", "root")), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))], names=["rep", "n", "root", "grams"])
+
+    kind = dict(rest.dtypes)["rep"]
+    sets = written(rest.join(texts.withColumnRenamed("id", "rep"), "rep").select("rep", "n", "root", "text").mapInArrow(run, f"rep {kind}, n long, root {kind}, grams array<long>"), "rest")
+    grams = sets.select("rep", "n", "root", F.explode("grams").alias("g"))
+    shared = grams.groupBy("g").agg(F.count("*").alias("c")).filter("c > 1")
+    ranked = grams.join(shared, "g").groupBy("rep", "n", "root").agg(F.sort_array(F.collect_list(F.struct("c", "g"))).alias("l"))
+    # shingles that no other set has come first, so shared ones start after them
+    placed = ranked.select("rep", "n", "root", F.size("l").alias("held"), F.posexplode("l").alias("k", "s")) \
+        .select("rep", "n", "root", "s.g", (F.col("n") - F.col("held") + F.col("k")).alias("place"))
+    need = lambda x, y: F.ceil((x + y) * percent / (100 + percent) - 1e-9)
+    front = written(placed.filter(F.col("place") <= F.col("n") - need(F.col("n"), F.ceil(F.col("n") * percent / 100 - 1e-9))), "fronts")
+    x, y = front.alias("x"), front.alias("y")
+    m = need(F.col("x.n"), F.col("y.n"))
+    meet = (F.col("x.g") == F.col("y.g")) & (F.col("x.rep") > F.col("y.rep")) & (F.col("x.root") != F.col("y.root")) \
+        & (F.col("x.place") <= F.col("x.n") - m) & (F.col("y.place") <= F.col("y.n") - m)
+    return x.join(y, meet).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) after more links: those of the links' roots, carried over to their nodes."""
+    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
+    above = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct()
+    step = written(components(above), "roots")
+    carried = roots.join(step.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    return carried.unionByName(step.join(roots.select("node"), "node", "left_anti").select("node", "root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, bands: int = 20, rows: int = 4) -> DataFrame:
     """One row per document: ``id_col``, n_shingles, component_id and kept.
 
@@ -186,12 +227,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        ``rows`` values: a pair at 0.85 shares none with a chance of 4 in 10 million.
     2. Documents with equal sets form one class, which its least id stands for;
        copies go no further.
-    3. In each bucket (equal band key) the members are ordered by id. Round t
-       compares members with the hubs at places 2^(t-1) to 2^t - 1, only across
-       components and only where sizes allow a link, on the full sets; links then
-       merge components. So a bucket of copies of one text takes one comparison a
-       member, and rounds end when no bucket holds two components that are
-       not yet compared: no link within a bucket is lost, however large it is.
+    3. In each bucket (equal band key) every member is compared with the hub, the
+       least id, on the full sets; links make components. So a bucket of copies
+       of one text takes one comparison a member, however many they are.
+    4. Where a bucket of three or more still holds several components, its
+       members are compared across components too. An exact rule names the pairs
+       (``_across``), so no link within a bucket is lost, and copies of one text
+       that differ too much from each other are not compared pair by pair.
 
     Null, empty and wordless texts have no shingles and are linked with nothing.
     Null ids form no links; they have no component and are not kept. Rows with
@@ -215,25 +257,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = written(_linked(pairs, texts, percent), "near-links")
     roots = written(components(links), "roots")
 
-    low = 1
-    while True:
-        # buckets in which more than one component is left, with places of their members
-        labelled = buckets.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("root"))
-        mixed = labelled.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("members")).filter(f"r0 <> r1 and members > {low + 1}")
-        left = labelled.join(mixed.select("key"), "key").withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("rep")) - 1)
-        left = written(left, "left")
-        hubs = left.filter((F.col("place") >= low) & (F.col("place") < 2 * low)).select("key", F.col("rep").alias("hub"), F.col("root").alias("hub_root"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"))
-        pairs = written(left.join(hubs, "key").filter((F.col("place") > F.col("hub_place")) & (F.col("root") != F.col("hub_root"))).filter(able)
-                        .select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
-        if pairs.isEmpty():
-            if left.filter(F.col("place") > 2 * low).isEmpty():
-                break
-        else:
-            more = written(_linked(pairs, texts, percent), "near-links")
-            if not more.isEmpty():
-                links = written(links.unionByName(more), "near-links")
-                roots = written(components(links), "roots")
-        low *= 2
+    # members of buckets in which more than one component is left
+    labelled = buckets.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("root", "rep").alias("root"))
+    mixed = labelled.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("members")).filter("r0 <> r1 and members > 2").select("key")
+    rest = labelled.join(mixed, "key", "left_semi").select("rep", "n", "root").distinct()
+    more = written(_linked(written(_across(rest, texts, percent), "pairs"), texts, percent), "near-links")
+    if not more.isEmpty():
+        roots = written(_merged(roots, more), "roots")
 
     # a class whose members differ in id: all link to the one that stands for it
     member = sets.select("id", "n", "d1", "d2").join(classes.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"]).select("id", "rep")
