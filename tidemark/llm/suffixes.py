@@ -380,20 +380,83 @@ def _sort_shard(length: int):
     return run
 
 
+def _anchor_in(data: np.ndarray, key: int) -> int:
+    """Where the anchor begins in a run's bytes: the first gram with its hash."""
+    return int(np.flatnonzero(_grams(data, GRAM).view(np.int64) == key)[0])
+
+
+def _block_hashes(length: int, width: int):
+    """Per run and block of ``width`` neighbouring starts, counted from the anchor: two 128-bit hashes.
+
+    One of the bytes that all stretches of the block share, one of all bytes that
+    they cover; the second is null where the run does not hold the whole block.
+    """
+    def rows(b: pa.RecordBatch) -> Iterator[tuple]:
+        for key, body, raw in zip(b.column("key").to_pylist(), b.column("body").to_pylist(), b.column("bytes").to_pylist()):
+            data, last = np.frombuffer(raw, np.uint8), len(raw) - length
+            at = _anchor_in(data, key)
+            sums = []
+            with np.errstate(over="ignore"):
+                powers = np.multiply.accumulate(np.full(len(data), BASE, np.uint64))
+                inverse = np.multiply.accumulate(np.full(len(data), INVERSE, np.uint64))
+                for table in (BYTE, SECOND):
+                    sums.append(np.append(np.uint64(0), np.cumsum(table[data] * powers, dtype=np.uint64)))
+                for block in range((at - last) // width, at // width + 1):
+                    high, low = at - block * width, at - block * width - width + 1
+                    common = [int(((x[low + length] - x[high]) * inverse[high]).view(np.int64)) for x in sums]
+                    whole = [int(((x[high + length] - x[low]) * inverse[low]).view(np.int64)) for x in sums] if low >= 0 and high <= last else [None, None]
+                    yield key, body, block, max(0, low), min(last, high), *common, *whole
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(c, pa.int32() if c in ("block", "a", "b") else pa.int64()) for c in ("key", "body", "block", "a", "b", "c1", "c2", "w1", "w2")])
+        for b in batches:
+            yield from batches_of(rows(b), schema, most=20_000)
+
+    return run
+
+
 def _window_hashes(length: int):
+    """128-bit hashes of the stretches at the wanted starts of each run."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data = [np.frombuffer(x, np.uint8) for x in b.column("bytes").to_pylist()]
-            count = [len(x) - length + 1 for x in data]
-            h1, h2 = ([_grams(x, length, t).view(np.int64) for x in data] for t in (BYTE, SECOND))
-            rep = np.repeat(np.arange(len(data)), count)
-            take = pa.array(rep)
-            if len(rep):
-                yield pa.RecordBatch.from_arrays([b.column("key").take(take), b.column("body").take(take), b.column("n").take(take), pa.array(np.concatenate([np.arange(c, dtype=np.int32) for c in count])), pa.array(np.concatenate(h1)), pa.array(np.concatenate(h2))], names=["key", "body", "n", "w", "h1", "h2"])
+            keys, bodies, starts, hashes = [], [], [], ([], [])
+            for key, body, raw, ranges in zip(b.column("key").to_pylist(), b.column("body").to_pylist(), b.column("bytes").to_pylist(), b.column("ranges").to_pylist()):
+                at = np.concatenate([np.arange(r["a"], r["b"] + 1) for r in ranges])
+                keys += [key] * len(at)
+                bodies += [body] * len(at)
+                starts.append(at.astype(np.int32))
+                for out, table in zip(hashes, (BYTE, SECOND)):
+                    out.append(_grams(np.frombuffer(raw, np.uint8), length, table).view(np.int64)[at])
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(bodies, pa.int64()), pa.array(np.concatenate(starts)), *(pa.array(np.concatenate(h)) for h in hashes)], names=["key", "body", "w", "h1", "h2"])
 
     return run
 
 
+def _crowded_ranges(crowded: DataFrame, length: int, width: int = 8) -> DataFrame:
+    """Repeated ranges of runs whose anchor has very many different runs, by hashes that Spark counts.
+
+    Starts are judged in blocks first. A block whose shared bytes no other run has
+    holds no repeat; one whose bytes another run has altogether repeats altogether.
+    Only of the rest, and of one block of each such kind to compare with, single
+    starts are hashed: few, as runs differ from one place on to each side.
+    """
+    blocks = written(crowded.mapInArrow(_block_hashes(length, width), "key long, body long, block int, a int, b int, c1 long, c2 long, w1 long, w2 long"), "crowd-blocks")
+    alive = blocks.groupBy("key", "block", "c1", "c2").agg(F.count("*").alias("m")).filter("m > 1").select("key", "block", "c1", "c2")
+    live = written(blocks.join(alive, ["key", "block", "c1", "c2"], "left_semi"), "crowd-live")
+    kinds = ["key", "block", "w1", "w2"]
+    alike = live.filter("w1 is not null").groupBy(*kinds).agg(F.count("*").alias("m"), F.min(F.struct("body", "a", "b")).alias("one")).filter("m > 1")
+    settled = live.join(alike.select(*kinds), kinds, "left_semi")
+    open_ = live.join(alike.select(*kinds), kinds, "left_anti").select("key", "body", "a", "b")
+    asked = open_.unionByName(alike.select("key", "one.body", "one.a", "one.b"))
+    lists = asked.groupBy("key", "body").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    starts = written(crowded.join(lists, ["key", "body"]).select("key", "body", "bytes", "ranges").mapInArrow(_window_hashes(length), "key long, body long, w int, h1 long, h2 long"), "crowd-starts")
+    often = starts.groupBy("h1", "h2").agg(F.count("*").alias("m")).filter("m > 1").select("h1", "h2")
+    single = starts.join(often, ["h1", "h2"], "left_semi").select("key", "body", F.col("w").alias("a"), F.col("w").alias("b"))
+    return settled.select("key", "body", "a", "b").unionByName(single)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merges a text's spans and leaves them out."""
     for b in batches:
@@ -432,8 +495,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        common prefixes; a start repeats if it shares ``length`` bytes with a
        neighbour in that order. An anchor with over ``crowd`` classes, as a line
        has that stands in very many texts, would fill a shard by itself: its
-       starts are compared by 128-bit hashes of their stretches instead, which
-       Spark counts in any number of tasks.
+       starts are compared by 128-bit hashes instead, of blocks of starts and
+       then of single ones where blocks do not decide, which Spark counts in any
+       number of tasks.
     4. Ranges go back to the runs and are merged in each text.
 
     Null texts are empty; texts under ``length`` bytes have no repeats; equal
@@ -456,9 +520,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shards = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
     by_sort = payloads.filter(F.col("crowd") <= crowd).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))) \
         .groupBy("shard").applyInArrow(_sort_shard(length), RANGES)
-    windows = payloads.filter(F.col("crowd") > crowd).select("key", "body", "n", "bytes").mapInArrow(_window_hashes(length), "key long, body long, n long, w int, h1 long, h2 long")
-    often = windows.groupBy("h1", "h2").agg(F.sum("n").alias("all")).filter("all > 1").select("h1", "h2")
-    by_hash = windows.join(often, ["h1", "h2"], "left_semi").select("key", "body", F.col("w").alias("a"), F.col("w").alias("b"))
+    by_hash = _crowded_ranges(payloads.filter(F.col("crowd") > crowd).select("key", "body", "bytes"), length)
     copies = classes.filter("n > 1").select("key", "body", F.lit(0).alias("a"), (F.col("one.hi") - F.col("one.lo")).cast("int").alias("b"))
     ranges = written(by_sort.unionByName(by_hash).unionByName(copies), "repeat-ranges")
     spans = some.join(ranges, ["key", "body"]).select("row", F.struct((F.col("lo") + F.col("a")).alias("start"), (F.col("lo") + F.col("b") + length).alias("end")).alias("s")) \
