@@ -143,7 +143,7 @@ class CachedEncoder:
             cls.held[path] = cls(path)
         return cls.held[path]
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -183,7 +183,7 @@ class CachedEncoder:
         old, young, out = self.cache.get, self.young.__getitem__, []
         for t, pieces in zip(texts, split):
             try:
-                ids = [old(p) for p in pieces]
+                ids = list(map(old, pieces))
                 out.append(b"".join(ids if None not in ids else [young(p) if x is None else x for p, x in zip(pieces, ids)]))
             except TypeError:  # a piece that does not stand alone is False
                 out.append(self._whole(t))
