@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from tests.conftest import FOLDER
 from tidemark.llm import near_dups, vectors
 from tidemark.llm.components import components
@@ -140,3 +141,16 @@ def test_vectors(spark, cell, pivots):
 
 def test_no_vectors(spark):
     assert vectors.vector_groups(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_the_stage_links_from_four_fifths_on(spark, docs_of):
+    words = [f"w{k}" for k in range(400)]
+    rows = [(1, " ".join(words))]
+    for i, gap in ((2, 55), (3, 47), (4, 39), (5, 25)):  # one changed word in so many: overlaps of about 0.83, 0.81, 0.77 and 0.67
+        rows.append((i, " ".join(f"x{i}" if k % gap == gap - 1 else w for k, w in enumerate(words))))
+    sets = {i: shingles(t) for i, t in rows}
+    share = {i: len(sets[1] & sets[i]) / len(sets[1] | sets[i]) for i in (2, 3, 4, 5)}
+    assert 0.8 <= share[3] <= share[2] < 0.85 and share[4] < 0.8
+    left = {r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, docs_of(rows), FOLDER).collect()}
+    linked = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert left == {i for i, root in grouped(list(sets), linked).items() if i == root}
