@@ -61,3 +61,24 @@ def test_redaction(spark, docs_of):
                 want += (r.text or "")[at:s.start] + "[SECRET]"
             at = max(at, s.end)
         assert r.clean == (r.text if not r.spans else want + r.text[at:])
+
+
+def test_scores_do_not_depend_on_the_size_of_the_table(docs_of, corpus):
+    ordinary = ["state-of-the-art-technology", "user_profile_settings_v2", "long-term-follow-up-studies", "src/main/java/org/apache/Utils", "release-notes-2024-01-15-final", "-" * 30, "=" * 30]
+    probe = [(-1, " , ".join(ordinary)), (-2, RANDOM), (-3, "api " + RANDOM[::-1] + " end")]
+    for times in (1, 40):
+        found = secrets.find_secrets(docs_of(probe + [(i + 1000 * k, t) for k in range(times) for i, t in corpus]))
+        got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == 3] for r in found.filter("doc_id < 0").collect()}
+        assert got == {-1: [], -2: [(0, len(RANDOM))], -3: [(4, 4 + len(RANDOM))]}, times
+
+
+def test_odds_tend_to_a_limit(spark, docs_of, corpus):
+    def odds(text, times):
+        strings = spark.createDataFrame([(w,) for _, t in corpus for w in re.findall("[A-Za-z0-9+/_=-]{8,}", t or "")], "s string")
+        many = strings.crossJoin(spark.range(times)).select("s")
+        table = secrets._log_odds(secrets.random_strings(spark), spark.createDataFrame([], "s string"), many)
+        at = [secrets.ALPHABET.index(c) for c in text]
+        return sum(table[a * len(secrets.ALPHABET) + b] for a, b in zip(at, at[1:])) / (len(at) - 1)
+
+    for text in ("state-of-the-art-technology", "src/main/java/org/apache/Utils", RANDOM):
+        assert abs(odds(text, 20) - odds(text, 200)) < 0.05

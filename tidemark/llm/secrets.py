@@ -14,6 +14,7 @@ from tidemark.llm.common import prepare
 
 # fixed values: the base kinds, in the order in which spans at one place are listed
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ASSIGNED = ASSIGN.removesuffix("+)") + "{8,})"  # only values that are long enough
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "markov")
@@ -81,14 +82,18 @@ def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return df.drop("_text")
 
 
-def _log_odds(sample: DataFrame, found: DataFrame, ordinary: DataFrame) -> list[float]:
+def _log_odds(sample: DataFrame, found: DataFrame, ordinary: DataFrame, share: float = 0.1) -> list[float]:
     """For each pair of characters, how much likelier the second follows the first in random strings.
 
     Each input has a column ``s``; a pair counts once for each string that has it.
     The random model is the even mixture of two, one learned from the sample and
     one from what was found, so neither drowns the other. Pairs are counted where
-    they lie: at most alphabet-squared rows leave a task or reach the driver. One
-    is added to each count.
+    they lie: at most alphabet-squared rows leave a task or reach the driver.
+
+    A character's counts are smoothed by ``share`` of their sum, and by one count
+    in all, so ratios tend to a limit as the input grows. That is spread evenly,
+    in the ordinary model half of it on the character itself, as rules are drawn
+    by one repeated character.
     """
     n = len(ALPHABET)
     models = {"sample": sample, "found": found, "ordinary": ordinary}
@@ -98,10 +103,13 @@ def _log_odds(sample: DataFrame, found: DataFrame, ordinary: DataFrame) -> list[
         two = models[name].filter(F.length("s") > 1).select(F.explode(F.array_distinct(all_pairs)).alias("two"))
         return two.groupBy("two").agg(F.count("*").alias("n")).select("two", "n", F.lit(name).alias("model"))
 
-    counts = {m: [1.0] * (n * n) for m in models}
+    counts = {m: [0.0] * (n * n) for m in models}
     for r in pairs("sample").unionByName(pairs("found")).unionByName(pairs("ordinary")).collect():
         counts[r.model][ALPHABET.index(r.two[0]) * n + ALPHABET.index(r.two[1])] += r.n
-    chance = {m: [c[k] / sum(c[k - k % n: k - k % n + n]) for k in range(n * n)] for m, c in counts.items()}
+    even = [1 / n] * (n * n)
+    spread = {"sample": even, "found": even, "ordinary": [(1 / n + (k // n == k % n)) / 2 for k in range(n * n)]}
+    total = {m: [sum(c[k: k + n]) for k in range(0, n * n, n)] for m, c in counts.items()}
+    chance = {m: [(c[k] + (share * total[m][k // n] + 1) * spread[m][k]) / ((1 + share) * total[m][k // n] + 1) for k in range(n * n)] for m, c in counts.items()}
     return [math.log((a + b) / 2 / c) for a, b, c in zip(chance["sample"], chance["found"], chance["ordinary"])]
 
 
@@ -121,17 +129,20 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     mean log-likelihood ratio a character of two first-order Markov models is
     ``odds`` or more. The random model learns from ``random`` (column ``s``;
     digests by default) and from the hexadecimal strings and access keys found by
-    pattern in all documents; the ordinary model from the runs of 8 or more
-    letters and underscores in all documents, each run once a text.
+    pattern in all documents; the ordinary model from all other runs of 8 or more
+    characters of that alphabet in all documents, each run once a text, but for
+    those with digits between letters, among which random strings are that no
+    pattern finds.
 
     Null texts are empty and have no spans; rows are scanned one by one, in any
     number, equal or not, without a shuffle; other columns are ignored unless
-    kept. Without documents or hits the models rest on the sample and on the one
-    that is added to each count.
+    kept. Without documents or hits the models rest on the sample and on the
+    smoothing.
     """
     spark = prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"[A-Za-z_]{8,}"), F.lit(0)))).alias("s"))
+    plain = F.when(text.rlike(ASSIGNED), F.regexp_replace(text, ASSIGNED, " ")).otherwise(text)
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(plain, F.lit(RUN % 8), F.lit(0)))).alias("s")).filter(~F.col("s").rlike("[0-9a-f]{32,}|AKIA[A-Z0-9]{12,}|[A-Za-z][0-9]+[A-Za-z]"))
     hits = docs.select(F.explode(F.concat(
         F.when(text.rlike("[0-9a-f]{32,}"), F.regexp_extract_all(text, F.lit("[0-9a-f]{32,}"), F.lit(0))).otherwise(F.array().cast("array<string>")),
         F.when(text.contains("AKIA"), F.regexp_extract_all(text, F.lit("AKIA[A-Z0-9]{12,}"), F.lit(0))).otherwise(F.array().cast("array<string>")))).alias("s"))
