@@ -79,6 +79,18 @@ def test_token_files_of_odd_rows(spark, docs_of, bpe):
     assert tokens.token_checksums(spark, empty).collect() == []
 
 
+def test_token_query_gives_the_ids_of_the_unmodified_library(spark, docs_of, corpus, tmp_path):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    rows = corpus[:40] + [(9000, "a <|endoftext|> next"), (9001, "<|endoftext|>"), (9002, "x<|endoftext|><|endoftext|>y\n z"), (9003, "<|endoftext |>"), (9004, corpus[0][1] + "<|endoftext|>" + corpus[1][1]), (9005, None), (9006, "after")]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op4_wavelet_tokens"](spark, str(tmp_path)).collect()
+    ids = lambda t: plain.encode(t or "", add_special_tokens=False).ids + [2]
+    assert 50256 in ids(rows[40][1])
+    assert sorted(tuple(r) for r in got) == expected_tokens(rows, ids)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from([0, 1, 2, 5, 9, 300, 50256, 70_000]), max_size=1500))
 def test_wavelet_matrix(ids):

@@ -92,7 +92,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     path = fresh_folder(spark, "token-shards")
-    tokens.write_token_shards(docs, path, vocabulary("byte_bpe_50k.json"), end_id=2)
+    tokens.write_token_shards(docs, path, vocabulary("byte_bpe_50k.json"), end_id=2, added=True)
     return tokens.token_checksums(spark, path)
 
 

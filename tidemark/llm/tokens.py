@@ -126,7 +126,9 @@ class CachedEncoder:
     A piece goes from a single space (or line feed) to the next. As byte-level
     BPE never joins across the start of white space, pieces encode alike in and
     out of their text, if white space comes only one character at a time; other
-    texts are encoded whole. The cache keeps the first ``most`` pieces, among
+    texts are encoded whole. So are texts that hold an added token, such as an
+    end mark, if ``added`` says that these get their own ids, as the library
+    gives by default; without it they are text like any other. The cache keeps the first ``most`` pieces, among
     which the frequent ones come early; later ones last for their batch. A worker
     process keeps it from task to task (``of``).
 
@@ -135,19 +137,20 @@ class CachedEncoder:
     """
 
     FEED, START = "\x01", "\x02"
-    held: dict[str, CachedEncoder] = {}
+    held: dict[tuple[str, bool], CachedEncoder] = {}
 
     @classmethod
-    def of(cls, path: str) -> CachedEncoder:
-        if path not in cls.held:
-            cls.held[path] = cls(path)
-        return cls.held[path]
+    def of(cls, path: str, added: bool = False) -> CachedEncoder:
+        if (path, added) not in cls.held:
+            cls.held[path, added] = cls(path, added=added)
+        return cls.held[path, added]
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 1_500_000, added: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.most = most
         self.cache: dict[str, bytes | bool] = {}
         self.young: dict[str, bytes | bool] = {}
@@ -177,11 +180,15 @@ class CachedEncoder:
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [(self.START + t.replace("\n", " " + self.FEED)).split(" ") if t else [] for t in texts]
+        marked = [t is not None and any(m in t for m in self.marks) for t in texts]
+        split = [(self.START + t.replace("\n", " " + self.FEED)).split(" ") if t and not x else [] for t, x in zip(texts, marked)]
         self.young.clear()
         self._learn(list(set().union(*split).difference(self.cache)))
         old, young, out = self.cache.get, self.young.__getitem__, []
-        for t, pieces in zip(texts, split):
+        for t, pieces, whole in zip(texts, split, marked):
+            if whole:
+                out.append(self._whole(t))
+                continue
             try:
                 ids = list(map(old, pieces))
                 out.append(b"".join(ids if None not in ids else [young(p) if x is None else x for p, x in zip(pieces, ids)]))
@@ -190,10 +197,10 @@ class CachedEncoder:
         return out
 
 
-def _writer(path: str, end_id: int, shard_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _writer(path: str, end_id: int, shard_ids: int, added: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        encoder = CachedEncoder.of(path)
+        encoder = CachedEncoder.of(path, added)
         end = np.array([end_id], "<u4").tobytes()
         held: list[bytes] = []
         names: list[int | None] = []
@@ -225,14 +232,15 @@ def _writer(path: str, end_id: int, shard_ids: int) -> Callable[[Iterator[pa.Rec
     return write
 
 
-def write_token_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = 1 << 20) -> None:
+def write_token_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = 1 << 20, added: bool = False) -> None:
     """Encodes every text and writes the ids, in ascending id order, as wavelet-matrix files.
 
     The folder holds one row per shard: partition, number in it, ids before it in
     the partition, its ids, and the file (header with document ids and ends, then
     the matrix) as bytes. Spark writes it, so any store will do. A shard closes
     when it has ``shard_ids`` ids; it holds whole documents. ``end_id`` is
-    appended to each document. Strings that look like special tokens are text.
+    appended to each document. Strings that look like special tokens are text,
+    unless ``added`` asks for the ids that the library gives them by default.
 
     Null texts are empty and have the end id alone; null ids come first and stay
     null; rows with equal ids are ordered by text hash and length, and a salt
@@ -242,7 +250,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"), F.rand(4).alias("salt"))
     (rows.repartitionByRange("id", "h", "salt").sortWithinPartitions("id", "h", "salt").select("id", "text")
-     .mapInArrow(_writer(tokenizer_path, end_id, shard_ids), "part int, seq int, before long, n long, file binary")
+     .mapInArrow(_writer(tokenizer_path, end_id, shard_ids, added), "part int, seq int, before long, n long, file binary")
      .write.parquet(path))
 
 
