@@ -94,6 +94,25 @@ def test_rules_of_pages(html, want):
     assert want is None or got == want
 
 
+@pytest.mark.parametrize("html, want", [
+    (f'<div class="site-content has-sidebar"><article><p>{LONG}</p></article></div>', LONG),
+    (f'<div class="page no-sidebar"><p>{LONG}</p></div><div class="sidebar-right">{LONG}</div>', LONG),
+    (f'<div class="sidebar-layout"><div id="nav-open"><article><p>{LONG}</p><div class="ad">{LONG}</div><p>{LONG}</p></article></div><aside>{LONG}</aside></div>', f"{LONG}\n{LONG}"),
+    (f'<div id="overlay"><main><h1>Title</h1><p>{LONG}</p></main><div class="comments">{LONG}</div></div>', f"Title\n{LONG}"),
+    (f'<article><h2 id="the-search-for-life">The search</h2><section id="social-effects"><p>{LONG}</p></section><div class="legal-form">{LONG}</div></article>', f"The search\n{LONG}\n{LONG}"),
+    (f'<article><section id="search"><h3 id="tags">Tags</h3><p>{LONG}</p></section></article>', f"Tags\n{LONG}"),
+    (f'<div data-class="nav" title="id=menu class=ad"><p>{LONG}</p></div>', LONG),
+    (f'<p>{LONG}</p><h2 id="search-engines">Engines</h2><p>{LONG}</p>', f"{LONG}\nEngines\n{LONG}"),
+    # what is set apart stays so
+    (f'<article><p>{LONG}</p><div class="ad-slot">{LONG}</div><div class="share">{LONG}</div><ul id="breadcrumbs"><li>{LONG}</li></ul></article>', LONG),
+    (f'<p>{LONG}</p><p>{LONG}</p><div class="related"><article><p>{LONG}</p></article></div>', f"{LONG}\n{LONG}"),
+    (f'<article><p>{LONG}</p></article><div class="comments-area"><article><p>{LONG} {LONG}</p></article></div>', LONG),
+    (f'<p>{LONG}</p><aside><article><p>{LONG} {LONG}</p></article></aside><div role="complementary"><article>{LONG} {LONG}</article></div>', LONG),
+])
+def test_hints_of_pages(html, want):
+    assert pages.main_text(html) == want
+
+
 def test_pages_of_odd_tables(spark):
     schema = "page_id long, url string, html string, text string, n_chars int, _html int"
     rows = [(1, None, None, "x", 1, 1), (None, "u", f"<p>{LONG}</p>", "x", 1, 1), (2, "u", "<p>" + LONG * 3000, None, None, None), (2, "u", "<p>" + LONG * 3000, None, None, None)]

@@ -6,7 +6,7 @@ import html
 import re
 from bisect import bisect
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,9 +31,14 @@ HINTS = frozenset("""ad ads advert advertisement sponsor sponsored promo promoti
 header footer masthead comment comments respond reply replies disqus cookie cookies consent notice notices alert popup modal overlay newsletter subscribe
 subscription signup login share sharing social related recommended widget toolbar copyright legal form search tags pagination pager""".split())
 
+# hints that titles and subjects begin with as well: in ids, and inside an article, they count only as the whole name
+SUBJECTS = frozenset("""side promotion banner navigation menu header comment comments respond reply replies consent notice notices alert subscription social
+related legal form search tags copyright share sharing""".split())
+
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*+>""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-PART = re.compile(r"[a-z]+")
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+LEAD = re.compile(r"[a-z]+(?![a-z])")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 @dataclass
@@ -44,24 +49,35 @@ class Block:
     apart: bool
     inside: bool
     heading: bool
+    spare: bool = False
     label: str = ""
 
 
-def _set_apart(tag: str, rest: str, inside: bool) -> bool:
-    """Whether an element holds something other than the article, by its name, role, class or id."""
+def _set_apart(tag: str, rest: str, inside: bool) -> str:
+    """Whether an element holds something other than the article: "name" by its name or role, "hint" by class or id.
+
+    A hint is a whole class name or id, or its leading part; headings have their
+    ids from titles, and so have sections inside an article.
+    """
     if tag in APART and not (inside and tag == "header"):
-        return True
+        return "name"
+    found = ""
     for name, *values in ATTRIBUTE.findall(rest):
-        parts = PART.findall("".join(values).lower())
-        if any(p in (ROLES if name.lower() == "role" else HINTS) for p in parts):
-            return True
-    return False
+        name, value = name.lower(), "".join(values).lower()
+        if name == "role" and not ROLES.isdisjoint(value.split()):
+            return "name"
+        if name == "class" or name == "id" and tag not in HEADINGS and not (inside and tag == "section"):
+            for whole in value.split():
+                lead = LEAD.match(whole)
+                if whole in HINTS or lead and lead.group() in HINTS and not ((inside or name == "id") and lead.group() in SUBJECTS):
+                    found = "hint"
+    return found
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order; scripts, styles and other unseen text are left out."""
     out: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, set apart, in the article
+    open_tags: list[tuple[str, str, bool, bool]] = []  # name, set apart, in the article, spare
     texts: list[str] = []
     linked = links = 0
     heading = False
@@ -71,8 +87,8 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked, heading
         text = " ".join(html.unescape("".join(texts)).split())
         if text:
-            apart, inside = open_tags[-1][1:] if open_tags else (False, False)
-            out.append(Block(text, min(linked, len(text)), apart, inside, heading))
+            apart, inside, spare = open_tags[-1][1:] if open_tags else ("", False, False)
+            out.append(Block(text, min(linked, len(text)), bool(apart), inside, heading, spare))
         texts.clear()
         linked, heading = 0, False
 
@@ -115,10 +131,14 @@ def blocks_of(page: str) -> list[Block]:
             elif tag not in VOID:
                 if tag == "p" and open_tags and open_tags[-1][0] == "p":
                     open_tags.pop()  # a paragraph ends where the next one begins
-                apart, inside = open_tags[-1][1:] if open_tags else (False, False)
-                own = tag in ("article", "main") and not _set_apart(tag, m.group(3), True)
-                apart = apart or tag not in ("html", "body", "article", "main") and _set_apart(tag, m.group(3), inside)
-                open_tags.append((tag, apart, inside or own))
+                above, inside, spare = open_tags[-1][1:] if open_tags else ("", False, False)
+                mark = "" if tag in ("html", "body") else _set_apart(tag, m.group(3), inside or tag in ("article", "main"))
+                own = tag in ("article", "main") and not mark
+                mark = "" if tag in ("article", "main") else mark
+                # an article ends the hint of a wrapper around it; what is set apart inside stays so
+                spare = (spare or own and above == "hint" and not inside) and not mark
+                apart = "name" if "name" in (above, mark) else above or mark
+                open_tags.append((tag, apart, inside or own, spare))
                 heading = len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
     close()
     return out
@@ -138,8 +158,20 @@ def main_text(page: str | None, short: int = 10, dense: float = 0.3, linked: flo
     good if two are equally near; without any, it is good in an article and bad
     elsewhere. Blocks set apart decide nothing about others. If the page marks
     an article, only its blocks decide and are kept.
+
+    An article that only a class or id of a wrapper sets apart is read too, if no
+    other is marked; it is taken if it has more text than the rules find without it.
     """
     blocks = blocks_of(page or "")
+    kept = _kept(blocks, short, dense, linked)
+    if any(b.spare for b in blocks) and not any(b.inside and not b.apart for b in blocks):
+        freed = _kept([replace(b, apart=b.apart and not b.spare, label="") for b in blocks], short, dense, linked)
+        kept = max(kept, freed, key=lambda texts: sum(map(len, texts)))
+    return "\n".join(kept)
+
+
+def _kept(blocks: list[Block], short: int, dense: float, linked: float) -> list[str]:
+    """Texts of the good blocks."""
     marked = any(b.inside and not b.apart for b in blocks)
     for b in blocks:
         words = b.text.split()
@@ -160,7 +192,7 @@ def main_text(page: str | None, short: int = 10, dense: float = 0.3, linked: flo
             label = "bad" if (min(around)[1] if around else not b.inside) else "good"
         if label == "good":
             kept.append(b.text)
-    return "\n".join(kept)
+    return kept
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
