@@ -157,6 +157,40 @@ def test_leaks_in_odd_rows(spark, docs_of, duck, corpus):
     assert not any(r.contaminated for r in latent.contaminated(docs_of(rows[:20]), bench.limit(0)).collect())
 
 
+def test_short_items_inside_foreign_text(spark, docs_of, duck):
+    texts = [plain(t).split() for _, t in duck.execute(f"SELECT doc_id, text FROM '{MORE}/documents.parquet' ORDER BY doc_id LIMIT 400").fetchall()]
+    texts = [w for w in texts if len(w) > 250]
+    rng = np.random.default_rng(9)
+    items, rows, want = [], [], set()
+    for n in range(240):
+        size = (6, 8, 10, 12, 16, 20)[n % 6]
+        source, host = texts[n % len(texts)], texts[(n + 7) % len(texts)][:200]
+        words = source[30: 30 + size]
+        changed = rng.permutation(size)[: size // 5] if n % 2 and size > 14 else []
+        items.append((n, " ".join(words)))
+        rows.append((n, " ".join(host[:90] + [f"other{n}" if k in changed else w for k, w in enumerate(words)] + host[90:])))
+        want.add((n, n))
+    got = found(latent.contaminated(docs_of(rows), spark.createDataFrame(items, "item_id long, text string")))
+    assert want <= got
+
+
+def test_places_hold_every_passing_stretch():
+    rng = np.random.default_rng(11)
+    for _ in range(60):
+        items = [rng.integers(1, 40, rng.integers(1, 14)).tolist() for _ in range(6)]
+        ends = np.cumsum([0, *rng.integers(0, 60, 5)])
+        words = rng.integers(1, 40, ends[-1]).astype(np.uint64)
+        got = list(latent.RareWords(items, rng.random(1 << latent.FREQUENCY_BITS), 0.55).places(words, ends))
+        for k, item in enumerate(items):
+            m = len(item)
+            for t, (low, high) in enumerate(zip(ends, ends[1:])):
+                for a in range(low, high):
+                    b = min(high, a + 2 * m)
+                    hit = [i for i in range(a, b) if words[i] in item]
+                    if hit and latent.common_subsequence(latent._places(item), words[a:b].tolist()) >= 0.55 * m:
+                        assert any(x[:2] == (t, k) and x[2] <= hit[0] and hit[-1] < x[3] for x in got)
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(7)
     for _ in range(200):

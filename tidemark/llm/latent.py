@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,6 +118,63 @@ def _places(words: list[int]) -> dict[int, int]:
     return out
 
 
+class RareWords:
+    """Finds the places of texts where the check may pass, all of them, by the items' rarest words.
+
+    An item of m words passes only where ``need`` of its words stand within 2 m.
+    As all but ``need`` - r of its words are kept, the rarest ones, at least r of
+    those stand there.
+    """
+
+    def __init__(self, items: list[list[int]], idf: np.ndarray, loose: float, meet: int = 5):
+        self.reach = np.array([2 * len(w) for w in items], np.int64)
+        need = [max(1, int(np.ceil(loose * len(w) - 1e-9))) for w in items]
+        self.meet = np.minimum(need, meet)
+        pairs = set()
+        for k, (words, n, r) in enumerate(zip(items, need, self.meet.tolist())):
+            weight = idf[_features(np.array(words, np.uint64))[0]]
+            # the words themselves break ties, so that an item's repeated word is kept or left as one
+            rare = sorted(zip((-weight).tolist(), words))[: len(words) - n + r]
+            pairs.update((w, k) for _, w in rare)
+        flat = sorted(pairs)
+        self.words, begins = np.unique(np.array([w for w, _ in flat], np.uint64), return_index=True)
+        self.at = np.append(begins, len(flat))
+        self.items = np.array([k for _, k in flat], np.int64)
+        self.known = np.zeros(1 << 20, bool)
+        self.known[self.words & np.uint64((1 << 20) - 1)] = True
+
+    def places(self, hashes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, begin, end): stretches of words in which every passing stretch of 2 m lies."""
+        at = np.flatnonzero(self.known[hashes & np.uint64((1 << 20) - 1)])
+        word = np.minimum(np.searchsorted(self.words, hashes[at]), len(self.words) - 1)
+        same = self.words[word] == hashes[at]
+        at, word = at[same], word[same]
+        count = self.at[word + 1] - self.at[word]
+        place = np.repeat(at, count)
+        item = self.items[np.arange(count.sum()) + np.repeat(self.at[word] - np.cumsum(count) + count, count)]
+        order = np.lexsort((place, item))
+        place, item = place[order], item[order]
+        last = np.arange(len(place)) + self.meet[item] - 1
+        inside = np.flatnonzero(last < len(place))
+        last = last[inside]
+        text = np.searchsorted(ends, place[inside], "right") - 1
+        met = (item[inside] == item[last]) & (place[last] - place[inside] < self.reach[item[inside]]) & (place[last] < ends[text + 1])
+        first, last, text = inside[met], last[met], text[met]
+        k = item[first]
+        begin = np.maximum(ends[text], place[last] - self.reach[k] + 1)
+        end = np.minimum(ends[text + 1], place[first] + self.reach[k])
+        held: list[int] = []
+        for row in zip(text.tolist(), k.tolist(), begin.tolist(), end.tolist()):
+            if held and held[:2] == [*row[:2]] and row[2] <= held[3]:
+                held[3] = max(held[3], row[3])
+                continue
+            if held:
+                yield tuple(held)
+            held = [*row]
+        if held:
+            yield tuple(held)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", cosine: float = 0.35, order: float = 0.75, loose: float = 0.55, items_a_pass: int = 4000) -> DataFrame:
     """One row per document: ``id_col``, contaminated, items (ascending ids) and overlap.
 
@@ -125,6 +183,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
        passages a latent space; both are sums over all documents.
     2. Windows of 32 and 64 words, beginning at every 16th word of every text, and
        the items are compared there; a cosine of ``cosine`` or more is a candidate.
+       A short item drowns there among rarer words, so every stretch that holds
+       enough of an item's rarest words to pass the check is a candidate too.
     3. A candidate's surroundings, an item's length on both sides, are compared
        with the item: the longest common subsequence of words must hold ``order``
        of the item's words, or ``loose`` of them together with ``order`` of its
@@ -157,6 +217,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         vectors = embedded(flat, begins)
         vectors /= np.maximum(np.sqrt((vectors * vectors).sum(1, keepdims=True)), 1e-12)
         bits = [_places(words) for _, words in known]
+        rare = RareWords([words for _, words in known], idf, loose)
         answers = [_places(words[-max(3, len(words) // 4):]) for _, words in known]
 
         def check(words: list[int], k: int) -> float:
@@ -166,7 +227,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             best = 0.0
             for begin in range(0, max(1, len(words) - m), max(1, m // 2)):  # stretches of twice the item's length
                 part = words[begin: begin + 2 * m]
-                if sum(begin <= i < begin + 2 * m for i in first) < loose * m:
+                if bisect_left(first, begin + 2 * m) - bisect_left(first, begin) < loose * m:
                     continue
                 share = common_subsequence(bits[k], part) / m
                 answer = common_subsequence(answers[k], part) / max(1, len(known[k][1][-max(3, m // 4):]))
@@ -204,6 +265,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         reach = b
                 if best:
                     out.setdefault(t, {})[known[k][0]] = max(best, out.get(t, {}).get(known[k][0], 0.0))
+            for t, k, a, b in rare.places(hashes, ends):
+                best = check(hashes[a:b].tolist(), k)
+                if best:
+                    out.setdefault(t, {})[known[k][0]] = max(best, out.get(t, {}).get(known[k][0], 0.0))
             return out
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
