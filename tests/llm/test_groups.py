@@ -35,10 +35,10 @@ def grouped(ids, linked):
     return {i: find(i) for i in ids}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = {i: shingles(t) for i, t in rows}
     ids = sorted(sets)
-    by = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    by = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     root = grouped(ids, by)
     return sorted((i, len(sets[i]), root[i], root[i] == i) for i in ids)
 

@@ -113,6 +113,20 @@ def test_hints_of_pages(html, want):
     assert pages.main_text(html) == want
 
 
+def references(text):
+    return "".join(f"&#{ord(c)};" for c in text)
+
+
+def test_links_are_measured_as_the_reader_sees_them():
+    words = "Это длинный абзац статьи о реках и озёрах северного края и о людях которые живут на их берегах уже много веков"
+    for shown in (str, references):
+        for linked in (words[:12], words[:24] + "  \n  "):
+            assert pages.main_text(f"<article><p><a href=x>{shown(linked)}</a>{shown(words)}</p></article>") == " ".join((linked + words).split())
+        # most of the text in links: no article text, however it is written
+        assert pages.main_text(f"<div><p><a href=x>{shown(words)}</a>{shown(words[:20])}</p></div><p>{LONG}</p>") == LONG
+    assert pages.main_text(f"<article><p>{LONG} <math><mi>x</mi>=<mn>2</mn></math> <object data=f>a drawing</object></p></article>") == f"{LONG} x=2 a drawing"
+
+
 def test_pages_of_odd_tables(spark):
     schema = "page_id long, url string, html string, text string, n_chars int, _html int"
     rows = [(1, None, None, "x", 1, 1), (None, "u", f"<p>{LONG}</p>", "x", 1, 1), (2, "u", "<p>" + LONG * 3000, None, None, None), (2, "u", "<p>" + LONG * 3000, None, None, None)]
@@ -191,6 +205,48 @@ def test_places_hold_every_passing_stretch():
                         assert any(x[:2] == (t, k) and x[2] <= hit[0] and hit[-1] < x[3] for x in got)
 
 
+def plainly_best(words, item, order, loose):
+    """Every stretch of twice the item's length, one after another."""
+    m, tail, best = len(item), item[-max(3, len(item) // 4):], 0
+    bits, answer = latent._places(item), latent._places(tail)
+    for a in range(len(words)):
+        part = words[a: a + 2 * m]
+        share = latent.common_subsequence(bits, part)
+        if share >= order * m or share >= loose * m and latent.common_subsequence(answer, part) >= order * len(tail):
+            best = max(best, share)
+    return best / m
+
+
+def test_both_rules_at_every_place():
+    rng = np.random.default_rng(12)
+    hits = 0
+    for n in range(600):
+        item = rng.integers(1, 60, rng.integers(3, 16)).tolist()
+        text = []
+        for w in item:  # the item's words in order, some left out, others between
+            text += [w] * int(rng.random() < 0.8) + rng.integers(1, 80, rng.integers(0, 4)).tolist()
+        text = rng.integers(1, 80, rng.integers(0, 40)).tolist() + text + rng.integers(1, 80, rng.integers(0, 40)).tolist()
+        want = plainly_best(text, item, 0.75, 0.55)
+        hits += want > 0
+        assert latent.best_share(text, latent._places(item), latent._places(item[-max(3, len(item) // 4):]), len(item), 0.75, 0.55) == want
+    assert 100 < hits < 550
+
+
+def test_words_spread_over_twice_the_length(spark, docs_of):
+    rng = np.random.default_rng(13)
+    item = [f"item{k}" for k in range(40)]
+    rows = []
+    for n in range(40):
+        kept = sorted(rng.permutation(40)[:30])
+        at = np.sort(np.append(rng.permutation(np.arange(1, 77))[:28], (0, 77)))  # 30 places within 78 words
+        body = [f"other{n}x{k}" for k in range(78)]
+        for k, x in zip(at, kept):
+            body[k] = item[x]
+        rows.append((n, " ".join([f"before{n}"] * n + body + [f"after{n}"] * 50)))
+    got = latent.contaminated(docs_of(rows), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect() if r.contaminated) == list(range(40))
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(7)
     for _ in range(200):
@@ -214,7 +270,7 @@ def test_pipeline_equals_its_stages_done_plainly(spark, duck):
     frame = table(spark, FOLDER, "documents", "doc_id", "text")
     model = quality.train(frame, table(spark, FOLDER, "labels", "doc_id", "quality"))
     good = [(i, t) for i, t in docs.items() if model.scores(np.array([quality.features(t)]))[0] >= 0.5]
-    single = {i for i, _, root, _ in near_brute(good) if i == root}
+    single = {i for i, _, root, _ in near_brute(good, percent=80) if i == root}
     kept = [(i, t) for i, t in good if i in single]
     leaks = {i for i, _ in exact_leaks(kept, items)}
     sp = SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))

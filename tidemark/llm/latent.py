@@ -118,6 +118,30 @@ def _places(words: list[int]) -> dict[int, int]:
     return out
 
 
+def best_share(words: list[int], item: dict[int, int], answer: dict[int, int], m: int, order: float, loose: float) -> float:
+    """The largest share of an item of ``m`` words that passes in some stretch of 2 m words; 0 if none does.
+
+    A stretch may as well begin at a word of the item, so those are tried in turn.
+    A later stretch can only gain the words that come in at its end: stretches
+    that can not reach the least share, or the best so far, are passed over.
+    """
+    spots = [i for i, w in enumerate(words) if w in item]
+    last = sum(x.bit_count() for x in answer.values())
+    least, i, best = max(1, int(np.ceil(loose * m - 1e-9))), 0, 0
+    while i < len(spots):
+        end = bisect_left(spots, spots[i] + 2 * m, i)
+        seen = end - i
+        if seen >= max(least, best + 1):
+            part = [words[k] for k in spots[i:end]]
+            seen = common_subsequence(item, part)
+            if seen >= max(least, best + 1) and (seen >= order * m or common_subsequence(answer, part) >= order * last):
+                best = seen
+        # the next stretch that can hold enough: as many words must have come in as are lacking
+        lacking = max(least, best + 1) - seen
+        i = i + 1 if lacking <= 0 else max(i + 1, bisect_left(spots, spots[end + lacking - 1] - 2 * m + 1) if end + lacking <= len(spots) else len(spots))
+    return best / m
+
+
 class RareWords:
     """Finds the places of texts where the check may pass, all of them, by the items' rarest words.
 
@@ -222,18 +246,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         def check(words: list[int], k: int) -> float:
             """The share of item k's words that the text has in their order, 0 if too few."""
-            m = len(known[k][1])
-            first = [i for i, w in enumerate(words) if w in bits[k]]
-            best = 0.0
-            for begin in range(0, max(1, len(words) - m), max(1, m // 2)):  # stretches of twice the item's length
-                part = words[begin: begin + 2 * m]
-                if bisect_left(first, begin + 2 * m) - bisect_left(first, begin) < loose * m:
-                    continue
-                share = common_subsequence(bits[k], part) / m
-                answer = common_subsequence(answers[k], part) / max(1, len(known[k][1][-max(3, m // 4):]))
-                if share >= order or share >= loose and answer >= order:
-                    best = max(best, share)
-            return best
+            return best_share(words, bits[k], answers[k], len(known[k][1]), order, loose)
 
         def found_in(hashes: np.ndarray, ends: np.ndarray) -> dict[int, dict[int, float]]:
             out: dict[int, dict[int, float]] = {}

@@ -23,7 +23,7 @@ el los las del y en un una que es por con no para al lo como más su se
 """.split())
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul""".split())
-SILENT = frozenset("head script style noscript template iframe svg math object select textarea button title canvas audio video".split())
+SILENT = frozenset("head script style noscript template iframe svg select textarea button title canvas audio video".split())
 APART = frozenset("nav footer aside form menu dialog header".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
@@ -74,29 +74,35 @@ def _set_apart(tag: str, rest: str, inside: bool) -> str:
     return found
 
 
+def _shown(text: str) -> str:
+    """Text as a reader sees it: character references decoded, white space folded."""
+    return " ".join(html.unescape(text).split())
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order; scripts, styles and other unseen text are left out."""
     out: list[Block] = []
     open_tags: list[tuple[str, str, bool, bool]] = []  # name, set apart, in the article, spare
     texts: list[str] = []
-    linked = links = 0
+    linked: list[str] = []  # the text of each link in the block
+    links = 0
     heading = False
     at, end = 0, len(page)
 
     def close() -> None:
-        nonlocal linked, heading
-        text = " ".join(html.unescape("".join(texts)).split())
+        nonlocal heading
+        text = _shown("".join(texts))
         if text:
             apart, inside, spare = open_tags[-1][1:] if open_tags else ("", False, False)
-            out.append(Block(text, min(linked, len(text)), bool(apart), inside, heading, spare))
+            out.append(Block(text, min(sum(len(_shown(x)) for x in linked), len(text)), bool(apart), inside, heading, spare))
         texts.clear()
-        linked, heading = 0, False
+        linked.clear()
+        heading = False
 
     def say(text: str) -> None:
-        nonlocal linked
         texts.append(text)
         if links:
-            linked += len(text.strip())
+            linked[-1:] = [linked[-1] + text if linked else text]
 
     while at < end:
         m = TOKEN.search(page, at)
@@ -119,6 +125,8 @@ def blocks_of(page: str) -> list[Block]:
                 texts.append(" ")
         elif tag == "a":
             links = max(0, links + (-1 if closing else 1))
+            if not closing:
+                linked.append("")
         elif tag == "br":
             texts.append(" ")
         elif tag in BLOCKS:
@@ -148,7 +156,7 @@ def main_text(page: str | None, short: int = 10, dense: float = 0.3, linked: flo
     """The article's blocks, joined by line feeds.
 
     First pass. A block is bad if it stands in an element that is set apart, if
-    over ``linked`` of its characters are in links, or if it has a copyright sign
+    over ``linked`` of its characters, as a reader sees them, are in links, or if it has a copyright sign
     outside the article. A block of at least ``short`` words is good if it stands
     in an article or main element, or if ``dense`` of its words are function
     words; if fewer than a third of that are, it is bad. The others are
