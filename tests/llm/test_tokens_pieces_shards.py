@@ -144,3 +144,32 @@ def test_piece_query(spark, corpus, docs_of):
     assert sorted((r.doc_id or 0, r.ids, r.decoded) for r in got) == sorted((i or 0, sp.encode(t or ""), sp.decode(sp.encode(t or ""))) for i, t in ODD)
     assert pieces.encode_decode(docs_of([]), vocabulary("piece_bpe_32k.model")).count() == 0
     assert got[0].__fields__ == ["doc_id", "ids", "decoded"] and F is not None
+
+
+def test_long_words_cost_their_merges():
+    import base64
+    import random
+    import time
+
+    from sentencepiece import SentencePieceProcessor
+
+    path = vocabulary("piece_bpe_32k.model")
+    library, encoder = SentencePieceProcessor(model_file=path), pieces.PieceEncoder(path)
+    rng = random.Random(1)
+    some = ["the", "ing", "and", "tion", "über", "straße", "日本", "ment"]
+    texts = [base64.b64encode(rng.randbytes(750_000)).decode(), "".join(rng.choice(some) for _ in range(30_000)), "a" * 50_001, "ab" * 20_000 + " " * 3_000 + "x",
+             " ".join("".join(rng.choice("etaoinshr") for _ in range(rng.randrange(300, 900))) for _ in range(20))]
+    began = time.perf_counter()
+    got = [np.frombuffer(x, "<i4").tolist() for x in encoder.batch(texts)]
+    assert time.perf_counter() - began < 30
+    assert got == [library.encode(t) for t in texts]
+
+
+def test_rounds_by_rank_equal_single_merges():
+    path = vocabulary("piece_bpe_32k.model")
+    model = pieces.PieceModel(path)
+    rng = np.random.default_rng(2)
+    for alphabet in ("ab", "the ing", "etaoinshrdlu", "日本éa"):
+        for _ in range(40):
+            symbols = model._symbols("▁" + "".join(rng.choice(list(alphabet.replace(" ", "▁")), rng.integers(1, 60))))
+            assert model.by_ranks(symbols).tolist() == model.one_by_one(symbols).tolist()

@@ -15,6 +15,7 @@ from tidemark.llm.common import batches_of, prepare
 
 SPACE = "▁"
 NEVER = np.iinfo(np.int32).max
+LONG = 400  # characters
 
 
 class PieceModel:
@@ -53,6 +54,7 @@ class PieceModel:
         pairs = {(ids[p[:k]] << 32 | ids[p[k:]]): i for p, i in ids.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids}
         self.pairs = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[k] for k in self.pairs.tolist()], np.int64)
+        self.table = {k: (int(self.rank[i]), i) for k, i in pairs.items()}
         self.feed = self._spelled(np.array([-1 - ord("\n")]))[0] if "\n" not in ids else np.array([ids["\n"]], np.int32)
 
     def _joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,10 +84,10 @@ class PieceModel:
 
         def push(i: int) -> None:
             j = after[i] if 0 <= i else len(sym)
-            if i >= 0 and j < len(sym):
-                piece, rank = self._joined(np.array([sym[i]]), np.array([sym[j]]))
-                if rank[0] < NEVER:
-                    heapq.heappush(heap, (int(rank[0]), i, sym[i], sym[j], int(piece[0])))
+            if i >= 0 and j < len(sym) and sym[i] >= 0 and sym[j] >= 0:
+                found = self.table.get(sym[i] << 32 | sym[j])
+                if found:
+                    heapq.heappush(heap, (found[0], i, sym[i], sym[j], found[1]))
 
         for i in range(len(sym) - 1):
             push(i)
@@ -101,6 +103,63 @@ class PieceModel:
             push(i)
         return np.array([s for s in sym if s is not None], np.int64)
 
+    def by_ranks(self, symbols: np.ndarray) -> np.ndarray:
+        """The same rounds for one long word, each at the cost of its merges.
+
+        Places of pairs wait under their rank. A round takes the least rank, joins
+        its pairs from the left, and looks up anew only the pairs beside a merge.
+        The array is not compacted but linked. A word in which joining several
+        pairs makes one of no higher rank is done again one merge at a time.
+        """
+        n = len(symbols)
+        sym, alive = symbols.copy(), np.ones(n, bool)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        into, rank = np.zeros(n, np.int64), np.full(n, NEVER, np.int32)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            places = places[rank[places] < NEVER]
+            if not len(places):
+                return
+            places = places[np.argsort(rank[places], kind="stable")]
+            kinds = rank[places]
+            cuts = np.flatnonzero(kinds[1:] != kinds[:-1]) + 1
+            for r, part in zip(kinds[np.append(0, cuts)].tolist(), np.split(places, cuts) if len(cuts) else [places]):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(part)
+
+        into[:-1], rank[:-1] = self._joined(sym[:-1], sym[1:])
+        wait(np.arange(n - 1))
+        while ranks:
+            r = heapq.heappop(ranks)
+            parts = waiting.pop(r)
+            at = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
+            at = at[alive[at] & (rank[at] == r)]
+            if not len(at):
+                continue
+            touch = after[at[:-1]] == at[1:]
+            if touch.any():  # of overlapping pairs every other one
+                each = np.arange(len(at))
+                at = at[(each - np.maximum.accumulate(np.where(np.append(True, ~touch), each, 0))) % 2 == 0]
+            gone = after[at]
+            sym[at], alive[gone], rank[gone] = into[at], False, NEVER
+            beyond = after[gone]
+            after[at] = beyond
+            inside = beyond < n
+            before[beyond[inside]] = at[inside]
+            left = before[at]
+            changed = np.unique(np.concatenate((at, left[left >= 0])))
+            rank[changed] = NEVER
+            changed = changed[after[changed] < n]
+            into[changed], rank[changed] = self._joined(sym[changed], sym[after[changed]])
+            if len(at) > 1 and len(changed) and rank[changed].min() <= r:
+                return self.one_by_one(symbols)
+            wait(changed)
+        return sym[alive]
+
     def merge(self, words: list[str]) -> list[np.ndarray]:
         """Ids of every word, by rounds over one flat array of all words' symbols.
 
@@ -108,12 +167,19 @@ class PieceModel:
         rank are joined from the left (of overlapping pairs every other one), and
         the array is compacted; words without a pair leave it. If joining several
         pairs at once makes a pair of no higher rank, the library might have taken
-        that one first: such a word is done again one merge at a time.
+        that one first: such a word is done again one merge at a time. Long words
+        have their rounds by themselves (``by_ranks``), as a round over all would
+        cost their whole length.
         """
         out: list[np.ndarray | None] = [None] * len(words)
         lengths = np.array([len(w) for w in words], np.int64)
+        for i in np.flatnonzero(lengths > LONG).tolist():
+            out[i] = self._spelled(self.by_ranks(self._symbols(words[i])))[0]
+        if (lengths > LONG).any():
+            words = ["" if n > LONG else w for w, n in zip(words, lengths.tolist())]
+            lengths = np.where(lengths > LONG, 0, lengths)
         for i in np.flatnonzero(lengths == 0).tolist():
-            out[i] = np.zeros(0, np.int32)
+            out[i] = np.zeros(0, np.int32) if out[i] is None else out[i]
         sym, word = self._symbols("".join(words)), np.repeat(np.arange(len(words)), lengths)
         whole, whole_at = sym, np.concatenate(([0], np.cumsum(lengths)))
         last = np.full(len(words), -1, np.int64)  # rank of the round before, where it joined several pairs
