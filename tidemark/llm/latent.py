@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,9 +59,13 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     size = 1 << FREQUENCY_BITS
 
     def count(total: np.ndarray, hashes: np.ndarray, ends: np.ndarray) -> None:
-        text = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-        seen = np.unique(text * size + _features(hashes)[0])
-        total += np.bincount(seen % size, minlength=size)
+        # pieces hold less than 2^16 texts or one, so text and bucket fit 32 bits, which sort faster
+        bucket = (hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.uint32)
+        for a in range(0, len(ends) - 1, 1 << 16):
+            cut = ends[a: a + (1 << 16) + 1]
+            text = np.repeat(np.arange(len(cut) - 1, dtype=np.uint32), np.diff(cut))
+            seen = np.unique(text << np.uint32(FREQUENCY_BITS) | bucket[cut[0]: cut[-1]])
+            total += np.bincount(seen & np.uint32(size - 1), minlength=size)
 
     found = _summed(docs, text_col, count, size)
     return np.log((1 + found.max()) / (1 + found)) + 0.05
@@ -125,16 +130,27 @@ def best_share(words: list[int], item: dict[int, int], answer: dict[int, int], m
     A later stretch can only gain the words that come in at its end: stretches
     that can not reach the least share, or the best so far, are passed over.
     """
-    spots = [i for i, w in enumerate(words) if w in item]
-    last = sum(x.bit_count() for x in answer.values())
+    spots, bits = [], []
+    for i, w in enumerate(words):
+        found = item.get(w)
+        if found is not None:
+            spots.append(i)
+            bits.append(found)
     least, i, best = max(1, int(np.ceil(loose * m - 1e-9))), 0, 0
+    # a word counts as often as the item has it at most: frequent words alone are not enough
+    if len(spots) < least or sum(min(n, x.bit_count()) for x, n in Counter(bits).items()) < least:
+        return 0.0
+    last = sum(x.bit_count() for x in answer.values())
     while i < len(spots):
         end = bisect_left(spots, spots[i] + 2 * m, i)
         seen = end - i
         if seen >= max(least, best + 1):
-            part = [words[k] for k in spots[i:end]]
-            seen = common_subsequence(item, part)
-            if seen >= max(least, best + 1) and (seen >= order * m or common_subsequence(answer, part) >= order * last):
+            row = 0
+            for found in bits[i:end]:
+                x = row | found
+                row = x & ~(x - ((row << 1) | 1))
+            seen = row.bit_count()
+            if seen >= max(least, best + 1) and (seen >= order * m or common_subsequence(answer, [words[k] for k in spots[i:end]]) >= order * last):
                 best = seen
         # the next stretch that can hold enough: as many words must have come in as are lacking
         lacking = max(least, best + 1) - seen
