@@ -18,7 +18,7 @@ from tidemark.llm.near_dups import slices, word_hashes
 BREAKS = np.zeros(256, bool)
 BREAKS[[k for k in range(128) if not chr(k).isalnum()]] = True
 FREQUENCY_BITS, FEATURES, RANK, EXTRA = 16, 1024, 128, 16
-CHUNK, PASSAGE = 16, 64
+CHUNK, PASSAGE, SHORT = 16, 64, 12
 PIECE = 1 << 17  # bytes at a time: the arrays then stay in the processor's caches
 
 
@@ -216,20 +216,22 @@ class RareWords:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", cosine: float = 0.35, order: float = 0.75, loose: float = 0.55, items_a_pass: int = 4000) -> DataFrame:
-    """One row per document: ``id_col``, contaminated, items (ascending ids) and overlap.
+    """One row per document: ``id_col``, contaminated, items (ascending ids), overlap and latent_items (those that the latent search led to).
 
     Words are runs of letters, digits and other non-ASCII characters, in small
     letters. 1. Words get inverse document frequencies, and a randomised SVD of all TF-IDF
        passages a latent space; both are sums over all documents.
-    2. Windows of 32 and 64 words, beginning at every 16th word of every text, and
-       the items are compared there; a cosine of ``cosine`` or more is a candidate.
-       A short item drowns there among rarer words, so every stretch that holds
-       enough of an item's rarest words to pass the check is a candidate too.
-    3. A candidate's surroundings, an item's length on both sides, are compared
-       with the item: the longest common subsequence of words must hold ``order``
-       of the item's words, or ``loose`` of them together with ``order`` of its
-       answer, the words of its last quarter; the subsequence must lie within
-       twice the item's length.
+    2. Windows of 32 and 64 words (16 too, for items of up to 12), beginning at
+       every 16th word of every text, and the items are compared there; a cosine
+       of ``cosine`` or more is a candidate.
+    3. A stretch of text is compared with an item word by word: the longest common
+       subsequence must hold ``order`` of the item's words, or ``loose`` of them
+       together with ``order`` of its answer, the words of its last quarter; it
+       must lie within twice the item's length. No stretch can pass without
+       enough of the item's rarest words close together, so candidates are
+       compared where those stand.
+    4. So that none is lost in the latent space, stretches with enough of the
+       rarest words are compared even where no window was a candidate.
 
     ``overlap`` is the largest share found (0 without any). Items go to all tasks
     ``items_a_pass`` at a time, which bounds what is sent; more items take more
@@ -264,8 +266,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             """The share of item k's words that the text has in their order, 0 if too few."""
             return best_share(words, bits[k], answers[k], len(known[k][1]), order, loose)
 
-        def found_in(hashes: np.ndarray, ends: np.ndarray) -> dict[int, dict[int, float]]:
-            out: dict[int, dict[int, float]] = {}
+        short = np.flatnonzero([len(words) <= SHORT for _, words in known])
+
+        def found_in(hashes: np.ndarray, ends: np.ndarray) -> dict[int, dict[int, tuple[float, bool]]]:
+            """Per text and item the best share, and whether the latent search led to it."""
+            out: dict[int, dict[int, tuple[float, bool]]] = {}
             begins, text = _runs(ends, CHUNK)
             if not len(begins):
                 return out
@@ -278,43 +283,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 return z
 
             two = wider(one, 1)
-            hits: dict[tuple[int, int], list[int]] = {}
-            for z, width in ((two, 2), (wider(two, 2), 4)):
+            hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
+            for z, width, which in ((one, 1, short), (two, 2, None), (wider(two, 2), 4, None)):
+                if which is not None and not len(which):
+                    continue
                 least = np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-12) * np.float32(cosine)
-                for c, k in zip(*(x.tolist() for x in np.nonzero(z @ vectors.T >= least[:, None]))):
-                    hits.setdefault((int(text[c]), k), []).extend((c, c + width))
-            for (t, k), chunks in hits.items():
-                m, best, reach = len(known[k][1]), 0.0, -1
-                low, high = int(ends[t]), int(ends[t + 1])
-                for c in sorted(set(chunks)):  # neighbouring windows are one stretch of text
-                    a = max(low, low + (c - int(np.searchsorted(text, t))) * CHUNK - m - PASSAGE)
-                    b = min(high, a + 2 * (m + PASSAGE))
-                    if b > reach:
-                        best = max(best, check(hashes[a:b].tolist(), k))
-                        reach = b
-                if best:
-                    out.setdefault(t, {})[known[k][0]] = max(best, out.get(t, {}).get(known[k][0], 0.0))
+                near = z @ (vectors if which is None else vectors[which]).T >= least[:, None]
+                for c, k in zip(*(x.tolist() for x in np.nonzero(near))):
+                    hits.setdefault((int(text[c]), k if which is None else int(which[k])), []).append((int(begins[c]), int(begins[c]) + width * CHUNK))
+            # a candidate passes only where enough of its item's rarest words stand, so those stretches are compared, once each
             for t, k, a, b in rare.places(hashes, ends):
                 best = check(hashes[a:b].tolist(), k)
                 if best:
-                    out.setdefault(t, {})[known[k][0]] = max(best, out.get(t, {}).get(known[k][0], 0.0))
+                    near_by = any(low < b and a < high for low, high in hits.get((t, k), ()))
+                    before = out.setdefault(t, {}).get(known[k][0], (0.0, False))
+                    out[t][known[k][0]] = (max(best, before[0]), near_by or before[1])
             return out
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                names, ids, items, shares = b.column("id"), [], [], []
+                names, ids, items, shares, latent = b.column("id"), [], [], [], []
                 for i, data, at in slices(b.column("text"), PIECE):
                     for t, best in found_in(*word_hashes(data, at, BREAKS)).items():
                         ids += [i + t] * len(best)
                         items += list(best)
-                        shares += list(best.values())
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(ids, pa.int64())), pa.array(items, pa.int64()), pa.array(shares, pa.float64())], names=["id", "item", "share"])
+                        shares += [share for share, _ in best.values()]
+                        latent += [by for _, by in best.values()]
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(ids, pa.int64())), pa.array(items, pa.int64()), pa.array(shares, pa.float64()), pa.array(latent, pa.bool_())], names=["id", "item", "share", "latent"])
 
         return run
 
     parts = benchmark.select(F.col(item_col).cast("long").alias("item"), F.lower("text").alias("text")).filter("item is not null and text is not null")
     count = parts.count()
-    found = spark.createDataFrame([], f"id {kind}, item long, share double")
+    found = spark.createDataFrame([], f"id {kind}, item long, share double, latent boolean")
     for k in range(-(-count // items_a_pass)):
         passes = -(-count // items_a_pass)
         block = parts.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k).collect()
@@ -325,7 +326,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             if words:
                 known.append((r.item, words))
         if known:
-            found = found.unionByName(rows.mapInArrow(search(known), f"id {kind}, item long, share double"))
-    hits = written(found, "leaks").groupBy("id").agg(F.sort_array(F.collect_set("item")).alias("items"), F.max("share").alias("overlap"))
+            found = found.unionByName(rows.mapInArrow(search(known), f"id {kind}, item long, share double, latent boolean"))
+    hits = written(found, "leaks").groupBy("id").agg(F.sort_array(F.collect_set("item")).alias("items"), F.max("share").alias("overlap"), F.sort_array(F.collect_set(F.when(F.col("latent"), F.col("item")))).alias("latent_items"))
     out = docs.select(F.col(id_col).alias("id")).join(hits, "id", "left")
-    return out.select(F.col("id").alias(id_col), F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("overlap", F.lit(0.0)).alias("overlap"))
+    return out.select(F.col("id").alias(id_col), F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("overlap", F.lit(0.0)).alias("overlap"),
+                      F.coalesce("latent_items", F.array().cast("array<long>")).alias("latent_items"))
