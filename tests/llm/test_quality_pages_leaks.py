@@ -60,6 +60,41 @@ def test_quality_of_odd_rows(spark, docs_of, corpus):
     assert quality.score(docs_of([]), quality.train(docs_of([]), labels)).count() == 0
 
 
+def test_an_id_with_a_third_of_the_rows_is_one_positive(spark, corpus, monkeypatch):
+    hot = [(0, f"word {k} of a text that is there again and again") for k in range(3000)]
+    docs = spark.createDataFrame(list(corpus) + hot, "doc_id int, text string")
+    labels = spark.createDataFrame([(i, 1 if i % 4 else 0) for i, _ in corpus] + [(0, 1)] * 50, "doc_id int, quality int").filter("doc_id <> 0 OR quality = 1")
+    kept = quality.trusted_rows(docs, labels, 40, "doc_id", "text", "quality").collect()
+    assert len(kept) <= 40 and sum("again and again" in r.text for r in kept) <= 1
+    assert 0 <= quality.train(docs, labels, 40).prior <= 1
+
+
+def test_prior_is_the_same_on_a_table_of_twenty_copies(spark, corpus):
+    one = spark.createDataFrame([(str(i), t) for i, t in corpus], "name string, body string")
+    many = one.selectExpr("name", "body", "explode(sequence(1, 20)) AS copy")
+    labels = spark.createDataFrame([(str(i), 1 if i % 4 else 0) for i, _ in corpus], "name string, good int")
+    names = {"id_col": "name", "text_col": "body", "label_col": "good"}
+    a, b = quality.train(one, labels, **names), quality.train(many, labels, **names)
+    assert abs(a.prior - b.prior) < 1e-6 and np.abs(a.weights - b.weights).max() < 0.1 * np.abs(a.weights).max()
+
+
+def test_risk_of_moments_equals_the_risk_of_rows():
+    rng = np.random.default_rng(8)
+    p, u = (np.hstack((rng.normal(m, 1, (n, quality.WIDTH)), np.ones((n, 1)))) for m, n in ((0.3, 400), (0, 900)))
+    for prior in (0.2, 0.9):
+        w = rng.normal(0, 0.02, quality.WIDTH + 1)
+
+        def risk(w):
+            loss = lambda f, y: ((1 - y * f) ** 2 / 4).mean()
+            second = loss(u @ w, -1) - prior * loss(p @ w, -1)
+            return (prior * loss(p @ w, 1) + second if second >= 0 else -second) + 5e-4 * (w[:-1] ** 2).sum()
+        g = quality._risk_gradient(quality._moments(p), quality._moments(u), prior, 1e-3)(w)
+        for k in (0, 7, quality.WIDTH):
+            step = np.zeros_like(w)
+            step[k] = 1e-5
+            assert abs((risk(w + step) - risk(w - step)) / 2e-5 - g[k]) < 1e-5
+
+
 # ---- pages -----------------------------------------------------------------
 
 def article(html):
@@ -184,8 +219,13 @@ def test_short_items_inside_foreign_text(spark, docs_of, duck):
         items.append((n, " ".join(words)))
         rows.append((n, " ".join(host[:90] + [f"other{n}" if k in changed else w for k, w in enumerate(words)] + host[90:])))
         want.add((n, n))
-    got = found(latent.contaminated(docs_of(rows), spark.createDataFrame(items, "item_id long, text string")))
-    assert want <= got
+    df = latent.contaminated(docs_of(rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert want <= found(df)
+    # and by the latent search alone: nine in ten of every size
+    led = {(r.doc_id, k) for r in df.collect() for k in r.latent_items}
+    for size in (6, 8, 10, 12, 16, 20):
+        mine = {(n, n) for n in range(240) if (6, 8, 10, 12, 16, 20)[n % 6] == size}
+        assert len(mine & led) >= 0.9 * len(mine)
 
 
 def test_places_hold_every_passing_stretch():

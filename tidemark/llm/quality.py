@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -60,83 +61,94 @@ class PuModel:
         self.weights, self.bias, self.mean, self.scale, self.prior = weights, bias, mean, scale, prior
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        margin = np.clip(standardised(x, self.mean, self.scale) @ self.weights + self.bias, -30, 30)
+        # the fit's target is 2 * probability - 1
+        margin = np.clip(4 * (standardised(x, self.mean, self.scale) @ self.weights + self.bias), -30, 30)
         return 1 / (1 + np.exp(-margin))
 
 
+@dataclass
+class Moments:
+    """Number, sum and sum of products of a group's standardised features, the last feature being 1."""
+
+    count: float
+    mean: np.ndarray
+    square: np.ndarray
+
+
+def _moments(rows: np.ndarray) -> Moments:
+    if not len(rows):
+        return Moments(0.0, np.zeros(WIDTH + 1), np.zeros((WIDTH + 1, WIDTH + 1)))
+    x = rows.astype(np.float64)
+    return Moments(float(len(x)), x.mean(0), x.T @ x / len(x))
+
+
+def _together(parts: list[Moments]) -> Moments:
+    n = sum(m.count for m in parts)
+    if not n:
+        return parts[0]
+    return Moments(n, sum(m.mean * m.count for m in parts) / n, sum(m.square * m.count for m in parts) / n)
+
+
 def _descend(gradient, width: int, steps: int, rate: float) -> np.ndarray:
     """Adam from zero; the last entry is the bias."""
     w, m, v = np.zeros(width), np.zeros(width), np.zeros(width)
     for t in range(1, steps + 1):
         g = gradient(w)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        w = w - rate * (1 - t / (steps + 1)) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     return w
 
 
-def _chance(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Probability of the positive class."""
-    return 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30, dtype=np.float32)))
+def _separating(p: Moments, u: Moments, decay: float = 1e-2) -> np.ndarray:
+    """Least squares of +1 for the one group and -1 for the other, each counting as much."""
+    return np.linalg.solve((p.square + u.square) / 2 + decay * np.eye(WIDTH + 1), (p.mean - u.mean) / 2)
 
 
-def _risk_gradient(p: np.ndarray, u: np.ndarray, prior: float, decay: float):
-    """Gradient of the non-negative unbiased risk with logistic loss.
+def _risk_gradient(p: Moments, u: Moments, prior: float, decay: float):
+    """Gradient of the non-negative unbiased risk with squared loss, loss(f, y) = (1 - y f)^2 / 4.
 
-    The risk is prior * E_p[loss(+)] + max(0, E_u[loss(-)] - prior * E_p[loss(-)]).
-    Where the second part is below zero the step goes against it.
+    The risk is prior * E_p[loss(f, +)] + max(0, E_u[loss(f, -)] - prior * E_p[loss(f, -)]).
+    Where the second part is below zero the step goes against it. With squared
+    loss all three expectations are quadratic in the weights, so the groups'
+    moments are all that is asked of their rows.
     """
     def gradient(w: np.ndarray) -> np.ndarray:
-        sp, su = _chance(p, w), _chance(u, w)
-        negative = -np.log1p(-np.minimum(su, 1 - 1e-6)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-6)).mean()
-        part = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
-        g = prior * (p.T @ (sp - 1)) / len(p) + part if negative >= 0 else -part
+        square_p, square_u = p.square @ w, u.square @ w
+        loss = lambda m, sq, y: (1 - 2 * y * (m.mean @ w) + w @ sq) / 4
+        second = loss(u, square_u, -1) - prior * loss(p, square_p, -1)
+        slope = (u.mean + square_u) / 2 - prior * (p.mean + square_p) / 2
+        g = prior * (square_p - p.mean) / 2 + slope if second >= 0 else -slope
         g = g + decay * w
         g[-1] -= decay * w[-1]
         return g
     return gradient
 
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The share of positives in unlabelled rows, from scores of both.
+def prior_from_counts(above_p: np.ndarray, above_u: np.ndarray) -> float:
+    """The share of positives in unlabelled rows, from the shares of both that score at least so much.
 
     In any region the unlabelled rows hold at least the positives' share times
     the prior, so the least quotient over the regions {score >= t} estimates it.
     Regions with under half of the positives are left out, as their quotient is
     noisy.
     """
-    cuts = np.quantile(positive, np.linspace(0, 0.5, 201))
-    p, u = np.sort(positive), np.sort(unlabelled)
-    above_p = 1 - np.searchsorted(p, cuts) / len(p)
-    above_u = 1 - np.searchsorted(u, cuts) / len(u)
-    return float(np.clip((above_u / np.maximum(above_p, 1e-9)).min(), 0.05, 0.99))
+    use = above_p >= 0.5
+    return float(np.clip((above_u[use] / above_p[use]).min() if use.any() else 0.5, 0.05, 0.99))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 600, decay: float = 1e-3) -> PuModel:
-    """Fits the prior, then the model by the non-negative risk.
+CUTS = 201
 
-    The scores for the prior come from two halves, each scored by the model that
-    separates the other half's positives from its unlabelled rows. Without
-    positives or unlabelled rows every score is 1/2.
-    """
-    if not len(positive) or not len(unlabelled):
-        return PuModel(np.zeros(WIDTH), 0.0, np.zeros(WIDTH), np.ones(WIDTH), 0.5)
-    n = len(positive) + len(unlabelled)
-    mean = (positive.sum(0, dtype=np.float64) + unlabelled.sum(0, dtype=np.float64)) / n
-    scale = np.maximum(np.sqrt(sum(((x - mean) ** 2).sum(0) for x in (positive, unlabelled)) / n), 1e-3)
-    p, u = (np.hstack((standardised(x, mean, scale), np.ones((len(x), 1)))).astype(np.float32) for x in (positive, unlabelled))
-
-    def separate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        def gradient(w: np.ndarray) -> np.ndarray:
-            sa, sb = _chance(a, w), _chance(b, w)
-            return a.T @ (sa - 1) / len(a) + b.T @ sb / len(b) + 1e-2 * w
-        return _descend(gradient, a.shape[1], 200, 0.02)
 
-    prior = 0.5
-    if min(len(p), len(u)) > 1:
-        halves = [(k, separate(p[k::2], u[k::2])) for k in (0, 1)]
-        prior = float(np.mean([class_prior(p[1 - k::2] @ w, u[1 - k::2] @ w) for k, w in halves]))
-    w = _descend(_risk_gradient(p, u, prior, decay), p.shape[1], steps, 0.02)
-    return PuModel(w[:-1], float(w[-1]), mean, scale, prior)
+def _cuts(positive: np.ndarray) -> np.ndarray:
+    """Scores at which regions begin: quantiles of the positives' scores, the upper half of them above the last."""
+    return np.quantile(positive, np.linspace(0, 0.5, CUTS))
+
+
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """``prior_from_counts`` of scores at hand."""
+    cuts = _cuts(positive)
+    above = lambda x: 1 - np.searchsorted(np.sort(x), cuts) / len(x)
+    return prior_from_counts(above(positive), above(unlabelled))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -144,31 +156,123 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 15_000) -> PuModel:
-    """A model from at most ``sample`` trusted positives and ``sample`` unlabelled texts.
+#: Sums are counted in 2^-20, as whole numbers, so that they do not depend on the order of tasks.
+UNIT = float(1 << 20)
 
-    Positives are documents whose every label is 1; unlabelled text is any
-    document, whatever its label, none of which is looked at. Rows that are held
-    out serve as neither. The bound is on the rows that the driver fits to; both
-    samples are the rows least by a hash of the id. Null ids and labels teach
-    nothing.
-    """
-    def least(ids: DataFrame) -> DataFrame:
-        return ids.filter(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.xxhash64("doc_id", F.lit(2)).alias("h")).distinct().orderBy("h", "doc_id").limit(sample).select("doc_id")
-
-    good = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("worst")).filter("worst = 1")
-    chosen = least(good).select("doc_id", F.lit(True).alias("trusted")).unionByName(least(docs).select("doc_id", F.lit(False).alias("trusted")))
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _summed(rows: DataFrame, partial, size: int) -> np.ndarray:
+    """One array of ``size`` numbers per task, added up by Spark; ``partial`` adds a batch's texts and halves to it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
         for b in batches:
-            rows = [features(t).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("trusted"), pa.array(rows, pa.binary())], names=["doc_id", "trusted", "x"])
-
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id") \
-        .mapInArrow(vectors, "doc_id long, trusted boolean, x binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.x)))
-    of = lambda which: np.array([np.frombuffer(r.x, np.float32) for r in rows if r.trusted == which]).reshape(-1, WIDTH)
-    return fit(of(True), of(False))
+            if b.num_rows:
+                partial(total, np.array([features(t) for t in b.column("text").to_pylist()]), b.column("half").to_numpy(zero_copy_only=False))
+        whole = np.rint(total * UNIT).astype(np.int64)
+        at = np.flatnonzero(whole)
+        for k in range(0, len(at), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[k: k + 50_000]), pa.array(whole[at[k: k + 50_000]])], names=["k", "x"])
+
+    # sums of whole numbers; as decimals beyond the range of a long
+    sums = rows.mapInArrow(run, "k long, x long").groupBy("k").agg(F.sum(F.col("x").cast("decimal(38,0)")).cast("double").alias("x")).toArrow()
+    out = np.zeros(size)
+    out[sums.column("k").to_numpy()] = sums.column("x").to_numpy() / UNIT
+    return out
+
+
+UPPER = np.triu_indices(WIDTH + 1)
+
+
+def _with_one(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.hstack((standardised(x, mean, scale), np.ones((len(x), 1))))
+
+
+def _half(id_col: str):
+    return F.pmod(F.xxhash64(F.col(id_col), F.lit(2)), F.lit(2)).cast("int").alias("half")
+
+
+def trusted_rows(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """At most ``sample`` documents (half, text) whose every label is 1: those least by a hash of the id, of an id's rows the one with the least text."""
+    usable = F.col(id_col).isNotNull() & ~held_out(id_col)
+    good = labels.filter(F.col(label_col).isNotNull() & usable).groupBy(id_col).agg(F.min(label_col).alias("worst")).filter("worst = 1")
+    kept = good.select(id_col, F.xxhash64(F.col(id_col), F.lit(2)).alias("h")).orderBy("h", id_col).limit(sample).select(id_col)
+    texts = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(kept), id_col)
+    return texts.groupBy(id_col).agg(F.min("text").alias("text")).select(_half(id_col), "text")
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = 15_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", steps: int = 1500, decay: float = 1e-3) -> PuModel:
+    """A model from at most ``sample`` trusted positives and all unlabelled text.
+
+    Positives are documents whose every label is 1, one row per id
+    (``trusted_rows``); they are the only rows that are bounded, and the only
+    ones that come to the driver, as features. Unlabelled text is every document,
+    whatever its label, none of which is looked at. Rows that are held out serve
+    as neither, nor do rows without an id; null labels teach nothing. A document
+    that is there several times counts as often among the unlabelled.
+
+    The unlabelled rows are asked three times, each answer a sum that Spark adds
+    up: mean and deviation of the features, their products by halves of the ids,
+    and how many score at least so much under the model that separates the other
+    half's positives from its unlabelled rows. The last gives the class prior,
+    the products the risk. Without positives or unlabelled rows every score is 1/2.
+    """
+    prepare(docs.sparkSession)
+    nothing = PuModel(np.zeros(WIDTH), 0.0, np.zeros(WIDTH), np.ones(WIDTH), 0.5)
+    good = trusted_rows(docs, labels, sample, id_col, text_col, label_col).collect()
+    rows = docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col)).select(_half(id_col), F.col(text_col).alias("text"))
+    if not good:
+        return nothing
+    good.sort(key=lambda r: (r.half, r.text))
+    half_p, x = np.array([r.half for r in good]), np.array([features(r.text) for r in good])
+
+    def first(total: np.ndarray, x: np.ndarray, _) -> None:
+        x = x.astype(np.float64)
+        total[0] += len(x)
+        total[1: WIDTH + 1] += x.sum(0)
+        total[WIDTH + 1:] += (x * x).sum(0)
+
+    sums = _summed(rows, first, 2 * WIDTH + 1)
+    if not sums[0]:
+        return nothing
+    mean = sums[1: WIDTH + 1] / sums[0]
+    scale = np.maximum(np.sqrt(np.maximum(sums[WIDTH + 1:] / sums[0] - mean * mean, 0)), 1e-3)
+
+    width = len(UPPER[0])
+
+    def second(total: np.ndarray, x: np.ndarray, half: np.ndarray) -> None:
+        for k in (0, 1):
+            z = _with_one(x[half == k], mean, scale)
+            total[k * width: (k + 1) * width] += (z.T @ z)[UPPER]
+
+    found = _summed(rows, second, 2 * width)
+    unlabelled = []
+    for k in (0, 1):
+        square = np.zeros((WIDTH + 1, WIDTH + 1))
+        square[UPPER] = found[k * width: (k + 1) * width]
+        square = square + square.T - np.diag(np.diag(square))
+        n = square[-1, -1]
+        unlabelled.append(Moments(n, square[-1] / max(n, 1), square / max(n, 1)))
+    p = _with_one(x, mean, scale)
+    positive = [_moments(p[half_p == k]) for k in (0, 1)]
+
+    prior = 0.5
+    if all(m.count for m in positive + unlabelled):
+        # each half is scored by the other half's model
+        models = [_separating(positive[1 - k], unlabelled[1 - k]) for k in (0, 1)]
+        cuts = [_cuts(p[half_p == k] @ models[k]) for k in (0, 1)]
+
+        def third(total: np.ndarray, x: np.ndarray, half: np.ndarray) -> None:
+            for k in (0, 1):
+                scores = np.sort(_with_one(x[half == k], mean, scale) @ models[k])
+                total[k * CUTS: (k + 1) * CUTS] += len(scores) - np.searchsorted(scores, cuts[k])
+
+        above = _summed(rows, third, 2 * CUTS)
+        priors = []
+        for k in (0, 1):
+            mine = np.sort(p[half_p == k] @ models[k])
+            priors.append(prior_from_counts(1 - np.searchsorted(mine, cuts[k]) / len(mine), above[k * CUTS: (k + 1) * CUTS] / unlabelled[k].count))
+        prior = float(np.mean(priors))
+    w = _descend(_risk_gradient(_together(positive), _together(unlabelled), prior, decay), WIDTH + 1, steps, 0.02)
+    return PuModel(w[:-1], float(w[-1]), mean, scale, prior)
 
 
 def score(docs: DataFrame, model: PuModel, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
