@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import distinct_state, gated, key_dictionary, stored_updates
 from tidemark.operators.numbering import numbered
-from tidemark.session import fresh_folder
+from tidemark.session import fresh_folder, run_folders, stored
 from tidemark.sources import clustered, evolving, files, load_ledger, sinks, variants
 from tidemark.streaming import increments, keyed
 
@@ -27,6 +27,22 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+# ---- folders of a run ----------------------------------------------------------
+
+def test_a_run_leaves_nothing_behind(spark):
+    with run_folders(spark) as outer:
+        kept = stored(spark.range(5))
+        with run_folders(spark) as inner:
+            assert fresh_folder(spark, "x").startswith(inner) and stored(spark.range(3)).count() == 3
+        assert not files.exists(spark, inner) and files.exists(spark, outer) and kept.count() == 5
+    assert not files.exists(spark, outer) and not fresh_folder(spark, "x").startswith(outer)
+    with pytest.raises(ZeroDivisionError):
+        with run_folders(spark) as folder:
+            stored(spark.range(1))
+            1 / 0
+    assert not files.exists(spark, folder)
+
+
 # ---- numbers -----------------------------------------------------------------
 
 def test_numbered(spark):

@@ -83,6 +83,25 @@ def quarterly_comparison(base: DataFrame, index: str, week: str, dims: Sequence[
     return merged.drop("_has_current")
 
 
+def monthly_to_date(base: DataFrame, index: str, month: str, week: str, dims: Sequence[str], measures: Sequence[str],
+                    as_of, last_week: Column, shifts: dict[str, int] | None = None) -> DataFrame:
+    """Month totals, those of the current quarter beside the same month of earlier quarters so far.
+
+    ``base`` is aggregated by (index, month, week, dims); ``month`` is its first
+    day. An earlier quarter's weeks count up to ``last_week``, the last one that
+    the current quarter has; months of past quarters have no comparison. Rows
+    without any non-zero measure are removed.
+    """
+    shifts = shifts or QUARTERS_BACK
+    this = fiscal.quarter_index(fiscal.as_date(as_of))
+    target = lambda lag: F.struct(F.lit(lag).alias("lag"), (F.col(index) + lag).alias("index"), F.add_months(month, 3 * lag).alias("month"))
+    later = [F.when((F.col(index) + lag == this) & (F.col(week) <= last_week), target(lag)) for lag in shifts.values()]
+    shown = base.filter(F.col(index) <= this).withColumn("_to", F.explode(F.array_compact(F.array(target(0), *later))))
+    shown = shown.withColumns({"_lag": F.col("_to.lag"), index: F.col("_to.index"), month: F.col("_to.month")}).filter(F.col(month) <= fiscal.as_date(as_of))
+    merged = _collected(shown, [index, month, *dims], measures, shifts)
+    return merged.filter(~all_zero(*measures, *[f"{s}_{m}" for s in shifts for m in measures])).drop("_has_current")
+
+
 def cell_comparison(cells: DataFrame, index: str, keys: Sequence[str], measures: Sequence[str],
                     as_of, to_date: Sequence[str] | None = None, fallback: bool = False,
                     shifts: dict[str, int] | None = None) -> DataFrame:

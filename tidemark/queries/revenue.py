@@ -135,22 +135,15 @@ SQL_CUBE_LABEL = """'QTR-GEO' || CASE WHEN grouping(country) = 0 THEN '-CNTRY' E
 
 @query("quarterly_order_cube", "G9 K7 G4 J5", f"""
 WITH {SQL_ACCOUNTS}, {sql_calendar(AS_OF, '1995-01-01')},
-raw AS (SELECT o_orderkey, qi, fiscal_week, geo, country, o_orderpriority AS priority, nullif(c_mktsegment, 'FURNITURE') AS segment
+raw AS MATERIALIZED (SELECT o_orderkey, qi, fiscal_week, geo, country, o_orderpriority AS priority, nullif(c_mktsegment, 'FURNITURE') AS segment
   FROM orders JOIN accounts ON o_custkey = c_custkey JOIN calendar ON date_key = CAST(o_orderdate AS DATE)
   WHERE {sql_from('date_key', AS_OF)} >= -6),
-base AS (SELECT qi, geo, country, priority, segment, count(DISTINCT o_orderkey) AS orders, {SQL_CUBE_LABEL} AS aggregated_by
+cells AS MATERIALIZED (SELECT qi, geo, country, priority, segment, {SQL_CUBE_LABEL} AS aggregated_by, count(DISTINCT o_orderkey) AS orders,
+  nullif(count(DISTINCT CASE WHEN fiscal_week <= (SELECT max(fiscal_week) FROM calendar WHERE qi = {sql_index(A)}) THEN o_orderkey END), 0) AS to_date
   FROM raw GROUP BY qi, geo, CUBE (country, priority, segment)),
-qtd AS (SELECT qi, geo, country, priority, segment, count(DISTINCT o_orderkey) AS orders, {SQL_CUBE_LABEL} AS aggregated_by
-  FROM raw WHERE fiscal_week <= (SELECT max(fiscal_week) FROM calendar WHERE qi = {sql_index(A)})
-  GROUP BY qi, geo, CUBE (country, priority, segment))
-SELECT {sql_index_label('a.qi')} AS fiscal_quarter, a.geo, a.country, a.priority, a.segment, a.aggregated_by,
-  a.orders, CASE WHEN a.qi = {sql_index(A)} THEN pt.orders ELSE p.orders END AS qoq_orders,
-  CASE WHEN a.qi = {sql_index(A)} THEN yt.orders ELSE y.orders END AS yoy_orders
-FROM base a
-""" + "\n".join(f"""LEFT JOIN {src} {al} ON {al}.qi = a.qi - {lag} AND {al}.aggregated_by = a.aggregated_by AND {al}.geo = a.geo
-  AND coalesce({al}.country, '') = coalesce(a.country, '') AND coalesce({al}.priority, '') = coalesce(a.priority, '')
-  AND coalesce({al}.segment, '') = coalesce(a.segment, '')"""
-                for src, al, lag in (("base", "p", 1), ("base", "y", 4), ("qtd", "pt", 1), ("qtd", "yt", 4))))
+seen AS (SELECT qi + lag AS qn, lag, geo, country, priority, segment, aggregated_by, CASE WHEN lag > 0 AND qi + lag = {sql_index(A)} THEN to_date ELSE orders END AS orders FROM cells, (VALUES (0), (1), (4)) l(lag))
+SELECT {sql_index_label("qn")} AS fiscal_quarter, geo, country, priority, segment, aggregated_by, max(orders) FILTER (lag = 0) AS orders, max(orders) FILTER (lag = 1) AS qoq_orders, max(orders) FILTER (lag = 4) AS yoy_orders
+FROM seen GROUP BY qn, geo, country, priority, segment, aggregated_by HAVING bool_or(lag = 0)""")
 def _(t):
     orders = t.orders.select(
         "o_orderkey", "o_custkey", order_day().alias("day"), F.col("o_orderpriority").alias("priority"))
@@ -292,3 +285,39 @@ def _(t):
     status = F.col("o_orderstatus")
     fact = traffic.trial_comparison(steps, ["geo"], {"downloads": ("o_custkey", status != "P"), "activations": ("o_custkey", status == "F")}, "day", AS_OF)
     return plain(fact, "fiscal_quarter", "geo", "downloads", "activations", "qoq_downloads", "qoq_activations", "yoy_downloads", "yoy_activations")
+
+
+CONTRIBUTION = ["new_acv", "new_customer_acv", "expansion_acv", "created_acv"]
+
+
+@query("contribution_by_month", "K31 K7 U3", f"""
+WITH {SQL_ACCOUNTS}, {sql_calendar(AS_OF, '1995-01-01')},
+deals AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS closed, CAST(o_orderdate AS DATE) - 40 AS created, geo, nullif(c_mktsegment, 'FURNITURE') AS tier, CAST(o_totalprice AS DECIMAL(18,2)) AS acv, o_orderpriority IN ('1-URGENT', '2-HIGH') AS fresh
+  FROM orders JOIN accounts ON o_custkey = c_custkey),
+base AS MATERIALIZED (SELECT qi, fiscal_week, CAST(date_trunc('month', date_key) AS DATE) AS month, geo, tier, 'CLOSED' AS metric, CASE WHEN k % 2 = 0 THEN acv END AS new_acv, CASE WHEN k % 2 = 0 AND fresh THEN acv END AS new_customer_acv, CASE WHEN k % 2 = 0 AND NOT fresh THEN acv END AS expansion_acv, NULL::DECIMAL(18,2) AS created_acv
+  FROM deals JOIN calendar ON date_key = closed WHERE {sql_from('date_key', AS_OF)} >= -6
+  UNION ALL SELECT qi, fiscal_week, CAST(date_trunc('month', date_key) AS DATE), geo, tier, 'CREATED', NULL, NULL, NULL, CASE WHEN k % 5 = 0 THEN acv END FROM deals JOIN calendar ON date_key = created WHERE {sql_from('date_key', AS_OF)} >= -6),
+seen AS (SELECT 0 AS lag, qi AS qn, month AS mn, * FROM base UNION ALL
+  SELECT lag, qi + lag, CAST(month + to_months(CAST(3 * lag AS INT)) AS DATE), base.* FROM base, (VALUES (1), (4)) l(lag) WHERE qi + lag = {sql_index(A)} AND fiscal_week <= (SELECT max(fiscal_week) FROM base WHERE qi = {sql_index(A)}))
+SELECT {sql_index_label('qn')} AS fiscal_quarter, CAST(mn AS VARCHAR) AS month, geo, tier, metric, {', '.join(f"CAST(sum({m}) FILTER (lag = {lag}) AS DOUBLE) AS {p}{m}" for m in CONTRIBUTION for p, lag in (('', 0), ('qoq_', 1), ('yoy_', 4)))}
+FROM seen WHERE mn <= {A} GROUP BY qn, mn, geo, tier, metric HAVING {' OR '.join(f"coalesce(sum({m}) FILTER (lag = {lag}), 0) <> 0" for m in CONTRIBUTION for lag in (0, 1, 4))}""")
+def _(t):
+    k, acv, fresh = F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(18,2)"), F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    deals = t.orders.select("o_custkey", order_day().alias("closed"), F.when(k % 2 == 0, acv).alias("new_acv"), F.when((k % 2 == 0) & fresh, acv).alias("new_customer_acv"),
+                            F.when((k % 2 == 0) & ~fresh, acv).alias("expansion_acv"), F.when(k % 5 == 0, acv).alias("created_acv"))
+
+    def stream(metric, day, measures):
+        rows = revenue.with_fiscal_week(revenue.in_calendar(deals.withColumn("day", day), "day", AS_OF), "day")
+        return rows.groupBy("o_custkey", "quarter_index", "fiscal_week", F.trunc("day", "MM").alias("month")).agg(
+            *[F.sum(m).alias(m) for m in measures]).withColumn("metric", F.lit(metric))
+
+    # summed per account before attributes are joined, then once more
+    both = stream("CLOSED", F.col("closed"), CONTRIBUTION[:3]).unionByName(stream("CREATED", F.date_sub("closed", 40), CONTRIBUTION[3:]), allowMissingColumns=True)
+    side = accounts(t).select("c_custkey", "geo", F.nullif("c_mktsegment", F.lit("FURNITURE")).alias("tier"))
+    dims = ["geo", "tier", "metric"]
+    base = both.join(side, F.col("o_custkey") == F.col("c_custkey")).groupBy("quarter_index", "fiscal_week", "month", *dims).agg(*[F.sum(m).alias(m) for m in CONTRIBUTION])
+    this = fiscal.quarter_index(fiscal.as_date(AS_OF))
+    last_week = base.filter(F.col("quarter_index") == this).agg(F.max("fiscal_week").alias("w")).scalar()
+    shown = period.monthly_to_date(base, "quarter_index", "month", "fiscal_week", dims, CONTRIBUTION, AS_OF, last_week)
+    columns = [f"{p}{m}" for m in CONTRIBUTION for p in ("", "qoq_", "yoy_")]
+    return plain(shown.withColumn("fiscal_quarter", fiscal.label_of_index("quarter_index")), "fiscal_quarter", "month", *dims, *columns)

@@ -133,18 +133,15 @@ CUBE_SQL = """'WEEK-GEO' || CASE WHEN grouping(priority) = 0 THEN '-PRIO' ELSE '
 
 @query("weekly_traffic_cube", "K25 K9 G10 J5", f"""
 WITH {SQL_ACCOUNTS}, {sql_calendar(SALES_AS_OF, '1995-01-01')},
-visits AS (SELECT o_orderkey, o_custkey, o_orderstatus, qi, fiscal_week, geo, o_orderpriority AS priority, nullif(c_mktsegment, 'FURNITURE') AS segment
+visits AS MATERIALIZED (SELECT o_orderkey, o_custkey, o_orderstatus, qi, fiscal_week, geo, o_orderpriority AS priority, nullif(c_mktsegment, 'FURNITURE') AS segment
   FROM orders JOIN accounts ON o_custkey = c_custkey JOIN calendar ON date_key = CAST(o_orderdate AS DATE) WHERE {sql_from('date_key', SALES_AS_OF)} >= -6),
-agg AS (SELECT qi, fiscal_week, geo, priority, segment, count(DISTINCT o_orderkey) AS visits, count(DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END) AS new_visitors,
-  count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_custkey END) AS buyers, {CUBE_SQL} AS aggregated_by FROM visits GROUP BY qi, fiscal_week, geo, CUBE (priority, segment)),
-ord AS (SELECT qi, fiscal_week, geo, priority, segment, count(DISTINCT o_orderkey) AS orders, {CUBE_SQL} AS aggregated_by FROM visits WHERE o_orderstatus = 'O' GROUP BY qi, fiscal_week, geo, CUBE (priority, segment)),
-a AS (SELECT agg.*, orders FROM agg LEFT JOIN ord ON agg.qi = ord.qi AND agg.fiscal_week = ord.fiscal_week AND agg.aggregated_by = ord.aggregated_by AND agg.geo = ord.geo
-  AND coalesce(agg.priority, '') = coalesce(ord.priority, '') AND coalesce(agg.segment, '') = coalesce(ord.segment, ''))
-SELECT {sql_index_label('a.qi')} AS fiscal_quarter, a.fiscal_week, a.geo, a.priority, a.segment, a.aggregated_by, a.visits, a.new_visitors, a.buyers, a.orders,
-  coalesce(p.visits, a.visits) AS qoq_visits, coalesce(y.visits, a.visits) AS yoy_visits, coalesce(p.new_visitors, a.new_visitors) AS qoq_new_visitors,
-  coalesce(y.buyers, a.buyers) AS yoy_buyers, coalesce(p.orders, 0) AS qoq_orders, coalesce(y.orders, 0) AS yoy_orders FROM a
-""" + "\n".join(f"""LEFT JOIN a {al} ON {al}.qi = a.qi - {lag} AND {al}.fiscal_week = a.fiscal_week AND {al}.aggregated_by = a.aggregated_by AND {al}.geo = a.geo
-  AND coalesce({al}.priority, '') = coalesce(a.priority, '') AND coalesce({al}.segment, '') = coalesce(a.segment, '')""" for al, lag in (("p", 1), ("y", 4))))
+cells AS MATERIALIZED (SELECT qi, fiscal_week, geo, priority, segment, {CUBE_SQL} AS aggregated_by, count(DISTINCT o_orderkey) AS visits, count(DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END) AS new_visitors,
+  count(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_custkey END) AS buyers, nullif(count(DISTINCT CASE WHEN o_orderstatus = 'O' THEN o_orderkey END), 0) AS orders FROM visits GROUP BY qi, fiscal_week, geo, CUBE (priority, segment)),
+seen AS (SELECT qi + lag AS qn, lag, cells.* FROM cells, (VALUES (0), (1), (4)) l(lag)),
+side AS (SELECT qn, fiscal_week, geo, priority, segment, aggregated_by, {', '.join(f"max({m}) FILTER (lag = {lag}) AS {p}{m}" for m in ('visits', 'new_visitors', 'buyers', 'orders') for p, lag in (('', 0), ('qoq_', 1), ('yoy_', 4)))}
+  FROM seen GROUP BY ALL HAVING bool_or(lag = 0))
+SELECT {sql_index_label("qn")} AS fiscal_quarter, fiscal_week, geo, priority, segment, aggregated_by, visits, new_visitors, buyers, orders, coalesce(qoq_visits, visits) AS qoq_visits, coalesce(yoy_visits, visits) AS yoy_visits,
+  coalesce(qoq_new_visitors, new_visitors) AS qoq_new_visitors, coalesce(yoy_buyers, buyers) AS yoy_buyers, coalesce(qoq_orders, 0) AS qoq_orders, coalesce(yoy_orders, 0) AS yoy_orders FROM side""")
 def _(t):
     recent = revenue.with_fiscal_week(revenue.in_calendar(
         t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", order_day().alias("day"), F.col("o_orderpriority").alias("priority")),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources import files
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -62,7 +66,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
     Only a local master may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost with the machine.
+    machine-local path would be lost with the machine. What the setting names is
+    taken as shared, whatever its scheme: it may be a mounted folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -73,9 +78,30 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or context.getCheckpointDir()).rstrip("/")
 
 
+#: Folders of the runs that are open, the innermost last.
+_RUNS: list[str] = []
+
+
+@contextlib.contextmanager
+def run_folders(spark: SparkSession) -> Iterator[str]:
+    """What is written half-way inside this block lies in one folder, which goes when the block ends.
+
+    Take or write results inside: frames that read half-way tables can not be
+    read after it. Without such a block the folders stay until the application's
+    owner clears the shared folder.
+    """
+    folder = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        files.remove(spark, folder)
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared folder, or under that of the run."""
+    return f"{_RUNS[-1] if _RUNS else shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:
