@@ -154,3 +154,25 @@ def test_the_stage_links_from_four_fifths_on(spark, docs_of):
     left = {r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, docs_of(rows), FOLDER).collect()}
     linked = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert left == {i for i, root in grouped(list(sets), linked).items() if i == root}
+
+
+def test_crowded_cells_are_split_level_by_level(spark, monkeypatch):
+    rng = np.random.default_rng(21)
+    centres = rng.normal(size=(12, 6))
+    rows = []
+    for k in range(1500):  # one label, clusters of very different density, chains across cells
+        c = centres[rng.integers(12)] if k % 3 else centres[0]
+        rows.append((k, (c + 0.12 * rng.normal(size=6)).tolist(), 1))
+    rows += [(2000 + k, rows[k][1], 1) for k in range(40)] + [(3000 + k, (centres[1] + 1e-9 * rng.normal(size=6)).tolist(), 1) for k in range(80)]
+    seen = []
+    monkeypatch.setattr(vectors, "written", lambda df, label, write=vectors.written: (seen.append(label), write(df, label))[1])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(5)
+    got = sorted(tuple(r) for r in vectors.vector_groups(df, cell=16, pivots=3).collect())
+    assert seen.count("vector-cells") >= 3
+    x = np.array([v for _, v, _ in rows])
+    x = x / np.sqrt((x * x).sum(1, keepdims=True))
+    ids = [i for i, _, _ in rows]
+    close = x @ x.T >= 0.98
+    np.fill_diagonal(close, False)
+    root = grouped(ids, [(ids[i], ids[j]) for i, j in zip(*np.nonzero(close)) if i < j])
+    assert got == sorted((i, int(n), root[i], root[i] == i) for i, n in zip(ids, close.sum(1)))

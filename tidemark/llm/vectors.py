@@ -76,23 +76,84 @@ def _assign(pivots: dict[tuple[int, int], np.ndarray], reach: float):
                 unit = _unit(b.column("vec").take(pa.array(at)))[1]
                 square = np.maximum(0, 2 - 2 * unit @ centres.T)
                 home = square.argmin(1)
-                own = square[np.arange(len(at)), home]
-                between = np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T))[home]
-                near = np.sqrt(square) - np.sqrt(own)[:, None] <= 2 * reach + 1e-9
-                near &= square - own[:, None] <= 2 * between * (reach + 1e-9) + 1e-12
-                near &= np.arange(len(centres)) < home[:, None]
+                near = _near(square, centres, home, reach) & (np.arange(len(centres)) < home[:, None])
                 i, j = np.nonzero(near)
                 rows += [at, at[i]]
                 cells += [home, j]
                 guest += [np.zeros(len(at), bool), np.ones(len(i), bool)]
             if rows:
                 take = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in ("rep", "n", "label", "dim", "vec")), pa.array(np.concatenate(cells), pa.int32()), pa.array(np.concatenate(guest))],
+                yield pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in ("rep", "n", "label", "dim", "vec")), pa.array(np.concatenate(cells), pa.int64()), pa.array(np.concatenate(guest))],
                                                  names=["rep", "n", "label", "dim", "vec", "cell", "guest"])
 
     return run
 
 
+def _near(square: np.ndarray, centres: np.ndarray, home: np.ndarray, reach: float) -> np.ndarray:
+    """Which cells hold vectors that may lie within ``reach`` of each vector, by its distances to all pivots."""
+    own = square[np.arange(len(home)), home]
+    # pivots that nearly coincide lose their distance to rounding, so it is taken a little larger
+    between = np.sqrt(np.maximum(0, 2 - 2 * centres @ centres.T))[home] + 1e-7
+    near = np.sqrt(square) - np.sqrt(own)[:, None] <= 2 * reach + 1e-9
+    return near & (square - own[:, None] <= 2 * between * (reach + 1e-9) + 1e-12)
+
+
+def _split(reach: float, fan: int):
+    """One part of a cell dealt to the cell's own pivots: members as in ``_assign``, guests to every cell they may reach."""
+    def run(rows: pa.Table, pivots: pa.Table) -> pa.Table:
+        if not rows.num_rows or not pivots.num_rows:
+            return PLACED.empty_table()
+        centres = _unit(pivots.column("pivots").combine_chunks().flatten())[1]
+        square = np.maximum(0, 2 - 2 * _unit(rows.column("vec"))[1] @ centres.T)
+        home = square.argmin(1)
+        guest = rows.column("guest").to_numpy(zero_copy_only=False)
+        near = _near(square, centres, home, reach) & (guest[:, None] | (np.arange(len(centres)) < home[:, None]))
+        mine = np.flatnonzero(~guest)
+        i, j = np.nonzero(near)
+        rows_, cells = np.append(mine, i), np.append(home[mine], j)
+        taken = rows.select(["rep", "n", "label", "dim", "vec", "cell"]).take(pa.array(rows_))
+        cell = taken.column("cell").to_numpy() * fan + cells
+        return pa.Table.from_arrays([*(taken.column(c) for c in ("rep", "n", "label", "dim", "vec")), pa.array(cell), pa.array(np.arange(len(rows_)) >= len(mine))], schema=PLACED)
+
+    return run
+
+
+PLACED = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("label", pa.int64()), ("dim", pa.int32()), ("vec", pa.list_(pa.float64())), ("cell", pa.int64()), ("guest", pa.bool_())])
+FAN, PART, LEVELS = 64, 8192, 8
+
+
+def _refined(placed: DataFrame, reach: float, cell: int) -> DataFrame:
+    """Cells with over two blocks of members split by pivots of their own, again and again, until none is left.
+
+    A cell takes up to 64 pivots at a time, the members least by hash, so the
+    number of rounds is the logarithm of the cell's size. Its rows meet their
+    pivots in parts of 8,192. Vectors too near each other to part, if any, stay
+    after the last round in a cell that is joined in blocks.
+    """
+    key = ["label", "dim", "cell"]
+    done, level = None, 0
+    while level < LEVELS:
+        counts = placed.groupBy(*key).agg(F.count(F.when(~F.col("guest"), 1)).alias("own"), F.count(F.lit(1)).alias("all"))
+        over = written(counts.filter(F.col("own") > 2 * cell), "crowded-cells")
+        if over.isEmpty():
+            break
+        rest = placed.join(over.select(*key), key, "left_anti").withColumn("level", F.lit(level))
+        done = rest if done is None else done.unionByName(rest)
+        crowded = placed.join(over, key)
+        first = Window.partitionBy(*key).orderBy(F.xxhash64("rep", F.lit(level)), "rep")
+        chosen = crowded.filter(~F.col("guest")).withColumn("at", F.row_number().over(first)).filter(F.col("at") <= FAN).filter(F.col("at") <= F.ceil(F.col("own") / cell))
+        parts = F.ceil(F.col("all") / PART).cast("int")
+        pivots = chosen.groupBy(*key, "all").agg(F.collect_list("vec").alias("pivots")).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("all")
+        pivots = written(pivots, "cell-pivots")
+        dealt = crowded.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), parts).cast("int")).drop("own", "all")
+        split = dealt.groupBy(*key, "part").cogroup(pivots.groupBy(*key, "part")).applyInArrow(
+            _split(reach, FAN), "rep long, n long, label long, dim int, vec array<double>, cell long, guest boolean")
+        placed = written(split, "vector-cells")
+        level += 1
+    last = placed.withColumn("level", F.lit(level))
+    return last if done is None else written(done.unionByName(last), "vector-cells")
+
+
 def _join(least: float):
     """Links between two blocks of a cell: per vector the copies linked to it, and a star for each local group."""
     def run(group: pa.Table) -> pa.Table:
@@ -138,7 +199,8 @@ def vector_groups(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id
     however many vectors lie together. Equal vectors (by a 128-bit hash) are one
     class and compared once, with their number. A block pair returns one row per
     vector, not one per link. The pivots sent to all tasks are ``pivots`` at
-    most; labels and vectors may be any number.
+    most; cells that are still too full have pivots of their own, level by level
+    (``_refined``), so labels and vectors may be any number.
 
     Vectors that are null, empty, zero or hold a null or a value that is not
     finite, and those without label or id, are linked with nothing. Rows with
@@ -154,9 +216,10 @@ def vector_groups(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id
 
     centres = _pivots(classes, cell, pivots)
     reach = math.sqrt(max(0.0, 2 - 2 * least))
-    placed = written(classes.select("rep", "n", "label", "dim", "vec").mapInArrow(_assign(centres, reach), "rep long, n long, label long, dim int, vec array<double>, cell int, guest boolean"), "vector-cells")
+    placed = written(classes.select("rep", "n", "label", "dim", "vec").mapInArrow(_assign(centres, reach), "rep long, n long, label long, dim int, vec array<double>, cell long, guest boolean"), "vector-cells")
+    placed = _refined(placed, reach, cell)
     # blocks: members of a cell among themselves, and each block of members with each block of guests
-    key = ["label", "dim", "cell"]
+    key = ["label", "dim", "level", "cell"]
     sizes = placed.groupBy(*key).agg(F.sum(F.when(~F.col("guest"), 1).otherwise(0)).alias("own"), F.sum(F.when(F.col("guest"), 1).otherwise(0)).alias("guests"))
     blocks = sizes.filter("own > 0").select(*key, F.ceil(F.col("own") / cell).cast("int").alias("nb"), F.ceil(F.col("guests") / cell).cast("int").alias("ng"))
     slot = placed.join(blocks, key).withColumn("blk", F.pmod(F.xxhash64("rep", F.lit(3)), F.when(F.col("guest"), F.col("ng")).otherwise(F.col("nb"))).cast("int"))
