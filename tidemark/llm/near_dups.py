@@ -242,7 +242,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = prepare(docs.sparkSession)
     base = written(sketches(docs, id_col, text_col, bands, rows), "sketches")
     sets = base.filter("n > 0 and id is not null")
-    classes = sets.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
+    # written, so that a class with most of the documents can be split where they are joined to it
+    classes = written(sets.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "classes")
     keyed = classes.select("rep", "n", F.explode("bands").alias("key"))
     crowded = keyed.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("hub")).filter("members > 1")
     buckets = written(keyed.join(crowded, "key").select("key", "rep", "n", "hub"), "buckets")
