@@ -322,7 +322,8 @@ def anchored_runs(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.nda
 def _runs_of(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = b.column("row").to_numpy()
+            ids = [c for c in b.schema.names if c != "text"]
+            rows = [b.column(c).to_numpy() for c in ids]
             data, at = strings(b.column("text"))
             i, n = 0, len(at) - 1
             while i < n:
@@ -334,8 +335,8 @@ def _runs_of(length: int):
                     text, first, last, key, body = anchored_runs(data[begin:stop], local, length)
                     shift = (begin - at[i:j])[text]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(rows[i:j][text]), pa.array((first + shift).astype(np.int32)), pa.array((last + shift).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(body.view(np.int64))],
-                        names=["row", "lo", "hi", "key", "body"])
+                        [*(pa.array(r[i:j][text]) for r in rows), pa.array((first + shift).astype(np.int32)), pa.array((last + shift).astype(np.int32)), pa.array(key.view(np.int64)), pa.array(body.view(np.int64))],
+                        names=[*ids, "lo", "hi", "key", "body"])
                     if j > i + 1:
                         break
                 i = j
@@ -507,15 +508,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = prepare(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     kind = dict(docs.dtypes)[id_col]
-    named = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("row"))
-    runs = written(named.filter(F.octet_length("text") >= length).select("row", "text").mapInArrow(_runs_of(length), "row long, lo int, hi int, key long, body long"), "runs")
-    shared = runs.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    named = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("row"), F.xxhash64(text, F.lit(1), F.col(id_col)).alias("row2"))
+    runs = written(named.filter(F.octet_length("text") >= length).select("row", "row2", "text").mapInArrow(_runs_of(length), "row long, row2 long, lo int, hi int, key long, body long"), "runs")
+    # written first, so that the runs of a frequent key can be split where they meet it
+    shared = written(runs.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"), "shared-keys")
     some = written(runs.join(shared, "key", "left_semi"), "shared-runs")
-    classes = written(some.groupBy("key", "body").agg(F.count("*").alias("n"), F.min(F.struct("row", "lo", "hi")).alias("one")), "run-classes")
+    classes = written(some.groupBy("key", "body").agg(F.count("*").alias("n"), F.min(F.struct("row", "row2", "lo", "hi")).alias("one")), "run-classes")
     crowds = classes.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1")
-    wanted = classes.join(crowds, "key").select("one.row", F.struct("key", "body", "n", "crowd", "one.lo", "one.hi").alias("r")) \
-        .groupBy("row").agg(F.collect_list("r").alias("runs"))
-    payloads = written(named.select("row", "text").join(wanted, "row").select("text", "runs").mapInArrow(_payloads(length), "key long, body long, n long, crowd long, bytes binary"), "run-bytes")
+    wanted = classes.join(crowds, "key").select("one.row", "one.row2", F.struct("key", "body", "n", "crowd", "one.lo", "one.hi").alias("r")) \
+        .groupBy("row", "row2").agg(F.collect_list("r").alias("runs"))
+    payloads = written(named.select("row", "row2", "text").join(wanted, ["row", "row2"]).select("text", "runs").mapInArrow(_payloads(length), "key long, body long, n long, crowd long, bytes binary"), "run-bytes")
     total = payloads.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
     shards = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
     by_sort = payloads.filter(F.col("crowd") <= crowd).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))) \
@@ -523,7 +525,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_hash = _crowded_ranges(payloads.filter(F.col("crowd") > crowd).select("key", "body", "bytes"), length)
     copies = classes.filter("n > 1").select("key", "body", F.lit(0).alias("a"), (F.col("one.hi") - F.col("one.lo")).cast("int").alias("b"))
     ranges = written(by_sort.unionByName(by_hash).unionByName(copies), "repeat-ranges")
-    spans = some.join(ranges, ["key", "body"]).select("row", F.struct((F.col("lo") + F.col("a")).alias("start"), (F.col("lo") + F.col("b") + length).alias("end")).alias("s")) \
-        .groupBy("row").agg(F.collect_set("s").alias("spans"))
-    out = named.join(spans, "row", "left").select("id", "text", "spans")
+    spans = some.join(ranges, ["key", "body"]).select("row", "row2", F.struct((F.col("lo") + F.col("a")).alias("start"), (F.col("lo") + F.col("b") + length).alias("end")).alias("s")) \
+        .groupBy("row", "row2").agg(F.collect_set("s").alias("spans"))
+    out = named.join(spans, ["row", "row2"], "left").select("id", "text", "spans")
     return out.mapInArrow(_cut, f"id {kind}, n_bytes long, spans array<struct<start:int,end:int>>, kept binary").withColumnRenamed("id", id_col)
