@@ -56,11 +56,15 @@ def with_interleaved_key(df: DataFrame, columns: Sequence[str], bits: int = 8, n
     for k, (c, v) in enumerate(numeric.items()):
         borders = sorted({b for b in cuts[c] or [] if b == b})
         marks = F.array(*[F.lit(float(b)) for b in borders]) if borders else F.array().cast("array<double>")
-        ranks[f"{name}{k}"] = F.when(v.isNull(), 0).otherwise(F.size(F.filter(marks, lambda b, v=v: b < v)))
+        ranks[f"{name}{k}"] = F.when(v.isNull(), 0).otherwise(_borders_below(marks, v))
     # a step of its own: each rank is asked for once per bit
     return df.withColumns(ranks).withColumn(name, interleaved(list(ranks), bits)).drop(*ranks)
 
 
+def _borders_below(borders: Column, value: Column) -> Column:
+    return F.size(F.filter(borders, lambda border: border < value))
+
+
 def _as_number(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType.typeName()
     value = F.col(column)
