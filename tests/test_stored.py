@@ -136,6 +136,15 @@ def test_retention_deletes_partitions_and_cuts_one(spark, folder):
     assert stored_updates.drop_before(spark, path, "q", "d", "2024-04-15") == ([], []) and files.listing(spark, path) == after
 
 
+def test_partitions_of_any_name_are_found(spark, folder):
+    names = ["a b/c:d", "é&+(1)", "x=y%20'z'", "[#]^{}", "plain-1.5_~"]
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "id int, q string").withColumn("d", F.to_date(F.lit("2024-01-01")))
+    stored_updates.write_dated(df, f"{folder}/t", "q", "d")
+    assert all(files.exists(spark, files.partition_path(f"{folder}/t", q=n)) for n in names)
+    assert stored_updates.drop_before(spark, f"{folder}/t", "q", "d", "2024-02-01")[0] == sorted(names)
+    assert not any("q=" in f[0] for f in files.listing(spark, f"{folder}/t"))
+
+
 # ---- schemas -----------------------------------------------------------------
 
 def test_new_columns_and_wider_types_leave_old_files(spark, folder):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import quote
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,10 +21,17 @@ def remove(spark: SparkSession, path: str) -> bool:
     return system.delete(folder, True)
 
 
+# fixed values: characters that are written as %XX in names of partition folders
+ESCAPED = frozenset([*map(chr, range(1, 32)), *"\"#%'*/:=?\\\x7f{[]^"])
+
+
 def partition_path(path: str, **values) -> str:
     """The folder of one partition of a table, in the order of the given columns."""
-    parts = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else quote(str(v), safe=' -_.~')}" for c, v in values.items()]
-    return "/".join([path.rstrip("/"), *parts])
+    def name(value) -> str:
+        text = str(value).lower() if isinstance(value, bool) else "" if value is None else str(value)
+        return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text) or "__HIVE_DEFAULT_PARTITION__"
+
+    return "/".join([path.rstrip("/"), *(f"{c}={name(v)}" for c, v in values.items())])
 
 
 def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
