@@ -199,6 +199,12 @@ def trusted_rows(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, t
     return texts.groupBy(id_col).agg(F.min("text").alias("text")).select(_half(id_col), "text")
 
 
+def _as_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = [features(t).tobytes() for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("half"), pa.array(rows, pa.binary())], names=["half", "x"])
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = 15_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", steps: int = 1500, decay: float = 1e-3) -> PuModel:
     """A model from at most ``sample`` trusted positives and all unlabelled text.
 
@@ -217,12 +223,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 15_000, id_col: str
     """
     prepare(docs.sparkSession)
     nothing = PuModel(np.zeros(WIDTH), 0.0, np.zeros(WIDTH), np.ones(WIDTH), 0.5)
-    good = trusted_rows(docs, labels, sample, id_col, text_col, label_col).collect()
+    good = trusted_rows(docs, labels, sample, id_col, text_col, label_col).mapInArrow(_as_features, "half int, x binary").collect()
     rows = docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col)).select(_half(id_col), F.col(text_col).alias("text"))
     if not good:
         return nothing
-    good.sort(key=lambda r: (r.half, r.text))
-    half_p, x = np.array([r.half for r in good]), np.array([features(r.text) for r in good])
+    good.sort(key=lambda r: (r.half, bytes(r.x)))
+    half_p, x = np.array([r.half for r in good]), np.frombuffer(b"".join(r.x for r in good), np.float32).reshape(len(good), WIDTH)
 
     def first(total: np.ndarray, x: np.ndarray, _) -> None:
         x = x.astype(np.float64)
@@ -251,7 +257,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 15_000, id_col: str
         square = square + square.T - np.diag(np.diag(square))
         n = square[-1, -1]
         unlabelled.append(Moments(n, square[-1] / max(n, 1), square / max(n, 1)))
-    p = _with_one(x, mean, scale)
+    p = np.concatenate([_with_one(x[k: k + 2000], mean, scale) for k in range(0, len(x), 2000)])
     positive = [_moments(p[half_p == k]) for k in (0, 1)]
 
     prior = 0.5
