@@ -331,6 +331,23 @@ def test_buckets_join_and_group_without_exchange(spark, folder):
             spark.sql(f"DROP TABLE IF EXISTS {name}_{t}")
 
 
+def test_buckets_follow_the_rows(spark):
+    assert clustered.buckets_for(spark.range(10), spark.range(7)) == 8
+    assert clustered.buckets_for(spark.range(900), spark.range(1600), rows=100) == 16
+    assert clustered.buckets_for(spark.range(1601), rows=100) == 32 and clustered.buckets_for(spark.range(0)) == 8
+
+
+def test_stored_buckets_grow_with_the_tables(spark, folder, monkeypatch):
+    from tests.conftest import FOLDER
+    from tidemark.queries.all import REGISTRY
+    made = []
+    monkeypatch.setattr(clustered.buckets_for, "__kwdefaults__", {"rows": 500, "least": 8})
+    write = clustered.write_bucketed
+    monkeypatch.setattr(clustered, "write_bucketed", lambda df, table, path, keys, n: made.append((n, df.count())) or write(df, table, path, keys, n))
+    assert REGISTRY["bucketed_join"].run(spark, FOLDER).count() > 0
+    assert made[0][0] == made[1][0] and all(count <= 500 * n for n, count in made)
+
+
 def row_groups_met(path, column, low, high):
     import glob
 

@@ -238,8 +238,9 @@ def _(t):
     """Both tables stored in buckets of the order: joined and grouped where they lie."""
     heads_path, lines_path = fresh_folder(t.spark, "heads"), fresh_folder(t.spark, "lines")
     name = lambda path: "b_" + path.rsplit("-", 1)[-1]
-    heads = clustered.write_bucketed(t.orders.select("o_orderkey", "o_orderpriority"), name(heads_path), heads_path, ["o_orderkey"], 8)
-    lines = clustered.write_bucketed(t.lineitem.select("l_orderkey", "l_extendedprice"), name(lines_path), lines_path, ["l_orderkey"], 8)
+    buckets = clustered.buckets_for(t.orders, t.lineitem)
+    heads = clustered.write_bucketed(t.orders.select("o_orderkey", "o_orderpriority"), name(heads_path), heads_path, ["o_orderkey"], buckets)
+    lines = clustered.write_bucketed(t.lineitem.select("l_orderkey", "l_extendedprice"), name(lines_path), lines_path, ["l_orderkey"], buckets)
     joined = heads.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
     return plain(joined.groupBy("o_orderkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("lines"), F.sum(money("l_extendedprice")).alias("price")))
 

@@ -12,13 +12,22 @@ def _names(columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
 
+def buckets_for(*tables: DataFrame, rows: int = 500_000, least: int = 8) -> int:
+    """Buckets for tables that are to meet, so that none has more than ``rows`` rows a bucket on average: a power of two.
+
+    Rows are counted, which Parquet's footers answer. Spark allows 100,000 buckets.
+    """
+    most = max(t.count() for t in tables)
+    return min(max(least, 1 << max(0, -(-most // rows) - 1).bit_length()), 1 << 16)
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """Store ``df`` in ``buckets`` files by the hash of ``keys``, sorted in each, and name it ``table`` in the catalogue.
 
     Rows are dealt to the buckets first, so each bucket is one file. Tables with
     equal keys and buckets are joined, and one of them is grouped, without an
-    exchange. A bucket is one task, so choose enough of them for the data, and
-    keys without one hot value.
+    exchange. A bucket is one task, so choose enough of them for the data
+    (``buckets_for``), and keys without one hot value.
     """
     dealt = df.repartition(buckets, *[F.col(k) for k in keys])
     dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet").option("path", path).saveAsTable(table)
