@@ -383,6 +383,22 @@ def test_interleaved_key_of_odd_columns(spark, folder):
     assert spark.read.schema(df.schema).parquet(f"{folder}/e").count() == 0
 
 
+def test_places_among_borders_are_found_by_halving(spark):
+    from bisect import bisect_left
+    rng = __import__("random").Random(4)
+    for n in (0, 1, 2, 3, 7, 8, 255):
+        borders = sorted({rng.choice([-1, 1]) * rng.random() * 9 for _ in range(n)}) if n < 8 else [float(k) for k in range(n)]
+        values = [*borders, *[b + 0.01 for b in borders], -1e9, 1e9, float("inf"), -0.0]
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        place = clustered._borders_below(borders, F.col("v"))
+        assert {(r.v, r.p) for r in df.select("v", place.alias("p")).collect()} == {(v, bisect_left(borders, v)) for v in values}
+    # eight steps for 255 borders, not 255
+    steps = plan_of(df.select(place)).split("aggregate(", 1)[1].split("]", 1)[0]
+    assert steps.count(",") == 7
+    nan = spark.createDataFrame([(float("nan"),)], "v double")
+    assert nan.select(place.alias("p")).first().p == 255
+
+
 # ---- gates -------------------------------------------------------------------
 
 def test_failed_load_is_logged_and_not_seen(spark, folder):

@@ -61,17 +61,26 @@ def with_interleaved_key(df: DataFrame, columns: Sequence[str], bits: int = 8, n
     parts = 1 << bits
     numeric = {c: _as_number(df, c) for c in columns}
     cuts = df.agg(*[F.percentile_approx(v, [k / parts for k in range(1, parts)], 20 * parts).alias(c) for c, v in numeric.items()]).first()
+    # a step of its own: each number is asked for at every step of the search
+    numbers = {c: f"{name}n{k}" for k, c in enumerate(columns)}
     ranks = {}
-    for k, (c, v) in enumerate(numeric.items()):
+    for k, c in enumerate(columns):
         borders = sorted({b for b in cuts[c] or [] if b == b})
-        marks = F.array(*[F.lit(float(b)) for b in borders]) if borders else F.array().cast("array<double>")
-        ranks[f"{name}{k}"] = F.when(v.isNull(), 0).otherwise(_borders_below(marks, v))
+        v = F.col(numbers[c])
+        ranks[f"{name}{k}"] = F.when(v.isNull(), 0).otherwise(_borders_below(borders, v))
     # a step of its own: each rank is asked for once per bit
-    return df.withColumns(ranks).withColumn(name, interleaved(list(ranks), bits)).drop(*ranks)
-
-
-def _borders_below(borders: Column, value: Column) -> Column:
-    return F.size(F.filter(borders, lambda border: border < value))
+    keyed = df.withColumns({numbers[c]: v for c, v in numeric.items()}).withColumns(ranks)
+    return keyed.withColumn(name, interleaved(list(ranks), bits)).drop(*ranks, *numbers.values())
+
+
+def _borders_below(borders: Sequence[float], value: Column) -> Column:
+    """How many of the ascending ``borders`` lie below ``value``, by halving."""
+    if not borders:
+        return F.lit(0)
+    marks = F.array(*[F.lit(float(b)) for b in borders])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(borders).bit_length()))])
+    # behind the last border there is NULL, which is not below
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(marks, at + step - 1) < value, at + step).otherwise(at))
 
 
 def _as_number(df: DataFrame, column: str) -> Column:
