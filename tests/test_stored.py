@@ -97,6 +97,23 @@ def test_state_leaves_other_weeks_alone(spark, folder):
     assert spark.read.parquet(state).select("week").distinct().count() == 6
 
 
+def test_state_of_ids_far_apart_is_no_larger_than_they_are(spark, folder):
+    ids = [(k * 65_536 * (-1) ** k, k) for k in range(1, 400)] + [(63, 1), (64, 1), (-1, 2), (2**62, 2), (None, 3)]
+    rows_ = visits(spark, [(0, "A", "x", i) for i, _ in ids] * 2)
+    distinct_state.add_to_state(f"{folder}/state", rows_, ["week"], ["geo", "tier"], counts())
+    state = spark.read.parquet(f"{folder}/state")
+    size = sum(len(v) if isinstance(v, (bytes, bytearray, str)) else 8 for r in state.collect() for v in r)
+    assert size <= 100 * len(ids)
+    got = distinct_state.counts_by(state, ["week"], ["all", "big"]).first()
+    assert got["all"] == len({i for i, _ in ids} - {None}) and got.big == sum(i is not None and i > 100_000 for i, _ in ids)
+
+
+def test_measures_of_several_id_columns(spark):
+    df = spark.createDataFrame([("a", 1, 70), ("a", 1, 71), ("a", 2, None), ("b", None, 70), ("c", 5, None)], "g string, x int, y long")
+    state = distinct_state.bitmaps(df, ["g"], {"n": ("x", F.col("y").isNotNull()), "m": ("y", F.lit(True)), "u": ("x", F.col("y") == 0)})
+    assert rows(distinct_state.counts_by(state, ["g"], ["n", "m", "u"])) == [("a", 1, 2, 0), ("b", 0, 1, 0)]
+
+
 # ---- updates -----------------------------------------------------------------
 
 def test_backfill_writes_only_what_it_fills(spark, folder):

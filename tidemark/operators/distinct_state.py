@@ -1,8 +1,9 @@
 """Distinct counts that can be added to: exact bitmaps per cell, stored by period.
 
 A distinct count can not be added up, but the set behind it can be merged. For
-every period, combination of dimensions and measure the state holds the set of
-ids as bitmaps of 32,768 bits, one for each range of ids that occurs. Merging is
+every period and combination of dimensions the state holds each measure's set of
+ids as bitmaps of 64 bits, one row of numbers for each range of ids that occurs, so
+sets never take more rows than they have ids, however far these lie apart. Merging is
 a bitwise OR, so a batch that is delivered again changes nothing, a late batch
 only touches the periods it has rows for, and history is never read again from
 the facts. Ids are whole numbers; give ids of another kind dense numbers first
@@ -22,23 +23,35 @@ from tidemark.session import stored
 from tidemark.sources import files
 from tidemark.sources.sinks import replace_partitions
 
+ID_BITS = 6  # of an id, that say its place in a bitmap
+
 
 def bitmaps(rows: DataFrame, keys: Sequence[str], counts: dict[str, tuple[str, Column]]) -> DataFrame:
-    """The ids of each measure as bitmaps: ``keys``, measure, bucket, bitmap.
+    """The ids of each measure as bitmaps: ``keys``, bucket, a column for each measure.
 
     ``counts`` maps a measure to (id column, condition); NULL ids count nowhere.
     """
+    columns = dict.fromkeys(column for column, _ in counts.values())
     entries = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("measure"), F.when(condition, F.col(column).cast("bigint")).alias("id"))
-        for name, (column, condition) in counts.items()]))
-    ids = rows.select(*keys, entries.alias("_e")).select(*keys, "_e.measure", "_e.id").filter(F.col("id").isNotNull())
-    return ids.groupBy(*keys, "measure", F.bitmap_bucket_number("id").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bitmap"))
+        F.struct(F.col(c).cast("bigint").alias("_id"), *[(condition if column == c else F.lit(False)).alias(m) for m, (column, condition) in counts.items()])
+        for c in columns]))
+    counted = F.coalesce(*[F.nullif(F.col(m), F.lit(False)) for m in counts], F.lit(False))
+    ids = rows.select(*keys, entries.alias("_e")).select(*keys, "_e.*").filter(F.col("_id").isNotNull() & counted)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("_id").bitwiseAND((1 << ID_BITS) - 1).cast("int"))
+    return ids.groupBy(*keys, F.shiftright("_id", ID_BITS).alias("bucket")).agg(*[F.bit_or(F.when(F.col(m), bit)).alias(m) for m in counts])
 
 
-def merged(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merged(state: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """States one upon the other: sets are united, whatever they have in common."""
-    return state.groupBy(*keys, "measure", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return state.groupBy(*keys, "bucket").agg(*_united(measures))
+
+
+def _united(measures: Sequence[str]) -> list[Column]:
+    return [F.bit_or(m).alias(m) for m in measures]
+
+
+def _counted(measures: Sequence[str]) -> list[Column]:
+    return [F.coalesce(F.sum(F.bit_count(m)), F.lit(0)).alias(m) for m in measures]
 
 
 def add_to_state(path: str, rows: DataFrame, period: Sequence[str], dims: Sequence[str],
@@ -56,7 +69,7 @@ def add_to_state(path: str, rows: DataFrame, period: Sequence[str], dims: Sequen
     old = _stored_state(spark, path, batch)
     if old is not None:
         known = old.join(touched, list(period), "left_semi")
-        batch = stored(merged(known.select(*batch.columns).unionByName(batch), keys))
+        batch = stored(merged(known.select(*batch.columns).unionByName(batch), keys, list(counts)))
     replace_partitions(batch, path, list(period))
     return touched
 
@@ -75,17 +88,14 @@ def cube_counts(state: DataFrame, fixed: Sequence[str], dims: dict[str, str], me
     """
     keys = [*fixed, *dims]
     subsets = [list(c) for size in range(len(dims), -1, -1) for c in combinations(dims, size)]
-    sets = [[F.col(c) for c in [*fixed, *kept, "measure", "bucket"]] for kept in subsets]
-    united = state.groupingSets(sets, *[F.col(c) for c in [*keys, "measure", "bucket"]]).agg(
-        F.bitmap_or_agg("bitmap").alias("bitmap"), grouping_label(prefix, dims).alias(label))
-    return united.groupBy(*keys, label).agg(*[
-        F.coalesce(F.sum(F.when(F.col("measure") == m, F.bitmap_count("bitmap"))), F.lit(0)).alias(m) for m in measures])
+    sets = [[F.col(c) for c in [*fixed, *kept, "bucket"]] for kept in subsets]
+    united = state.groupingSets(sets, *[F.col(c) for c in [*keys, "bucket"]]).agg(*_united(measures), grouping_label(prefix, dims).alias(label))
+    return united.groupBy(*keys, label).agg(*_counted(measures))
 
 
 def counts_by(state: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Distinct counts per ``keys`` (periods or dimensions of the state), one column for each measure."""
-    return merged(state, keys).groupBy(*keys).agg(*[
-        F.coalesce(F.sum(F.when(F.col("measure") == m, F.bitmap_count("bitmap"))), F.lit(0)).alias(m) for m in measures])
+    return merged(state, keys, measures).groupBy(*keys).agg(*_counted(measures))
 
 
 def publish_cells(state_path: str, cells_path: str, touched: DataFrame, period: Sequence[str], fixed: Sequence[str],
