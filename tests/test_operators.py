@@ -483,3 +483,17 @@ def test_known_fiscal_years(spark):
     every = [r[0] for r in df.select(partner_funds._fund_deadline(partner_funds.FundRules())).collect()]
     known = [r[0] for r in df.select(partner_funds._fund_deadline(partner_funds.FundRules(known_years=(2020, 2021, 2022)))).collect()]
     assert every == [day("2021-01-31"), day("2022-01-31")] and known == [day("2021-01-31"), None]
+
+
+def test_answers_of_raw_claims(spark):
+    keys = "plan_id string, plan_detail_id string, claim_number string, claim_detail_id string"
+    heads = spark.createDataFrame([("P", "D", "1", "x"), ("P", "D", None, None), ("Q", "E", "2", None)], keys)
+    shares = spark.createDataFrame([("P", "D", "1", "x", "A", "40%"), ("P", "D", "1", "x", "B", "60%"), ("P", "D", None, None, "C", "5%")], f"{keys}, campaign_name string, campaign_percentage string")
+    given = [("5", "1,000"), ("5", "1000"), ("5", "-7"), ("1", "x"), ("2", "n/a"), ("2", "3"), ("12", "4"), ("99", "8"), (None, "8"), ("5:1", "9")]
+    asked = spark.createDataFrame([("P", "D", "1", "x", q, a) for q, a in given] + [("Q", "E", "2", None, "8", None), ("Q", "E", "2", None, "3", "1")], f"{keys}, question_id string, answer string")
+    out = partner_funds.raw_claims(heads, shares, asked)
+    assert out.columns == [*heads.columns, "claim_link", "claim_detail_link", "campaign_name", "campaign_percentage", *partner_funds.MEASURES]
+    assert {out.schema[m].dataType.simpleString() for m in partner_funds.MEASURES} == {"decimal(38,0)"}
+    names = ["plan_id", "claim_number", "campaign_name", "mqls_actual", "mqls_expected", "clicks_expected", "clicks_actual"]
+    got = sorted((tuple(None if v is None else str(v) for v in r) for r in out.select(*names).collect()), key=repr)
+    assert got == sorted([("P", "1", "A", "993", "3", None, "4"), ("P", "1", "B", "993", "3", None, "4"), ("P", None, "C", None, "3", None, None), ("Q", "2", None, None, None, None, None)], key=repr)

@@ -101,3 +101,10 @@ def test_period_comparison_joins_nothing(spark):
 def test_sized_settings_scale_with_the_input():
     assert int(sized_settings(10**9)["spark.sql.shuffle.partitions"]) == 200
     assert int(sized_settings(100 * 10**12)["spark.sql.shuffle.partitions"]) > 100_000
+
+
+def test_raw_claims_are_grouped_where_they_were_joined(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+        plan = plan_of(REGISTRY["fund_raw_claims"].run(spark, FOLDER))
+    # both sides of four joins; the groups need none of their own
+    assert plan.count("Exchange hashpartitioning") == 8
