@@ -14,6 +14,7 @@ from tidemark.operators.conform import Target
 from tidemark.operators.matching import match_countries
 from tidemark.operators.smoothing import smoothed_rate
 from tidemark.plans import calendar, lifecycle, partner_funds, revenue, traffic
+from tidemark.queries.all import REGISTRY
 from tidemark.sources import landing
 
 
@@ -497,3 +498,31 @@ def test_answers_of_raw_claims(spark):
     names = ["plan_id", "claim_number", "campaign_name", "mqls_actual", "mqls_expected", "clicks_expected", "clicks_actual"]
     got = sorted((tuple(None if v is None else str(v) for v in r) for r in out.select(*names).collect()), key=repr)
     assert got == sorted([("P", "1", "A", "993", "3", None, "4"), ("P", "1", "B", "993", "3", None, "4"), ("P", None, "C", None, "3", None, None), ("Q", "2", None, None, None, None, None)], key=repr)
+
+
+def test_counted_raw_claims(spark):
+    keys = "plan_id string, plan_detail_id string, claim_number string, claim_detail_id string"
+    heads = spark.createDataFrame([("P", "D", None, None), ("Q", "E", None, None), ("Q", "E", "1", "x"), ("R", None, "2", "y")], keys)
+    shares = spark.createDataFrame([("P", "D", None, None, "A", "40%"), ("P", "D", None, None, "B", "60%")], f"{keys}, campaign_name string, campaign_percentage string")
+    given = [("P", "D", None, None, "12"), ("Q", "E", None, None, "14"), ("S", "F", None, None, "17"), ("Q", "E", "1", "x", "2"), ("Q", "E", None, None, "2"), ("Q", "E", None, None, "1")]
+    asked = spark.createDataFrame([(*g, "7") for g in given], f"{keys}, question_id string, answer string")
+    group = ["plan_id", "claim_number", "campaign_name"]
+    plain = partner_funds.raw_claims(heads, shares, asked).groupBy(*group).count()
+    counted = partner_funds.raw_claims(heads, shares, asked, counted="n")
+    assert counted.columns == [*heads.columns, "claim_link", "claim_detail_link", "campaign_name", "campaign_percentage", "n"]
+    expected = {("P", None, "A", 3), ("P", None, "B", 3), ("Q", None, None, 6), ("Q", "1", None, 2), ("R", "2", None, 1)}
+    assert {tuple(r) for r in counted.select(*group, "n").collect()} == {tuple(r) for r in plain.collect()} == expected
+
+
+def test_claims_meet_all_answers_without_a_claim(spark, tmp_path):
+    at = dt.datetime(2000, 6, 1)
+    tables = {
+        "region": (["r_regionkey", "r_name"], [(0, "ASIA")]), "nation": (["n_nationkey", "n_name", "n_regionkey"], [(0, "JAPAN", 0)]),
+        "customer": (["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], [(c, "n", 0, 1.0, "x") for c in (0, 5, 10)]),
+        "orders": (["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"], [(k, c, 9.0, at) for k, c in ((10, 0), (20, 5), (40, 10))]),
+        "lineitem": (["l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"], [(k, n, 9.0, 1.0) for k in (10, 20, 40) for n in range(1, 6)])}
+    for name, (columns, rows) in tables.items():
+        spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = REGISTRY["fund_claim_status"].run(spark, str(tmp_path))
+    # two campaigns each; the answers of all three
+    assert {r.k: r.copies for r in out.collect()} == {10: 6, 20: 6, 40: 6}
