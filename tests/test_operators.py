@@ -14,6 +14,7 @@ from tidemark.operators.conform import Target
 from tidemark.operators.matching import match_countries
 from tidemark.operators.smoothing import smoothed_rate
 from tidemark.plans import calendar, lifecycle, partner_funds, revenue, traffic
+from tidemark.queries import funds
 from tidemark.queries.all import REGISTRY
 from tidemark.sources import landing
 
@@ -526,3 +527,34 @@ def test_claims_meet_all_answers_without_a_claim(spark, tmp_path):
     out = REGISTRY["fund_claim_status"].run(spark, str(tmp_path))
     # two campaigns each; the answers of all three
     assert {r.k: r.copies for r in out.collect()} == {10: 6, 20: 6, 40: 6}
+
+
+def test_headers_are_staged_before_they_are_repeated(spark, tables):
+    names = partner_funds.STAGED
+    account, contract, tier = funds.partner_tables(tables)
+    last = partner_funds.stage(partner_funds.one_claim_status(funds.broken(tables)), partner_funds.partner_accounts(account, contract, tier), tier, funds.RULES)
+    first = funds.staged(tables, partner_funds.MEASURES, names)
+    assert first.columns == last.columns == names and first.dtypes == last.dtypes
+    assert first.exceptAll(last).isEmpty() and last.exceptAll(first).isEmpty()
+    few = ["partner_type", "csn", "funded", "quarter_link"]
+    assert sorted(map(repr, funds.staged(tables, [], few).collect())) == sorted(map(repr, last.select(*few).collect()))
+
+
+def test_stage_without_plan_customer_or_fund(spark):
+    by, late = "01/31/2000 12:00:00 AM", "02/28/2000 12:00:00 AM"
+    texts = ["plan_id", "customer_id", "fund_name", "claim_submitted_date", "claim_number"]
+    given = [("P", "1", "1QFY00 MDF", by, "a"), ("P", "1", "1QFY00 MDF", late, "b"), (None, "1", "1QFY00 MDF", by, "c"), ("Q", None, "1QFY00 MDF", by, "d"),
+             ("Q", "1", None, by, "e"), ("Q", "1", "1QFY00 MDF", by, "f")]
+    claims = spark.createDataFrame(given, ", ".join(f"{c} string" for c in texts)).selectExpr(
+        "*", "'Paid' AS plan_status", "'10' AS approved_amount", "CAST(40 AS DECIMAL(38,0)) AS campaign_percentage", "'Pending Claim' AS claim_audit_status",
+        f"'{by}' AS claim_by_date", "'01/01/1999 x' AS plan_submission_date", "CAST(NULL AS STRING) AS target_country", "'d' AS plan_detail_id", "'x' AS claim_detail_id")
+    partners = spark.createDataFrame([("0000000001", "A", "T", "VAR", "B"), ("0000000001", "Z", "T", "VAR", "B")], "customer_csn string, partner_name string, tier string, partner_type string, gtm_tier string")
+    tiers = spark.createDataFrame([], "country string, gtm_tier string")
+    names = ["fund_request", "csn", "partner_name", "gtm_tier", "funded", "engagement_complete", "submission_gate_compliant"]
+    out = [tuple(r) for r in partner_funds.stage(claims, partners, tiers, funds.RULES, names).collect()]
+    expected = []
+    for plan, customer, fund, _, _ in given:
+        for partner in ("A", "Z") if customer else (None,):
+            complete = {"P": "No", "Q": "Yes"}.get(plan)  # P's newest claim is late
+            expected.append((plan, customer, partner, "B" if customer else None, "4", complete, "Y" if customer and fund else None))
+    assert sorted(((*r[:4], f"{r[4]:.0f}", *r[5:]) for r in out), key=repr) == sorted(expected, key=repr)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import FOLDER
 from tidemark.operators import joins, latest, period
+from tidemark.queries import funds
 from tidemark.queries.all import REGISTRY
 from tidemark.session import SETTINGS, sized_settings
 
@@ -108,3 +109,16 @@ def test_raw_claims_are_grouped_where_they_were_joined(spark):
         plan = plan_of(REGISTRY["fund_raw_claims"].run(spark, FOLDER))
     # both sides of four joins; the groups need none of their own
     assert plan.count("Exchange hashpartitioning") == 8
+
+
+def test_staged_rows_move_once(spark, tables):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+        lines = plan_of(funds.staged(tables, [], ["csn", "funded", "partner_type", "engagement_complete", "submission_gate_compliant"])).splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and "funded#" in line)
+    above, joined = depth[at], []
+    for i in reversed(range(at)):
+        if depth[i] < above:
+            above, joined = depth[i], [*joined, lines[i]] if "Join" in lines[i] else joined
+    # deadline, gate and partner come in one join
+    assert len(joined) == 1
